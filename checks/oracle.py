@@ -100,7 +100,8 @@ r_history AS (
   FROM r_span s LEFT JOIN r_daily d USING (series_key, date))"""
 
 
-CALENDAR = """isodow(date) - 1 AS dayofweek, month(date) AS month, day(date) AS day,
+CALENDAR = """CAST(isodow(date) - 1 AS INTEGER) AS dayofweek,
+  CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day,
   CASE WHEN isodow(date) >= 6 THEN 1 ELSE 0 END AS is_weekend"""
 
 LAGS = ",\n  ".join(
@@ -242,7 +243,8 @@ SELECT CASE payment_method WHEN 'alipay' THEN '支付宝' WHEN 'wechat' THEN '
        count(*) AS value
 FROM r_orders WHERE payment_status = 1 GROUP BY payment_method""",
     "hot_products": """
-SELECT row_number() OVER (ORDER BY total_quantity DESC, product_name) AS rank, product_name,
+SELECT CAST(row_number() OVER (ORDER BY total_quantity DESC, product_name) AS INTEGER) AS rank,
+       product_name,
        total_quantity
 FROM (SELECT p_name AS product_name, CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT)
                AS total_quantity
