@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -31,7 +32,6 @@ from tillmark.operators.series import (
     LAGS,
     ROLLING,
     ROLLING_COLUMNS,
-    calendar_columns,
     daily_series,
     feature_frame,
 )
@@ -254,12 +254,29 @@ def forest_fit(
     )
 
 
+def _step_features(step: int, mode: str) -> Column:
+    """The feature vector of the day ``step`` days after the last one, on the series' scale."""
+    late = 1 if mode == "legacy" and step == 0 else 0
+    day = f"date_add(newest, {step + 1})"
+    calendar = [
+        f"weekday({day})", f"month({day})", f"day({day})", f"int(weekday({day}) >= 5)"
+    ]
+    lags = [f"element_at(recent, {-(j + late)})" for j in LAGS]
+    means = [
+        f"aggregate(slice(recent, {MEMORY - n + 1}, {n}), 0D, (a, b) -> a + b) / {n}"
+        for n in ROLLING
+    ]
+    return array_to_vector(
+        F.expr("array(" + ", ".join(f"double({c})" for c in calendar + lags + means) + ")")
+    )
+
+
 def forest_forecast(
     series_df: DataFrame,
     model: RandomForestRegressionModel,
     days: int = FORECAST_DAYS,
     mode: str = "legacy",
-    checkpoint_every: int = 10,
+    checkpoint_every: int = 5,
 ) -> DataFrame:
     """Step the forest forward, all series at once, one transform per day.
 
@@ -268,49 +285,41 @@ def forest_forecast(
     costs at most those steps.
     """
     use_checkpoints(series_df.sparkSession)
-    recent = F.transform(
-        F.array_sort(F.collect_list(F.struct("date", "amount"))), lambda r: r["amount"]
-    )
+    newest_first = F.collect_list(F.struct("date", "scaled"))
     state = (
         _long_enough(series_df)
         .withColumn("k", F.row_number().over(_newest_first()))
         .where(F.col("k") <= MEMORY)
-        .withColumn("amount", F.col("total_amount").cast("double"))
-        .groupBy("series_key")
-        .agg(recent.alias("recent"), F.max("date").alias("newest"))
         .join(_scales(series_df), "series_key")
+        .withColumn("scaled", (F.col("total_amount").cast("double") - F.col("centre")) / F.col("spread"))
+        .groupBy("series_key", "centre", "spread")
+        .agg(F.array_sort(newest_first)["scaled"].alias("recent"), F.max("date").alias("newest"))
         .withColumn("predictions", F.array().cast("array<double>"))
+        # No amount below zero, on the scale of the series.
+        .withColumn("floor", -F.col("centre") / F.col("spread"))
     )
-    keep = ["series_key", "newest", "centre", "spread", "recent", "predictions"]
     for step in range(days):
-        late = mode == "legacy" and step == 0
-        features: dict[str, Column] = calendar_columns(F.date_add("newest", step + 1))
-        for j in LAGS:
-            features[f"lag_{j}"] = F.element_at("recent", -(j + 1) if late else -j)
-        for n in ROLLING:
-            tail = F.slice("recent", MEMORY - n + 1, n)
-            total = F.aggregate(tail, F.lit(0.0), lambda a, b: a + b)
-            features[f"rolling_mean_{n}"] = total / F.lit(float(n))
-        rows = _scaled(state.withColumns(features), _AMOUNT_FEATURES)
-        scored = model.transform(_assembled(rows))
-        amount = F.col("scaled_prediction") * F.col("spread") + F.col("centre")
-        state = (
-            scored.withColumn("amount", F.greatest(F.lit(0.0), amount))
-            .withColumn(
-                "recent", F.concat(F.slice("recent", 2, MEMORY - 1), F.array("amount"))
-            )
-            .withColumn("predictions", F.concat("predictions", F.array("amount")))
-            .select(*keep)
+        scored = model.transform(state.withColumn("features", _step_features(step, mode)))
+        state = scored.selectExpr(
+            "series_key", "newest", "centre", "spread", "floor", "recent", "predictions",
+            "greatest(floor, scaled_prediction) AS next",
+        ).selectExpr(
+            "series_key", "newest", "centre", "spread", "floor",
+            f"concat(slice(recent, 2, {MEMORY - 1}), array(next)) AS recent",
+            "concat(predictions, array(next)) AS predictions",
         )
         if (step + 1) % checkpoint_every == 0 or step == days - 1:
             state = state.checkpoint(eager=True)
     return state.select(
-        "series_key", "newest", F.posexplode("predictions").alias("step", "predicted_amount")
+        "series_key", "newest", "centre", "spread",
+        F.posexplode("predictions").alias("step", "next"),
     ).select(
         "series_key",
         F.date_add("newest", F.col("step") + 1).alias("date"),
         "step",
-        "predicted_amount",
+        F.greatest(F.lit(0.0), F.col("next") * F.col("spread") + F.col("centre")).alias(
+            "predicted_amount"
+        ),
     )
 
 

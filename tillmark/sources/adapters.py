@@ -11,6 +11,24 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(12,2)"
 
+# With a declared schema no file has to be opened to plan a query.
+STAR = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+}
+
 CHANNELS = [(1, "Web", "online"), (2, "App", "online"), (3, "Mini", "online"),
             (4, "Shop", "offline"), (5, "Phone", "offline"), (6, "Kiosk", "offline")]
 CAMPAIGNS = [(1, "Summer", "discount"), (2, "Welcome", "coupon"), (3, "Members", "discount"),
@@ -35,7 +53,7 @@ class Retail:
         self.spark, self.base = spark, base.rstrip("/")
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{table}.parquet")
+        return self.spark.read.schema(STAR[table]).parquet(f"{self.base}/{table}.parquet")
 
     # dimensions
 

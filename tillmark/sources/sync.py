@@ -43,11 +43,19 @@ class Exported:
     mark: Mark
 
 
-def export_full(df: DataFrame, base: str, table: str) -> int:
-    """Replace the copy of a table; returns the number of rows written."""
+def _written(spark: SparkSession, path: str, column: str | None) -> tuple[int, str | None]:
+    """Rows below ``path`` and their newest time, from one narrow scan of what is stored."""
+    newest = F.max(column) if column else F.lit(None)
+    rows, top = spark.read.parquet(path).agg(F.count(F.lit(1)), newest).first()
+    return rows, None if top is None else str(top)
+
+
+def export_full(df: DataFrame, base: str, table: str, column: str | None = None) -> Exported:
+    """Replace the copy of a table."""
     path = f"{base}/{table}"
     df.withColumn(BATCH, F.lit(0)).write.mode("overwrite").partitionBy(BATCH).parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    rows, top = _written(df.sparkSession, path, column)
+    return Exported(table, "full", rows, Mark(column, top, 1))
 
 
 def export_incremental(
@@ -62,23 +70,21 @@ def export_incremental(
 
     With ``overlap`` the export reaches back that far behind the mark, which catches
     rows that arrived late with an older time. Rows then come twice and reading with a
-    key keeps one.
+    key keeps one. Without new rows the mark stays where it is.
     """
     if state.mark is None:
-        rows = export_full(df, base, table)
-        path, batch = f"{base}/{table}", 0
-    else:
-        start = state.mark
-        if overlap is not None:
-            start = str(dt.datetime.fromisoformat(state.mark) - overlap)
-        path, batch = f"{base}/{table}/{BATCH}={state.next_batch}", state.next_batch
-        after_mark(df, column, start).write.mode("overwrite").parquet(path)
-        rows = df.sparkSession.read.parquet(path).count()
-    top = df.sparkSession.read.parquet(path).agg(F.max(column)).first()[0] if rows else None
+        done = export_full(df, base, table, column)
+        return Exported(table, "incremental", done.rows, done.mark)
+    start = state.mark
+    if overlap is not None:
+        start = str(dt.datetime.fromisoformat(state.mark) - overlap)
+    path = f"{base}/{table}/{BATCH}={state.next_batch}"
+    after_mark(df, column, start).write.mode("overwrite").parquet(path)
+    rows, top = _written(df.sparkSession, path, column)
     if top is None:
-        return Exported(table, "incremental", rows, Mark(column, state.mark, batch))
-    newest = str(top) if state.mark is None else max(str(top), state.mark)
-    return Exported(table, "incremental", rows, Mark(column, newest, batch + 1))
+        return Exported(table, "incremental", rows, state)
+    mark = Mark(column, max(top, state.mark), state.next_batch + 1)
+    return Exported(table, "incremental", rows, mark)
 
 
 def read_synced(
@@ -91,71 +97,61 @@ def read_synced(
 
 def load_marks(spark: SparkSession, base: str) -> dict[str, Mark]:
     """The newest mark of every table; empty when none can be read."""
+    return _load(spark, base)[0]
+
+
+def _load(spark: SparkSession, base: str) -> tuple[dict[str, Mark], int]:
     try:
         stored = spark.read.schema(_MARKS_SCHEMA).parquet(f"{base}/{MARKS}")
         rows = latest_version(stored, "table_name", "run").collect()
     except AnalysisException:
-        return {}
-    return {r.table_name: Mark(r.column_name, r.mark, r.next_batch) for r in rows}
+        return {}, 0
+    marks = {r.table_name: Mark(r.column_name, r.mark, r.next_batch) for r in rows}
+    return marks, max((r.run for r in rows), default=0)
 
 
-def save_marks(spark: SparkSession, base: str, marks: dict[str, Mark]) -> None:
-    """Add marks to the state table. Earlier ones stay, so a crash loses nothing."""
-    if not marks:
-        return
-    path = f"{base}/{MARKS}"
-    try:
-        last = spark.read.schema(_MARKS_SCHEMA).parquet(path).agg(F.max("run")).first()[0]
-    except AnalysisException:
-        last = None
-    run = (last or 0) + 1
+def save_marks(spark: SparkSession, base: str, marks: dict[str, Mark], run: int) -> None:
+    """Add marks to the state table. Earlier ones stay, so a crash loses nothing.
+
+    ``run`` grows with every save; the highest one counts.
+    """
     rows = [(run, t, m.column, m.mark, m.next_batch) for t, m in marks.items()]
-    spark.createDataFrame(rows, _MARKS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    stored = spark.createDataFrame(rows, _MARKS_SCHEMA).coalesce(1)
+    stored.write.mode("append").parquet(f"{base}/{MARKS}")
 
 
-def sync_table(
+def sync_all(
     spark: SparkSession,
     source: Source,
     base: str,
-    table: str,
+    tables: Iterable[str],
     incremental: bool = True,
     overlap: dt.timedelta | None = None,
-) -> Exported:
-    """Export one table and save its mark.
+) -> list[Exported]:
+    """Export every table in turn and save its mark, so a failure keeps the progress.
 
     A table without a time column is exported in full each time. A full export first
     takes the mark back, so if it fails halfway the next run starts over. Afterwards it
     stores the newest time, and the next incremental run goes on from there.
     """
-    df = source(table)
-    column = time_column(df.columns)
-    state = load_marks(spark, base).get(table, Mark())
-    if incremental and column:
-        done = export_incremental(df, base, table, column, state, overlap)
-    else:
-        if state.mark is not None:
-            save_marks(spark, base, {table: Mark(column)})
-        rows = export_full(df, base, table)
-        top = None
-        if column:
-            top = spark.read.parquet(f"{base}/{table}").agg(F.max(column)).first()[0]
-        done = Exported(
-            table, "full", rows, Mark(column, None if top is None else str(top), 1)
-        )
-    save_marks(spark, base, {table: done.mark})
-    return done
-
-
-def sync_all(
-    spark: SparkSession,
-    source: Source,
-    base: str,
-    tables: Iterable[str],
-    incremental: bool = True,
-    overlap: dt.timedelta | None = None,
-) -> list[Exported]:
-    """Export every table in turn. Marks are saved per table, so a failure keeps progress."""
-    return [sync_table(spark, source, base, t, incremental, overlap) for t in tables]
+    marks, run = _load(spark, base)
+    out = []
+    for table in tables:
+        df = source(table)
+        column = time_column(df.columns)
+        state = marks.get(table, Mark())
+        if incremental and column:
+            done = export_incremental(df, base, table, column, state, overlap)
+        else:
+            if state.mark is not None:
+                run += 1
+                save_marks(spark, base, {table: Mark(column)}, run)
+            done = export_full(df, base, table, column)
+        if done.mark != state:
+            run += 1
+            save_marks(spark, base, {table: done.mark}, run)
+        out.append(done)
+    return out
 
 
 def export_all(
