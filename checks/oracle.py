@@ -463,17 +463,16 @@ UNION ALL SELECT 'id', count(*) FROM r_orders WHERE id IS NULL HAVING count(*) >
 UNION ALL SELECT 'user_id', count(*) FROM r_orders WHERE user_id IS NULL HAVING count(*) > 0
 UNION ALL SELECT 'payment_amount', count(*) FROM r_orders WHERE payment_amount IS NULL
 HAVING count(*) > 0""",
-    "order_total_mismatch": f"""WITH {GROSS},
+    "order_total_mismatch": f"""WITH {ORDERS},{DETAILS},
 r_sums AS (SELECT order_id, sum(total_price) AS t, sum(discount_price) AS d,
                   sum(actual_price) AS p FROM r_details GROUP BY 1)
-SELECT o.id AS order_id, CAST(o.total_amount AS DOUBLE) AS total_amount,
-       CAST(coalesce(t, 0) AS DOUBLE) AS expected_total,
-       CAST(o.discount_amount AS DOUBLE) AS discount_amount,
+SELECT o.id AS order_id, CAST(o.payment_amount AS DOUBLE) AS total_amount,
+       CAST(coalesce(t, 0) AS DOUBLE) AS expected_total, 0.0::DOUBLE AS discount_amount,
        CAST(coalesce(d, 0) AS DOUBLE) AS expected_discount,
        CAST(o.payment_amount AS DOUBLE) AS payment_amount,
        CAST(coalesce(p, 0) AS DOUBLE) AS expected_payment
-FROM r_gross o LEFT JOIN r_sums s ON s.order_id = o.id
-WHERE o.total_amount <> coalesce(t, 0) OR o.discount_amount <> coalesce(d, 0)
+FROM r_orders o LEFT JOIN r_sums s ON s.order_id = o.id
+WHERE o.payment_amount <> coalesce(t, 0) OR 0 <> coalesce(d, 0)
    OR o.payment_amount <> coalesce(p, 0)""",
     # --- derived
     "order_totals": f"""WITH {ORDERS},{DETAILS}

@@ -23,7 +23,7 @@ from tillmark.fixed_values import (
     PAYMENT_LABELS,
     TREND_DAYS,
 )
-from tillmark.functions import Day, as_date, labelled, ratio, region_name, since
+from tillmark.functions import Day, as_date, labelled, money_sum, ratio, region_name, since
 from tillmark.operators.joins import range_lookup
 
 
@@ -49,12 +49,12 @@ def sales_trend(orders: DataFrame, as_of: Day, days: int = TREND_DAYS) -> DataFr
         F.lit(0).cast("long").alias("n"),
         F.lit(0).cast(amount_type).alias("payment_amount"),
     )
+    days_seen = observed.unionByName(calendar)
     return (
-        observed.unionByName(calendar)
-        .groupBy("order_date")
+        days_seen.groupBy("order_date")
         .agg(
             F.sum("n").alias("order_count"),
-            F.coalesce(F.sum("payment_amount"), F.lit(0)).alias("total_amount"),
+            F.coalesce(money_sum(days_seen, "payment_amount"), F.lit(0)).alias("total_amount"),
         )
         .orderBy("order_date")
     )
@@ -75,7 +75,7 @@ def category_sales(
     categories: DataFrame, products: DataFrame, details: DataFrame, by_id: bool = False
 ) -> DataFrame:
     """Net sales per category; categories without sales are kept with zero."""
-    per_product = details.groupBy("product_id").agg(F.sum("actual_price").alias("sales"))
+    per_product = details.groupBy("product_id").agg(money_sum(details, "actual_price").alias("sales"))
     per_category = (
         per_product.join(
             products.select(F.col("id").alias("product_id"), "category_id"), "product_id"
@@ -100,7 +100,7 @@ def channel_analysis(channels: DataFrame, orders: DataFrame, by_id: bool = False
     per_channel = (
         orders.where(F.col("channel_id").isNotNull())
         .groupBy("channel_id")
-        .agg(F.count("id").alias("n"), F.sum("payment_amount").alias("amount"))
+        .agg(F.count("id").alias("n"), money_sum(orders, "payment_amount").alias("amount"))
     )
     keys = ["id"] if by_id else []
     out = (
@@ -174,7 +174,7 @@ def member_consumption(
     """
     spend = (
         orders.groupBy(F.col("user_id").alias("id"))
-        .agg(F.sum("payment_amount").alias("spent"))
+        .agg(money_sum(orders, "payment_amount").alias("spent"))
         .where(F.col("spent").isNotNull())
         .join(users.select("id"), "id", "left_semi")
     )

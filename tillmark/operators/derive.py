@@ -16,7 +16,7 @@ from tillmark.fixed_values import (
     MARKET_SHARE,
     WEEKEND_WEIGHT,
 )
-from tillmark.functions import Day, as_date, order_number, product_code, session_key
+from tillmark.functions import Day, as_date, money_sum, order_number, product_code, session_key
 from tillmark.operators.joins import grid
 
 MONEY = "decimal(12,2)"
@@ -45,9 +45,9 @@ def line_amounts(lines: DataFrame, rate: str = "discount_rate") -> DataFrame:
 def order_totals(details: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Order amounts rolled up from the lines; shipping comes from ``orders`` if given."""
     totals = details.groupBy("order_id").agg(
-        F.sum("total_price").alias("total_amount"),
-        F.sum("discount_price").alias("discount_amount"),
-        F.sum("actual_price").alias("net_amount"),
+        money_sum(details, "total_price").alias("total_amount"),
+        money_sum(details, "discount_price").alias("discount_amount"),
+        money_sum(details, "actual_price").alias("net_amount"),
     )
     if orders is None:
         return totals.withColumnRenamed("net_amount", "payment_amount")

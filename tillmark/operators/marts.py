@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmark.fixed_values import COMPLETED
-from tillmark.functions import Day, days_between, month_key, ratio
+from tillmark.functions import Day, days_between, money_sum, month_key, ratio
 
 
 def completed(orders: DataFrame) -> DataFrame:
@@ -21,9 +21,9 @@ def sales_summary(orders: DataFrame, channels: DataFrame) -> DataFrame:
         .groupBy(F.to_date("create_time").alias("sale_date"), "channel_id")
         .agg(
             F.count("id").alias("n"),
-            F.sum("total_amount").alias("total"),
-            F.sum("discount_amount").alias("discount"),
-            F.sum("payment_amount").alias("paid"),
+            money_sum(orders, "total_amount").alias("total"),
+            money_sum(orders, "discount_amount").alias("discount"),
+            money_sum(orders, "payment_amount").alias("paid"),
         )
     )
     dims = channels.select(F.col("id").alias("channel_id"), "channel_type", "channel_name")
@@ -61,7 +61,7 @@ def product_sales_ranking(
         .groupBy("product_id")
         .agg(
             F.sum("quantity").alias("total_quantity"),
-            F.sum("total_price").alias("total_sales"),
+            money_sum(details, "total_price").alias("total_sales"),
             F.countDistinct("order_id").alias("order_count"),
         )
     )
@@ -97,7 +97,7 @@ def online_offline_comparison(orders: DataFrame) -> DataFrame:
         .groupBy(month_key("create_time").alias("sale_month"), "order_source")
         .agg(
             F.count("id").alias("order_count"),
-            F.sum("payment_amount").alias("sales_amount"),
+            money_sum(orders, "payment_amount").alias("sales_amount"),
             F.countDistinct("user_id").alias("customer_count"),
         )
         .withColumn("avg_order_value", ratio("sales_amount", "order_count"))
@@ -118,7 +118,7 @@ def user_purchase_behavior(
         .groupBy("user_id", F.to_date("create_time").alias("day"), "channel_id")
         .agg(
             F.count("id").alias("n"),
-            F.sum("payment_amount").alias("paid"),
+            money_sum(orders, "payment_amount").alias("paid"),
             F.max("create_time").alias("latest"),
         )
     )
@@ -166,9 +166,9 @@ def campaign_performance(campaigns: DataFrame, orders: DataFrame) -> DataFrame:
         .groupBy("campaign_id")
         .agg(
             F.count("id").alias("n"),
-            F.sum("total_amount").alias("gross_sales"),
-            F.sum("discount_amount").alias("total_discount"),
-            F.sum("payment_amount").alias("net_sales"),
+            money_sum(orders, "total_amount").alias("gross_sales"),
+            money_sum(orders, "discount_amount").alias("total_discount"),
+            money_sum(orders, "payment_amount").alias("net_sales"),
             F.countDistinct("user_id").alias("customers"),
         )
     )

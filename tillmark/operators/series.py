@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmark.fixed_values import HISTORY_DAYS, MIN_HISTORY_DAYS
-from tillmark.functions import Day, since
+from tillmark.functions import Day, money_sum, since
 
 LAGS = range(1, 8)
 ROLLING = (7, 14)
@@ -48,7 +48,7 @@ def daily_series(
         )
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum("payment_amount"), F.lit(0)).alias("amount"),
+            F.coalesce(money_sum(orders, "payment_amount"), F.lit(0)).alias("amount"),
         )
     )
     following = F.lead("first").over(_by_day("first"))

@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime plan changes that keep hot keys from ending up in one task. The force flag
-# lets a skewed join be split even where that costs one more shuffle.
-ADAPTIVE = {
+# lets a skewed join be split even where that costs one more shuffle. ANSI mode turns an
+# overflowing sum into an error.
+SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,7 +20,7 @@ ADAPTIVE = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    for key, value in ADAPTIVE.items():
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
@@ -33,7 +35,7 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
-        **ADAPTIVE,
+        **SETTINGS,
         **(conf or {}),
     }
     for key, value in settings.items():
