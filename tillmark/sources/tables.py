@@ -83,13 +83,9 @@ class Jdbc:
     def _bounds(
         self, spark: SparkSession, table: str, split_by: str, parts: int
     ) -> dict[str, str]:
-        low, high = (
-            spark.read.format("jdbc")
-            .options(**self.options(), dbtable=table)
-            .load()
-            .agg(F.min(split_by), F.max(split_by))
-            .first()
-        )
+        # As a query of its own the database answers it from the key.
+        ends = f"SELECT MIN({split_by}) AS low, MAX({split_by}) AS high FROM {table}"
+        low, high = spark.read.format("jdbc").options(**self.options(), query=ends).load().first()
         return {} if low is None else split_options(split_by, low, high, parts)
 
     def tables(self, spark: SparkSession, database: str) -> DataFrame:
@@ -98,7 +94,7 @@ class Jdbc:
             .options(**self.options(), dbtable="information_schema.tables")
             .load()
             .where(F.col("table_schema") == database)
-            .select("table_name")
+            .select(F.col("table_name").alias("table_name"))
         )
 
     def append(self, df: DataFrame, table: str, batch_rows: int = 1000, writers: int = 16) -> None:
