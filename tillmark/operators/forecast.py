@@ -350,23 +350,26 @@ def growth_rate(history: DataFrame, predictions: DataFrame, days: int = FORECAST
 
     0 when the history is shorter than that or its total is not positive.
     """
-    recent = F.col("k") <= days
-    base = (
-        history.withColumn("k", F.row_number().over(_newest_first()))
+    past = history.select(
+        "series_key", "total_amount", F.row_number().over(_newest_first()).alias("k")
+    )
+    ahead = predictions.select("series_key", "predicted_amount")
+    totals = (
+        past.unionByName(ahead, allowMissingColumns=True)
         .groupBy("series_key")
         .agg(
-            F.sum(F.when(recent, F.col("total_amount"))).cast("double").alias("previous"),
-            F.count(F.lit(1)).alias("history_days"),
+            F.sum(F.when(F.col("k") <= days, F.col("total_amount")))
+            .cast("double")
+            .alias("previous"),
+            F.count("k").alias("history_days"),
             F.min("total_amount").cast("double").alias("lowest"),
             F.max("total_amount").cast("double").alias("highest"),
+            F.sum("predicted_amount").alias("predicted_total"),
         )
     )
-    ahead = predictions.groupBy("series_key").agg(
-        F.sum("predicted_amount").alias("predicted_total")
-    )
     grows = (F.col("history_days") >= days) & (F.col("previous") > 0)
     rate = (F.col("predicted_total") - F.col("previous")) / F.col("previous") * 100
-    return base.join(ahead, "series_key", "left").select(
+    return totals.select(
         "series_key",
         "history_days",
         "lowest",
@@ -424,9 +427,15 @@ def forecast_report(
     ``metrics`` has the in-sample ``mse`` and ``r2_score`` per series. Series without a
     prediction come out with the status ``insufficient_history``.
     """
-    growth = growth_rate(history, predictions, days)
+    parts = growth_rate(history, predictions, days).unionByName(
+        metrics.select("series_key", "mse", "r2_score"), allowMissingColumns=True
+    )
+    # One row of each part per series; the maximum picks the one value there is.
+    whole = parts.groupBy("series_key").agg(
+        *[F.max(c).alias(c) for c in parts.columns if c != "series_key"]
+    )
     done = F.col("predicted_total").isNotNull()
-    return growth.join(metrics, "series_key", "left").select(
+    return whole.select(
         "series_key",
         F.when(done, "ok").otherwise("insufficient_history").alias("status"),
         F.col("history_days").alias("prediction_start_index"),
