@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR names the test directory, BENCH_CPUS the local threads, BENCH_RUNS how often
-each query is timed after one warm-up run; the best time counts. Names as arguments
-restrict the run.
+each query is timed. All queries run once before any is timed, and the best time counts.
+Names as arguments restrict the run.
 """
 
 from __future__ import annotations
@@ -43,14 +43,16 @@ def main() -> None:
         conf={"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    times: dict[str, float] = {}
-    for name in sys.argv[1:] or HEADLINE:
-        taken = []
-        for _ in range(runs + 1):
-            start = time.perf_counter()
-            REGISTRY[name](spark, directory).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - start)
-        times[name] = round(min(taken[1:] or taken), 3)
+
+    def timed(name: str) -> float:
+        start = time.perf_counter()
+        REGISTRY[name](spark, directory).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    names = sys.argv[1:] or HEADLINE
+    for name in names:
+        timed(name)
+    times = {name: round(min(timed(name) for _ in range(runs)), 3) for name in names}
     spark.stop()
     print(
         json.dumps(

@@ -74,22 +74,23 @@ def user_distribution(addresses: DataFrame) -> DataFrame:
 def category_sales(
     categories: DataFrame, products: DataFrame, details: DataFrame, by_id: bool = False
 ) -> DataFrame:
-    """Net sales per category; categories without sales are kept with zero."""
-    per_product = details.groupBy("product_id").agg(money_sum(details, "actual_price").alias("sales"))
-    per_category = (
-        per_product.join(
-            products.select(F.col("id").alias("product_id"), "category_id"), "product_id"
-        )
-        .groupBy("category_id")
-        .agg(F.sum("sales").alias("sales"))
-    )
-    keys = [F.col("id").alias("category_id")] if by_id else []
-    named = categories.select("id", "category_name").join(
-        per_category, F.col("id") == F.col("category_id"), "left"
-    )
+    """Net sales per category; categories without sales are kept with zero.
+
+    Every category enters once more with zero, so none is lost and the names need one
+    aggregation only.
+    """
+    per_product = details.groupBy("product_id").agg(
+        money_sum(details, "actual_price").alias("sales")
+    )
+    names = categories.select(F.col("id").alias("category_id"), "category_name")
+    sold = per_product.join(
+        products.select(F.col("id").alias("product_id"), "category_id"), "product_id"
+    ).join(names, "category_id")
+    keys = ["category_id", "category_name"] if by_id else ["category_name"]
     return (
-        named.drop("category_id")
-        .groupBy(*keys, "category_name")
+        sold.select(*keys, "sales")
+        .unionByName(names.select(*keys, F.lit(0).cast("decimal(20,2)").alias("sales")))
+        .groupBy(*keys)
         .agg(F.coalesce(F.sum("sales"), F.lit(0)).alias("total_sales"))
         .orderBy(F.desc("total_sales"), "category_name")
     )
@@ -102,19 +103,22 @@ def channel_analysis(channels: DataFrame, orders: DataFrame, by_id: bool = False
         .groupBy("channel_id")
         .agg(F.count("id").alias("n"), money_sum(orders, "payment_amount").alias("amount"))
     )
-    keys = ["id"] if by_id else []
-    out = (
-        channels.select("id", "channel_name")
-        .join(per_channel, F.col("id") == F.col("channel_id"), "left")
-        .groupBy(*keys, "channel_name")
+    names = channels.select(F.col("id").cast("long").alias("channel_id"), "channel_name")
+    keys = ["channel_id", "channel_name"] if by_id else ["channel_name"]
+    sold = per_channel.withColumn("channel_id", F.col("channel_id").cast("long"))
+    none = names.withColumns(
+        {"n": F.lit(0).cast("long"), "amount": F.lit(0).cast("decimal(20,2)")}
+    )
+    return (
+        sold.join(names, "channel_id")
+        .unionByName(none)
+        .groupBy(*keys)
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("order_count"),
+            F.sum("n").alias("order_count"),
             F.coalesce(F.sum("amount"), F.lit(0)).alias("total_amount"),
         )
+        .orderBy(F.desc("total_amount"), "channel_name")
     )
-    if by_id:
-        out = out.withColumnRenamed("id", "channel_id")
-    return out.orderBy(F.desc("total_amount"), "channel_name")
 
 
 def user_behavior(behavior: DataFrame, labels: dict[str, str] | None = None) -> DataFrame:

@@ -101,15 +101,19 @@ def grid(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    left_blocks: int = 64,
+    left_blocks: int | None = None,
     right_blocks: int = 1,
 ) -> DataFrame:
     """All combinations of the two sides, as an equi-join on hashed blocks.
 
     Each side is split into blocks and repeated once per block of the other side, so
     the work spreads over ``left_blocks * right_blocks`` join keys. Raise
-    ``right_blocks`` when the right side is more than a short list.
+    ``right_blocks`` when the right side is more than a short list. The left side gets
+    some blocks for every shuffle partition by default.
     """
+    if left_blocks is None:
+        left_blocks = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def block(key: str, n: int) -> Column:
         return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
 

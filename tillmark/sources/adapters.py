@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.functions import money_sum
+
 MONEY = "decimal(12,2)"
 
 # With a declared schema no file has to be opened to plan a query.
@@ -138,10 +140,9 @@ class Retail:
 
     def orders_with_discounts(self) -> DataFrame:
         """Orders with ``discount_amount`` from their lines and the gross total."""
-        cuts = (
-            self.details()
-            .groupBy(F.col("order_id").alias("id"))
-            .agg(F.sum("discount_price").alias("cut"))
+        details = self.details()
+        cuts = details.groupBy(F.col("order_id").alias("id")).agg(
+            money_sum(details, "discount_price").alias("cut")
         )
         cut = F.coalesce("cut", F.lit(0)).cast(MONEY)
         return (
