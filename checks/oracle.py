@@ -42,6 +42,11 @@ r_channels(id, channel_name, channel_type) AS (
   VALUES (1,'Web','online'), (2,'App','online'), (3,'Mini','online'),
          (4,'Shop','offline'), (5,'Phone','offline'), (6,'Kiosk','offline'))"""
 
+LEVELS = """
+r_levels(id, level_name, low, high) AS (
+  VALUES (1,'T1',0,1500000), (2,'T2',1500001,2500000), (3,'T3',2500001,3500000),
+         (4,'T4',3500001,9999999), (5,'T5',10000000,99999999))"""
+
 CATEGORIES = """
 r_categories(id, category_name) AS (
   VALUES (1,'ECONOMY'), (2,'LARGE'), (3,'MEDIUM'), (4,'PROMO'), (5,'SMALL'), (6,'STANDARD'),
@@ -211,6 +216,16 @@ GONE = "SELECT c_custkey FROM customer WHERE c_acctbal < 0"
 UNIT = ("(CAST(CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), 1, 12) AS BIGINT)"
         " AS DOUBLE) + 0.5) / 281474976710656.0")
 
+RANKING = f"""WITH {ORDERS},{DETAILS},{PRODUCTS}
+SELECT p.id AS product_id, p.product_name, p.product_code, c.category_name,
+       CAST(sum(d.quantity) AS BIGINT) AS total_quantity,
+       CAST(sum(d.total_price) AS DOUBLE) AS total_sales,
+       count(DISTINCT o.id) AS order_count,
+       {mean('sum(d.total_price)', 'sum(d.quantity)')} AS avg_price
+FROM r_details d JOIN r_orders o ON o.id = d.order_id JOIN r_products p ON p.id = d.product_id
+     JOIN r_categories c ON c.id = p.category_id
+WHERE o.order_status = 3 GROUP BY 1, 2, 3, 4"""
+
 ORACLE: dict[str, str] = {
     # --- dashboard
     "sales_trend": f"""WITH {ORDERS}
@@ -250,16 +265,33 @@ FROM (SELECT p_name AS product_name, CAST(sum(CAST(l_quantity AS INTEGER)) AS BI
                AS total_quantity
       FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY p_name)
 ORDER BY total_quantity DESC, product_name LIMIT 10""",
-    "member_consumption": f"""WITH {ORDERS},
-r_levels(id, level_name, low, high) AS (
-  VALUES (1,'T1',0,1500000), (2,'T2',1500001,2500000), (3,'T3',2500001,3500000),
-         (4,'T4',3500001,9999999), (5,'T5',10000000,99999999)),
+    "member_consumption": f"""WITH {ORDERS},{LEVELS},
 r_spend AS (SELECT user_id, sum(payment_amount) AS spent FROM r_orders
             WHERE user_id IN (SELECT c_custkey FROM customer) GROUP BY 1)
 SELECT level_name, count(user_id) AS user_count,
        CAST(coalesce(sum(spent), 0) AS DOUBLE) AS total_amount,
        coalesce({mean('sum(spent)', 'nullif(count(user_id), 0)', 6)}, 0) AS avg_amount
 FROM r_levels LEFT JOIN r_spend ON spent BETWEEN low AND high GROUP BY level_name""",
+    "member_consumption_half_open": f"""WITH {ORDERS},{LEVELS},
+r_open AS (SELECT *, lead(low) OVER (ORDER BY low) AS following FROM r_levels),
+r_spend AS (SELECT user_id, sum(payment_amount) AS spent FROM r_orders
+            WHERE user_id IN (SELECT c_custkey FROM customer) GROUP BY 1)
+SELECT level_name, count(user_id) AS user_count,
+       CAST(coalesce(sum(spent), 0) AS DOUBLE) AS total_amount,
+       coalesce({mean('sum(spent)', 'nullif(count(user_id), 0)', 6)}, 0) AS avg_amount
+FROM r_open LEFT JOIN r_spend ON spent >= low AND (following IS NULL OR spent < following)
+GROUP BY level_name""",
+    "member_tier_lookup": f"""WITH {ORDERS},{LEVELS},
+r_spend AS (SELECT user_id, sum(payment_amount) AS spent FROM r_orders GROUP BY 1)
+SELECT user_id, CAST(spent AS DOUBLE) AS spent, level_name
+FROM r_spend JOIN r_levels ON spent BETWEEN low AND high""",
+    "hot_products_by_id": """
+SELECT CAST(row_number() OVER (ORDER BY total_quantity DESC, product_name, product_id)
+            AS INTEGER) AS rank, product_id, product_name, total_quantity
+FROM (SELECT p_partkey AS product_id, p_name AS product_name,
+             CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS total_quantity
+      FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)
+ORDER BY total_quantity DESC, product_name, product_id LIMIT 10""",
     "share_of_total": f"""WITH {CATEGORY_SALES},
 r_total AS (SELECT CAST(sum(total_sales) AS DOUBLE) AS total FROM r_category_sales),
 r_small AS (SELECT category_name, total_sales, total,
@@ -279,15 +311,10 @@ SELECT {day('create_time')} AS sale_date, c.channel_type, c.channel_name,
        {mean('sum(payment_amount)', 'count(o.id)')} AS avg_order_value
 FROM r_gross o LEFT JOIN r_channels c ON c.id = o.channel_id
 WHERE order_status = 3 GROUP BY 1, 2, 3""",
-    "view_product_sales_ranking": f"""WITH {ORDERS},{DETAILS},{PRODUCTS}
-SELECT p.id AS product_id, p.product_name, p.product_code, c.category_name,
-       CAST(sum(d.quantity) AS BIGINT) AS total_quantity,
-       CAST(sum(d.total_price) AS DOUBLE) AS total_sales,
-       count(DISTINCT o.id) AS order_count,
-       {mean('sum(d.total_price)', 'sum(d.quantity)')} AS avg_price
-FROM r_details d JOIN r_orders o ON o.id = d.order_id JOIN r_products p ON p.id = d.product_id
-     JOIN r_categories c ON c.id = p.category_id
-WHERE o.order_status = 3 GROUP BY 1, 2, 3, 4""",
+    "view_product_sales_ranking": RANKING,
+    "product_sales_top": f"""SELECT * FROM (
+  SELECT *, CAST(rank() OVER (ORDER BY total_sales DESC) AS INTEGER) AS rank FROM ({RANKING})
+) ORDER BY total_sales DESC, product_id LIMIT 100""",
     "view_online_offline_comparison": f"""WITH {ORDERS}
 SELECT strftime(create_time, '%Y-%m') AS sale_month, order_source, count(id) AS order_count,
        CAST(sum(payment_amount) AS DOUBLE) AS sales_amount,
@@ -352,6 +379,12 @@ SELECT series_key, round_even(greatest(0.0, least(100.0, CASE WHEN r2_score > 0
 FROM r_scores JOIN r_range USING (series_key)""",
     "forecast_weekly_repeat": f"""WITH {history('channel_id')},{REPEAT}
 SELECT series_key, {day('date')} AS date, step, predicted_amount FROM r_ahead""",
+    "linear_forecast_legacy": f"""WITH {history(None)},{REPEAT}
+SELECT series_key, {day('date')} AS date, step, predicted_amount FROM r_ahead""",
+    "linear_fit_legacy": f"""WITH {history(None)},{features(0)}
+SELECT series_key, {day('date')} AS date, 'in_sample' AS part,
+       CAST(total_amount AS DOUBLE) AS actual, CAST(total_amount AS DOUBLE) AS predicted
+FROM r_features""",
     "forecast_growth": f"""WITH {history('channel_id')},{REPEAT},{GROWTH}
 SELECT series_key, history_days, round(predicted_total, 2) AS predicted_total,
        round(growth_rate, 6) AS growth_rate, {VERDICT} AS conclusion FROM r_growth""",
@@ -402,6 +435,8 @@ FROM r_found, r_total ORDER BY id DESC LIMIT 20 OFFSET 20""",
     "user_search_after": f"""WITH {USERS}
 SELECT id, username, nickname, role FROM r_users WHERE role = 'user' AND id < 1000
 ORDER BY id DESC LIMIT 20""",
+    "user_age": """SELECT o_custkey AS user_id, strftime(min(o_orderdate), '%Y-%m-%d') AS birthday,
+       CAST(2001 - year(min(o_orderdate)) AS INTEGER) AS age FROM orders GROUP BY 1""",
     "user_by_id": f"WITH {USERS} SELECT id, username, nickname, role FROM r_users WHERE id = 42",
     "user_by_name": f"""WITH {USERS}
 SELECT id, username, nickname, role FROM r_users WHERE username = 'Customer#000000042'""",

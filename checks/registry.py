@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from tillmark import session
 from tillmark.fixed_values import BEHAVIOR_WEIGHTS, PAYMENT_WEIGHTS
-from tillmark.functions import hashed_unit
+from tillmark.functions import age, hashed_unit, money_sum
 from tillmark.operators import dashboard, derive, directory, forecast, marts, quality, series
+from tillmark.operators.joins import range_lookup
 from tillmark.operators.versions import latest_version
 from tillmark.schemas import SCHEMAS, conform
 from tillmark.sources import sync, tables
@@ -90,6 +91,26 @@ def member_consumption(r: Retail) -> DataFrame:
     return dashboard.member_consumption(r.levels(), r.users(), r.orders())
 
 
+@query
+def member_consumption_half_open(r: Retail) -> DataFrame:
+    return dashboard.member_consumption(r.levels(), r.users(), r.orders(), half_open=True)
+
+
+@query
+def member_tier_lookup(r: Retail) -> DataFrame:
+    """The way tiers are found when there are too many to send to every executor."""
+    orders = r.orders()
+    spend = orders.groupBy("user_id").agg(money_sum(orders, "payment_amount").alias("spent"))
+    return range_lookup(
+        spend, "spent", r.levels(), "min_points", "max_points", small_rows=0
+    ).select("user_id", "spent", "level_name")
+
+
+@query
+def hot_products_by_id(r: Retail) -> DataFrame:
+    return dashboard.hot_products(r.details(), r.products(), by_id=True)
+
+
 @query
 def share_of_total(r: Retail) -> DataFrame:
     sales = dashboard.category_sales(r.categories(), r.products(), r.details())
@@ -109,6 +130,13 @@ def view_product_sales_ranking(r: Retail) -> DataFrame:
     return marts.product_sales_ranking(r.details(), r.orders(), r.products(), r.categories())
 
 
+@query
+def product_sales_top(r: Retail) -> DataFrame:
+    return marts.product_sales_ranking(
+        r.details(), r.orders(), r.products(), r.categories(), top=100
+    )
+
+
 @query
 def view_online_offline_comparison(r: Retail) -> DataFrame:
     return marts.online_offline_comparison(r.orders())
@@ -237,6 +265,21 @@ def linear_forecast(r: Retail) -> DataFrame:
     return forecast.linear_forecast(_by_channel(r))
 
 
+@query
+def linear_forecast_legacy(r: Retail) -> DataFrame:
+    """The model really fitted and stepped; its exact fit makes the result known."""
+    ahead = forecast.linear_forecast(_single(r), mode="legacy")
+    return ahead.withColumn("predicted_amount", F.round("predicted_amount", 2))
+
+
+@query
+def linear_fit_legacy(r: Retail) -> DataFrame:
+    fitted = forecast.linear_fit(_single(r), mode="legacy")
+    return fitted.withColumns(
+        {"actual": F.round("actual", 2), "predicted": F.round("predicted", 2)}
+    ).where(F.col("part") == "in_sample")
+
+
 @query
 def linear_fit(r: Retail) -> DataFrame:
     fitted = forecast.linear_fit(_by_channel(r))
@@ -389,6 +432,15 @@ def user_search_after(r: Retail) -> DataFrame:
     return directory.user_search_after(r.users(), last_id=1000)
 
 
+@query
+def user_age(r: Retail) -> DataFrame:
+    """Ages, taking the day of a user's first order for a birthday."""
+    first = r.orders().groupBy("user_id").agg(
+        F.min(F.to_date("create_time")).cast("string").alias("birthday")
+    )
+    return first.select("user_id", "birthday", age("birthday", AS_OF).alias("age"))
+
+
 @query
 def user_by_id(r: Retail) -> DataFrame:
     return directory.user_by_id(r.users(), 42)

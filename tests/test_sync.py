@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmark import session
@@ -126,6 +127,22 @@ def test_writers(spark, frame, base):
     assert tables.read_table(spark, f"{base}/x", "t", T.StructType.fromDDL("id long")).count() == 2
 
 
+def test_files_in_time_order_cover_short_spans(spark, base):
+    df = spark.range(4000).repartition(4).select(
+        "id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,id % 97)").alias("t")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tables.write_by_time(df, base, "t")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spans = (
+        spark.read.parquet(base).groupBy(F.input_file_name().alias("f"))
+        .agg(F.min("t").alias("a"), F.max("t").alias("b"), F.count("t").alias("n")).orderBy("a")
+        .collect()
+    )
+    assert len(spans) > 1 and sum(s.n for s in spans) == 4000
+    assert all(x.b <= y.a for x, y in zip(spans, spans[1:]))
+
+
 def test_the_mark_reaches_the_scan(spark, frame, base):
     tables.append_rows(frame(ROWS, [(1, "a", at(1))]), base)
     newer = tables.after_mark(spark.read.parquet(base), "update_time", "2024-01-01 00:00:00")

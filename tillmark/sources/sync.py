@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -43,10 +44,12 @@ class Exported:
     mark: Mark
 
 
-def _written(spark: SparkSession, path: str, column: str | None) -> tuple[int, str | None]:
+def _written(df: DataFrame, path: str, column: str | None) -> tuple[int, str | None]:
     """Rows below ``path`` and their newest time, from one narrow scan of what is stored."""
-    newest = F.max(column) if column else F.lit(None)
-    rows, top = spark.read.parquet(path).agg(F.count(F.lit(1)), newest).first()
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows, top = stored.agg(
+        F.count(F.lit(1)), F.max(column) if column else F.lit(None)
+    ).first()
     return rows, None if top is None else str(top)
 
 
@@ -54,7 +57,7 @@ def export_full(df: DataFrame, base: str, table: str, column: str | None = None)
     """Replace the copy of a table."""
     path = f"{base}/{table}"
     df.withColumn(BATCH, F.lit(0)).write.mode("overwrite").partitionBy(BATCH).parquet(path)
-    rows, top = _written(df.sparkSession, path, column)
+    rows, top = _written(df, path, column)
     return Exported(table, "full", rows, Mark(column, top, 1))
 
 
@@ -80,7 +83,7 @@ def export_incremental(
         start = str(dt.datetime.fromisoformat(state.mark) - overlap)
     path = f"{base}/{table}/{BATCH}={state.next_batch}"
     after_mark(df, column, start).write.mode("overwrite").parquet(path)
-    rows, top = _written(df.sparkSession, path, column)
+    rows, top = _written(df, path, column)
     if top is None:
         return Exported(table, "incremental", rows, state)
     mark = Mark(column, max(top, state.mark), state.next_batch + 1)
@@ -127,31 +130,46 @@ def sync_all(
     tables: Iterable[str],
     incremental: bool = True,
     overlap: dt.timedelta | None = None,
+    at_once: int = 4,
 ) -> list[Exported]:
-    """Export every table in turn and save its mark, so a failure keeps the progress.
+    """Export every table, some at a time, and save each mark once its rows are written.
 
     A table without a time column is exported in full each time. A full export first
     takes the mark back, so if it fails halfway the next run starts over. Afterwards it
-    stores the newest time, and the next incremental run goes on from there.
+    stores the newest time, and the next incremental run goes on from there. A failing
+    table does not stop the others; its error is raised when they are done.
     """
     marks, run = _load(spark, base)
-    out = []
-    for table in tables:
-        df = source(table)
-        column = time_column(df.columns)
-        state = marks.get(table, Mark())
-        if incremental and column:
-            done = export_incremental(df, base, table, column, state, overlap)
-        else:
-            if state.mark is not None:
+    frames = {table: source(table) for table in tables}
+    columns = {table: time_column(df.columns) for table, df in frames.items()}
+
+    def follows(table: str) -> bool:
+        return incremental and columns[table] is not None
+
+    def export(table: str) -> Exported:
+        df, column = frames[table], columns[table]
+        if follows(table):
+            return export_incremental(df, base, table, column, marks.get(table, Mark()), overlap)
+        return export_full(df, base, table, column)
+
+    restarted = {
+        t: Mark(columns[t]) for t in frames
+        if not follows(t) and t in marks and marks[t].mark is not None
+    }
+    if restarted:
+        run += 1
+        save_marks(spark, base, restarted, run)
+        marks |= restarted
+
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {pool.submit(export, table): table for table in frames}
+        # Marks are saved one after another, here, since they share a folder.
+        for job in as_completed(running):
+            table = running[job]
+            if job.exception() is None and job.result().mark != marks.get(table):
                 run += 1
-                save_marks(spark, base, {table: Mark(column)}, run)
-            done = export_full(df, base, table, column)
-        if done.mark != state:
-            run += 1
-            save_marks(spark, base, {table: done.mark}, run)
-        out.append(done)
-    return out
+                save_marks(spark, base, {table: job.result().mark}, run)
+    return [job.result() for job in running]
 
 
 def export_all(
