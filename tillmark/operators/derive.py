@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmark.fixed_values import (
     CALENDAR_DAYS,
@@ -28,10 +29,12 @@ def line_amounts(lines: DataFrame, rate: str = "discount_rate") -> DataFrame:
     Only lines of an order with a campaign are discounted. The discount is rounded to
     cents, ties to the even cent.
     """
+    share = F.col(rate)
+    if not isinstance(lines.schema[rate].dataType, T.DecimalType):
+        share = share.cast("decimal(20,18)")
     total = (F.col("unit_price").cast(MONEY) * F.col("quantity")).cast(MONEY)
     cut = F.when(
-        F.col("campaign_id").isNotNull(),
-        F.bround(F.col("total_price") * F.col(rate).cast("decimal(20,18)"), 2),
+        F.col("campaign_id").isNotNull(), F.bround(F.col("total_price") * share, 2)
     )
     return (
         lines.withColumn("total_price", total)

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmark.operators.versions import latest_version
 from tillmark.sources.tables import after_mark, time_column
@@ -118,8 +119,11 @@ def save_marks(spark: SparkSession, base: str, marks: dict[str, Mark], run: int)
 
     ``run`` grows with every save; the highest one counts.
     """
-    rows = [(run, t, m.column, m.mark, m.next_batch) for t, m in marks.items()]
-    stored = spark.createDataFrame(rows, _MARKS_SCHEMA).coalesce(1)
+    rows = [
+        F.struct(*map(F.lit, (run, t, m.column, m.mark, m.next_batch))) for t, m in marks.items()
+    ]
+    kind = T.StructType.fromDDL(_MARKS_SCHEMA).simpleString()
+    stored = spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows).cast(f"array<{kind}>")))
     stored.write.mode("append").parquet(f"{base}/{MARKS}")
 
 
