@@ -64,6 +64,12 @@ def test_payloads_of_empty_tables(spark, frame):
     assert run["channel_analysis"]["channels"] == [NO_DATA]
 
 
+def test_default_prediction_without_enough_days(spark, frame):
+    for orders in ([], [order(1), order(2)]):
+        out = charts.sales_prediction(shop(spark, frame, orders), AS_OF)
+        assert out["error"] and out["historical"] == [0]
+
+
 @pytest.mark.parametrize("n", [5, 40])
 def test_prediction_payload(spark, frame, n):
     first = dt.datetime(2024, 1, 10) - dt.timedelta(days=n)

@@ -78,6 +78,23 @@ def test_sync_all_marks_and_tables_without_a_time(spark, frame, base):
     assert rows_of(sync.read_synced(spark, base, "t")) == [(1, "a"), (2, "b")]
 
 
+def test_marks_of_zoned_times_hold_in_any_session_zone(spark, base):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        df = spark.sql("SELECT 1L AS id, timestamp'2024-01-01 10:00:00.5' AS update_time")
+        done = sync.export_incremental(df, base, "t", "update_time")
+        assert done.mark.mark == "2024-01-01 10:00:00.5"
+        again = sync.export_incremental(df, base, "t", "update_time", done.mark)
+        assert again.rows == 0
+        back = sync.export_incremental(
+            df, base, "t", "update_time", done.mark, dt.timedelta(minutes=1)
+        )
+        assert back.rows == 1 and back.mark.mark == done.mark.mark
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_a_failed_full_run_starts_over(spark, frame, base):
     state = {"t": frame(ROWS, [(1, "a", at(1))])}
     sync.sync_all(spark, state.__getitem__, base, state)

@@ -39,6 +39,7 @@ from tillmark.session import use_checkpoints
 
 HOLDOUT_DAYS = 14
 MEMORY = max(ROLLING)
+METRICS = "series_key string, mse double, r2_score double"
 PREDICTION = "series_key string, date date, step int, predicted_amount double"
 
 
@@ -51,6 +52,10 @@ def _long_enough(series_df: DataFrame, days: int = MIN_HISTORY_DAYS) -> DataFram
     return series_df.withColumn("_n", n).where(F.col("_n") >= days).drop("_n")
 
 
+def _nothing(df: DataFrame, schema: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
+
+
 # --- linear ----------------------------------------------------------------------------
 
 
@@ -469,10 +474,13 @@ def sales_prediction(
         # Training and every step read the series again; it is small, and written once.
         use_checkpoints(orders.sparkSession)
         history = history.checkpoint(eager=True)
-        model = fit_forest(history, mode)
-        predictions = forest_forecast(history, model, days, mode)
-        fitted, label = forest_fit(history, model, mode), "Random Forest"
-        metrics = fit_metrics(fitted, ["series_key"])
+        label = "Random Forest"
+        if feature_frame(history, mode).isEmpty():
+            predictions, metrics = _nothing(history, PREDICTION), _nothing(history, METRICS)
+        else:
+            model = fit_forest(history, mode)
+            predictions = forest_forecast(history, model, days, mode)
+            metrics = fit_metrics(forest_fit(history, model, mode), ["series_key"])
     elif model_type == "linear":
         mode, label = mode or "clean", "Linear Regression"
         if mode == "legacy":

@@ -46,12 +46,13 @@ class Exported:
 
 
 def _written(df: DataFrame, path: str, column: str | None) -> tuple[int, str | None]:
-    """Rows below ``path`` and their newest time, from one narrow scan of what is stored."""
+    """Rows below ``path`` and their newest time, from one narrow scan of what is stored.
+
+    Spark writes the time as text and reads it back, so both happen in the session's zone.
+    """
+    newest = F.max(column).cast("string") if column else F.lit(None).cast("string")
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    rows, top = stored.agg(
-        F.count(F.lit(1)), F.max(column) if column else F.lit(None)
-    ).first()
-    return rows, None if top is None else str(top)
+    return tuple(stored.agg(F.count(F.lit(1)), newest).first())
 
 
 def export_full(df: DataFrame, base: str, table: str, column: str | None = None) -> Exported:
