@@ -6,6 +6,7 @@ from test_dashboard import ORDERS, order
 from pyspark.sql import functions as F
 
 from tillmark.operators import marts
+from tillmark.schemas import SCHEMAS
 
 CHANNELS = "id long, channel_name string, channel_type string"
 
@@ -88,3 +89,12 @@ def test_online_offline_by_month(frame):
     assert [(r.sale_month, r.order_count, r.customer_count) for r in rows] == [
         ("2024-02", 1, 1), ("2024-01", 2, 1)
     ]
+
+
+def test_native_tables_are_filtered_and_pruned_in_the_scan(spark, base):
+    orders = spark.createDataFrame([], SCHEMAS["sales_order"])
+    orders.write.parquet(base)
+    stored = spark.read.schema(SCHEMAS["sales_order"]).parquet(base)
+    plan = marts.online_offline_comparison(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(order_status,3)" in plan
+    assert "discount_amount" not in plan and "remark" not in plan

@@ -59,6 +59,22 @@ def test_overlap_catches_late_rows_of_the_same_time(spark, frame, base):
     ]
 
 
+def test_a_source_may_select_newer_rows_itself(spark, frame, base):
+    rows = frame(ROWS, [(1, "a", at(1)), (2, "b", at(2))])
+    asked = []
+
+    def newer(table, column, mark):
+        asked.append((table, column, mark))
+        return rows.where("id = 2")
+
+    sync.sync_all(spark, lambda _: rows.where("id = 1"), base, ["t"], newer=newer)
+    done = sync.sync_all(spark, lambda _: rows, base, ["t"], newer=newer)
+    assert asked == [("t", "update_time", "2024-01-01 00:00:00")] and done[0].rows == 1
+    assert tables.newer_rows(*asked[0]) == (
+        "(SELECT * FROM t WHERE update_time > '2024-01-01 00:00:00') AS newer"
+    )
+
+
 def test_sync_all_marks_and_tables_without_a_time(spark, frame, base):
     state = {"t": frame(ROWS, [(1, "a", at(1))]), "u": frame("id long, v string", [(1, "x")])}
     assert sync.load_marks(spark, base) == {}

@@ -53,6 +53,9 @@ def run(args: argparse.Namespace) -> list[Exported]:
         names,
         incremental=not (args.full or args.hook),
         overlap=overlap,
+        newer=lambda table, column, mark: database.read_after(
+            spark, table, column, mark, split_by="id", parts=args.parts
+        ),
     )
 
 

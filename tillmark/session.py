@@ -20,11 +20,28 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+    """Apply ``SETTINGS``, and sizes for large data on a cluster, where nothing else is set.
+
+    On a cluster shuffles start out with several partitions per core and adaptive
+    execution merges what turns out small; scans read larger splits.
+    """
+    wanted = dict(SETTINGS)
+    if not is_local(spark):
+        cores = spark.sparkContext.defaultParallelism
+        first = max(4 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        wanted["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(first)
+        wanted["spark.sql.files.maxPartitionBytes"] = "512MB"
+    given = spark.sparkContext.getConf()
+    for key, value in wanted.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
 def build_session(
     app: str = "tillmark", master: str | None = None, conf: dict[str, str] | None = None
 ) -> SparkSession:
@@ -40,14 +57,14 @@ def build_session(
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; local runs get one of their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="run-tillmark-")
         spark.conf.set("spark.checkpoint.dir", folder)

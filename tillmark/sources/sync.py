@@ -22,6 +22,8 @@ from tillmark.operators.versions import latest_version
 from tillmark.sources.tables import after_mark, time_column
 
 Source = Callable[[str], DataFrame]
+# Rows of a table whose column is later than a mark, where the source can tell by itself.
+Newer = Callable[[str, str, str], DataFrame]
 
 BATCH = "sync_batch"
 MARKS = "sync_marks"
@@ -70,9 +72,12 @@ def export_incremental(
     column: str,
     state: Mark = Mark(),
     overlap: dt.timedelta | None = None,
+    newer: Newer | None = None,
 ) -> Exported:
     """Export the rows after the mark as the next batch; everything when there is none.
 
+    ``newer`` fetches those rows from the source; without it ``df`` is filtered.
+
     With ``overlap`` the export reaches back that far behind the mark, which catches
     rows that arrived late with an older time. Rows then come twice and reading with a
     key keeps one. Without new rows the mark stays where it is.
@@ -84,7 +89,8 @@ def export_incremental(
     if overlap is not None:
         start = str(dt.datetime.fromisoformat(state.mark) - overlap)
     path = f"{base}/{table}/{BATCH}={state.next_batch}"
-    after_mark(df, column, start).write.mode("overwrite").parquet(path)
+    delta = newer(table, column, start) if newer else after_mark(df, column, start)
+    delta.write.mode("overwrite").parquet(path)
     rows, top = _written(df, path, column)
     if top is None:
         return Exported(table, "incremental", rows, state)
@@ -136,6 +142,7 @@ def sync_all(
     incremental: bool = True,
     overlap: dt.timedelta | None = None,
     at_once: int = 4,
+    newer: Newer | None = None,
 ) -> list[Exported]:
     """Export every table, some at a time, and save each mark once its rows are written.
 
@@ -154,7 +161,8 @@ def sync_all(
     def export(table: str) -> Exported:
         df, column = frames[table], columns[table]
         if follows(table):
-            return export_incremental(df, base, table, column, marks.get(table, Mark()), overlap)
+            state = marks.get(table, Mark())
+            return export_incremental(df, base, table, column, state, overlap, newer)
         return export_full(df, base, table, column)
 
     restarted = {

@@ -90,6 +90,21 @@ class Jdbc:
             options |= self._bounds(spark, table, split_by, parts)
         return spark.read.format("jdbc").options(**options, dbtable=table).load()
 
+    def read_after(
+        self,
+        spark: SparkSession,
+        table: str,
+        column: str,
+        mark: str,
+        split_by: str | None = None,
+        parts: int = 200,
+    ) -> DataFrame:
+        """Rows later than the mark, selected by the database.
+
+        The range queries divide the ids of those rows only, not of the whole table.
+        """
+        return self.read(spark, newer_rows(table, column, mark), split_by, parts)
+
     def _bounds(
         self, spark: SparkSession, table: str, split_by: str, parts: int
     ) -> dict[str, str]:
@@ -127,6 +142,11 @@ class Jdbc:
         )
 
 
+def newer_rows(table: str, column: str, mark: str) -> str:
+    """A subquery for the rows of a table later than the mark."""
+    return f"(SELECT * FROM {table} WHERE {column} > '{mark}') AS newer"
+
+
 def split_options(column: str, low, high, parts: int) -> dict[str, str]:
     return {
         "partitionColumn": column,
