@@ -25,7 +25,7 @@ HEADLINE = [
     "view_user_purchase_behavior", "view_campaign_performance",
     "daily_series", "feature_frame_clean", "forecast_weekly_repeat", "linear_forecast",
     "sales_prediction",
-    "incremental_scan", "incremental_merge", "latest_version_events", "sync_all",
+    "incremental_scan", "incremental_merge", "latest_version", "sync_all",
     "user_search_page", "name_conflicts", "apply_updates", "cascade_delete",
     "orphans", "duplicates", "null_violations", "order_total_mismatch",
     "order_totals", "line_amounts", "calendar_weights", "inventory_grid", "default_address",

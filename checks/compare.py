@@ -37,7 +37,9 @@ def canonical(value):
 def rows_of(columns: list[str], rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(canonical(r[i]) for i in order) for r in rows]
-    return sorted(out, key=lambda t: tuple((v is None, str(type(v)), v if v is not None else 0) for v in t))
+    return sorted(
+        out, key=lambda t: tuple((v is None, str(type(v)), 0 if v is None else v) for v in t)
+    )
 
 
 def oracle_connection(directory: str) -> duckdb.DuckDBPyConnection:

@@ -420,7 +420,7 @@ SELECT id, 'NO' || id AS order_no, user_id, CAST(channel_id AS BIGINT) AS channe
        CAST(NULL AS BIGINT) AS store_id,
        CASE WHEN channel_id IS NULL THEN 'channel_id' ELSE '' END AS invalid_columns
 FROM r_orders""",
-    "latest_version_events": f"""SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, value, props
+    "latest_version": f"""SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, value, props
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "landing_stream": f"""SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, value, props

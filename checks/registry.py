@@ -11,9 +11,17 @@ from pyspark.sql import types as T
 from tillmark import session
 from tillmark.fixed_values import BEHAVIOR_WEIGHTS, PAYMENT_WEIGHTS
 from tillmark.functions import age, hashed_unit, money_sum
-from tillmark.operators import dashboard, derive, directory, forecast, marts, quality, series
+from tillmark.operators import (
+    dashboard,
+    derive,
+    directory,
+    forecast,
+    marts,
+    quality,
+    series,
+    versions,
+)
 from tillmark.operators.joins import range_lookup
-from tillmark.operators.versions import latest_version
 from tillmark.schemas import SCHEMAS, conform
 from tillmark.sources import sync, tables
 from tillmark.sources.adapters import MONEY, Retail
@@ -381,8 +389,8 @@ def type_mapping(r: Retail) -> DataFrame:
 
 
 @query
-def latest_version_events(r: Retail) -> DataFrame:
-    return latest_version(r.raw("events"), "user_id", "ts")
+def latest_version(r: Retail) -> DataFrame:
+    return versions.latest_version(r.raw("events"), "user_id", "ts")
 
 
 @query
@@ -578,7 +586,9 @@ def line_amounts(r: Retail) -> DataFrame:
         F.col("l_discount").cast("decimal(4,2)").alias("discount_rate"),
         F.when(campaign, 1).alias("campaign_id"),
     )
-    prices = r.products().select(F.col("id").alias("product_id"), F.col("price").alias("unit_price"))
+    prices = r.products().select(
+        F.col("id").alias("product_id"), F.col("price").alias("unit_price")
+    )
     return derive.line_amounts(lines.join(prices, "product_id"))
 
 

@@ -200,6 +200,18 @@ def test_forest_steps_match_the_plain_recursion(frame):
     assert 0 < scores.r2_score < 1
 
 
+def test_one_forest_forecasts_many_series(frame):
+    both = days(frame, noisy(40, 1), "a").union(days(frame, noisy(30, 2), "b"))
+    both = both.union(days(frame, noisy(9), "short"))
+    model = forecast.fit_forest(both, "clean", trees=3, depth=3)
+    rows = forecast.forest_forecast(both, model, days=3, mode="clean").collect()
+    ends = {"a": START + dt.timedelta(days=39), "b": START + dt.timedelta(days=29)}
+    assert sorted((r.series_key, r.step, r.date) for r in rows) == [
+        (k, i, ends[k] + dt.timedelta(days=i + 1)) for k in ("a", "b") for i in range(3)
+    ]
+    assert all(r.predicted_amount >= 0 for r in rows)
+
+
 def test_stitched_points_have_one_value_each(frame):
     history = days(frame, noisy(30))
     rows = forecast.stitched(history, forecast.weekly_repeat(history)).collect()

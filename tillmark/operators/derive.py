@@ -91,7 +91,9 @@ def price_ladder(products: DataFrame) -> DataFrame:
     def share(text: str) -> Column:
         return F.round(price * F.lit(text).cast("decimal(3,1)"), 2).cast("decimal(10,2)")
 
-    return products.withColumns({"cost_price": share(COST_SHARE), "market_price": share(MARKET_SHARE)})
+    return products.withColumns(
+        {"cost_price": share(COST_SHARE), "market_price": share(MARKET_SHARE)}
+    )
 
 
 def with_product_code(products: DataFrame, category: str, sequence: str) -> DataFrame:

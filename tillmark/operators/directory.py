@@ -184,7 +184,9 @@ def cascade_delete(tables: Tables, table: str, ids: DataFrame) -> Tables:
             kept = kept.join(_as(gone[link.parent], link.column), link.column, "left_anti")
         if cascades and any(r.parent == child and r.child in out for r in REFERENCES):
             lost = [
-                tables[child].join(_as(gone[r.parent], r.column), r.column, "left_semi").select("id")
+                tables[child]
+                .join(_as(gone[r.parent], r.column), r.column, "left_semi")
+                .select("id")
                 for r in cascades
             ]
             gone[child] = reduce(DataFrame.unionByName, lost)

@@ -290,15 +290,16 @@ def forest_forecast(
     costs at most those steps.
     """
     use_checkpoints(series_df.sparkSession)
-    newest_first = F.collect_list(F.struct("date", "scaled"))
+    by_date = F.array_sort(F.collect_list(F.struct("date", "scaled")))
+    scaled = (F.col("total_amount").cast("double") - F.col("centre")) / F.col("spread")
     state = (
         _long_enough(series_df)
         .withColumn("k", F.row_number().over(_newest_first()))
         .where(F.col("k") <= MEMORY)
         .join(_scales(series_df), "series_key")
-        .withColumn("scaled", (F.col("total_amount").cast("double") - F.col("centre")) / F.col("spread"))
+        .withColumn("scaled", scaled)
         .groupBy("series_key", "centre", "spread")
-        .agg(F.array_sort(newest_first)["scaled"].alias("recent"), F.max("date").alias("newest"))
+        .agg(by_date["scaled"].alias("recent"), F.max("date").alias("newest"))
         .withColumn("predictions", F.array().cast("array<double>"))
         # No amount below zero, on the scale of the series.
         .withColumn("floor", -F.col("centre") / F.col("spread"))
