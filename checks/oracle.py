@@ -415,9 +415,9 @@ UNION ALL SELECT 'user_behavior', count(*), CAST(max(ts) AS VARCHAR) FROM events
     "truncate_load": f"""SELECT * REPLACE ({stamp('ts')} AS ts) FROM events
 WHERE event_type = 'purchase'""",
     "type_mapping": f"""WITH {ORDERS}
-SELECT id, 'NO' || id AS order_no, user_id, CAST(channel_id AS BIGINT) AS channel_id,
+SELECT id, 'NO' || id AS order_no, user_id, CAST(channel_id AS DOUBLE) AS channel_id,
        CAST(payment_amount AS DOUBLE) AS payment_amount, {stamp('create_time')} AS create_time,
-       CAST(NULL AS BIGINT) AS store_id,
+       CAST(NULL AS DOUBLE) AS store_id,
        CASE WHEN channel_id IS NULL THEN 'channel_id' ELSE '' END AS invalid_columns
 FROM r_orders""",
     "latest_version": f"""SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, value, props
@@ -477,7 +477,8 @@ UNION ALL SELECT 'sales_detail', count(*), CAST(sum(l_orderkey) AS BIGINT)
 FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders
                                        WHERE o_custkey IN ({GONE}))""",
     "cascade_set_null": f"""WITH {ORDERS}
-SELECT id, user_id, CASE WHEN channel_id = 2 THEN NULL ELSE channel_id END AS channel_id
+SELECT id, user_id,
+       CAST(CASE WHEN channel_id <> 2 THEN channel_id END AS DOUBLE) AS channel_id
 FROM r_orders""",
     # --- quality
     "orphans": f"""WITH {ORDERS},{DETAILS}
@@ -534,7 +535,7 @@ r_cut AS (
                               THEN 1 ELSE 0 END AS cut_cents
   FROM r_lines)
 SELECT order_id, line, product_id, quantity, CAST(discount_rate AS DOUBLE) AS discount_rate,
-       campaign_id, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(campaign_id AS DOUBLE) AS campaign_id, CAST(unit_price AS DOUBLE) AS unit_price,
        total_cents / 100.0::DOUBLE AS total_price, cut_cents / 100.0::DOUBLE AS discount_price,
        (total_cents - cut_cents) / 100.0::DOUBLE AS actual_price
 FROM r_cut""",
@@ -579,7 +580,8 @@ FROM part, range(1, 6) t(s)""",
 FROM orders""",
     "order_default_address": f"""WITH {ORDERS}
 SELECT user_id, id, order_source,
-       CASE WHEN order_source = 'online' THEN min(id) OVER (PARTITION BY user_id) END AS address_id
+       CAST(CASE WHEN order_source = 'online' THEN min(id) OVER (PARTITION BY user_id) END
+            AS DOUBLE) AS address_id
 FROM r_orders""",
     "weighted_pick": f"""
 SELECT CASE WHEN u < 0.4 THEN 'alipay' WHEN u < 0.8 THEN 'wechat' WHEN u < 0.95 THEN 'card'

@@ -47,6 +47,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[one(f) for f in df.schema.fields])
 
 
+def empties(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole-number columns with gaps as doubles, which every client shows alike."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def query(fn: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         session.tune(spark)
@@ -382,10 +387,11 @@ def type_mapping(r: Retail) -> DataFrame:
     # Methods in place of channel numbers: text that does not fit the type.
     text = text.withColumn("channel_id", F.coalesce("channel_id", "payment_method"))
     fitted = conform(text, SCHEMAS["sales_order"])
-    return fitted.select(
+    out = fitted.select(
         "id", "order_no", "user_id", "channel_id", "payment_amount", "create_time", "store_id",
         F.array_join("invalid_columns", ",").alias("invalid_columns"),
     )
+    return empties(out, "channel_id", "store_id")
 
 
 @query
@@ -529,7 +535,8 @@ def cascade_set_null(r: Retail) -> DataFrame:
         "sales_order": r.orders().select("id", "user_id", "channel_id"),
     }
     closed = r.channels().where("channel_name = 'App'")
-    return directory.cascade_delete(before, "sales_channel", closed)["sales_order"]
+    left = directory.cascade_delete(before, "sales_channel", closed)
+    return empties(left["sales_order"], "channel_id")
 
 
 # --- quality ---------------------------------------------------------------------------
@@ -589,7 +596,7 @@ def line_amounts(r: Retail) -> DataFrame:
     prices = r.products().select(
         F.col("id").alias("product_id"), F.col("price").alias("unit_price")
     )
-    return derive.line_amounts(lines.join(prices, "product_id"))
+    return empties(derive.line_amounts(lines.join(prices, "product_id")), "campaign_id")
 
 
 @query
@@ -645,9 +652,8 @@ def default_address(r: Retail) -> DataFrame:
 @query
 def order_default_address(r: Retail) -> DataFrame:
     marked = derive.default_addresses(_delivery_addresses(r))
-    return derive.with_default_address(
-        r.orders().select("id", "user_id", "order_source"), marked
-    )
+    orders = r.orders().select("id", "user_id", "order_source")
+    return empties(derive.with_default_address(orders, marked), "address_id")
 
 
 @query
