@@ -7,9 +7,11 @@ back. ``clean`` mode has neither and adds an error measured on days held out.
 
 from __future__ import annotations
 
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -37,6 +39,9 @@ from tillmark.operators.series import (
 )
 from tillmark.session import use_checkpoints
 
+# Executors get the functions below with the task; the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HOLDOUT_DAYS = 14
 MEMORY = max(ROLLING)
 METRICS = "series_key string, mse double, r2_score double"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,7 +40,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One process on one machine, so that its own folders will do."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def build_session(
