@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark import session
+from tillmark.llm import mixing
 from tillmark.llm.exact_dedup import stream_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +42,106 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+# The tree: domains by the number in the source's name, then language, then source.
+MIX_WEIGHTS = {
+    ("core",): 3, ("extra",): 2, ("core", "en"): 2, ("extra", "en"): 2, ("tail", "en"): 2,
+    ("core", "en", "src0"): 2,
+}
+MIX_SEED = 11
+MIX_EPOCHS = 3
+
+
+def domain(source):
+    number = F.regexp_extract(F.coalesce(source, F.lit("")), r"([0-9]{1,9})$", 1)
+    return (
+        F.when(number == "", "other")
+        .when(number.cast("int") < 5, "core")
+        .when(number.cast("int") < 10, "extra")
+        .otherwise("tail")
+    )
+
+
+def mix_keys() -> dict:
+    return {"domain": domain(F.col("source")), "lang": F.col("lang"), "source": F.col("source")}
+
+
+@query
+def op3_hierarchical_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = mixing.mix(
+        docs, mix_keys(), MIX_WEIGHTS, F.expr("total div 2"), MIX_EPOCHS, MIX_SEED
+    )
+    return found.select(
+        "doc_id", domain(F.col("source")).alias("domain"), "lang", "source",
+        F.col("_mix_epoch").alias("epoch"), F.col("_mix_tokens").alias("tokens"),
+        F.col("_mix_take").alias("take_tokens"),
+    )
+
+
+def _mix_share(level: str, above: str, parent: str, name: str, weight: str) -> str:
+    """Common table expressions sharing the budgets of table ``above`` among ``level``."""
+    keys = f"{parent}, {name}" if parent else name
+    part = f"PARTITION BY {parent}" if parent else ""
+    joined = f"JOIN {above} USING ({parent})" if parent else f"CROSS JOIN {above}"
+    return f"""
+{level}_nodes AS (
+  SELECT {keys}, capacity, weight, budget AS parent_budget
+  FROM (SELECT {keys}, sum(available) * {MIX_EPOCHS} AS capacity, {weight} AS weight
+        FROM leaves GROUP BY {keys}) {joined}),
+{level}_rest AS (
+  SELECT *, parent_budget - coalesce(sum(capacity) OVER before, 0) AS rest,
+         sum(weight) OVER ({part}) - coalesce(sum(weight) OVER before, 0) AS weight_left
+  FROM {level}_nodes
+  WINDOW before AS ({part} ORDER BY capacity::DOUBLE / weight, {name}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+{level}_full AS (
+  SELECT *, capacity::HUGEINT * weight_left <= rest::HUGEINT * weight AS is_full FROM {level}_rest),
+{level}_open AS (
+  SELECT *, greatest(0, parent_budget - sum(CASE WHEN is_full THEN capacity ELSE 0 END) OVER ({part})) AS b,
+         sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({part}) AS w,
+         sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({part} ORDER BY {name}) AS upto
+  FROM {level}_full),
+{level} AS (
+  SELECT {keys}, CASE WHEN is_full THEN capacity
+                 ELSE b::HUGEINT * upto // w - b::HUGEINT * (upto - weight) // w END::BIGINT AS budget
+  FROM {level}_open)"""
+
+
+ORACLE["op3_hierarchical_mix"] = f"""
+WITH docs AS (
+  SELECT *, row_number() OVER () AS rn, coalesce(lang, '(none)') AS k_lang,
+         coalesce(source, '(none)') AS k_source,
+         CASE WHEN number = '' THEN 'other' WHEN number::INT < 5 THEN 'core'
+              WHEN number::INT < 10 THEN 'extra' ELSE 'tail' END AS k_domain,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+  FROM (SELECT *, regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) AS number FROM documents)),
+leaves AS (
+  SELECT k_domain, k_lang, k_source, sum(tokens) AS available FROM docs GROUP BY ALL),
+root AS (SELECT least(sum(available) // 2, sum(available) * {MIX_EPOCHS}) AS budget FROM leaves),
+{_mix_share("l1", "root", "", "k_domain",
+            "CASE k_domain WHEN 'core' THEN 3 WHEN 'extra' THEN 2 ELSE 1 END")},
+{_mix_share("l2", "l1", "k_domain", "k_lang",
+            "CASE WHEN k_domain <> 'other' AND k_lang = 'en' THEN 2 ELSE 1 END")},
+{_mix_share("l3", "l2", "k_domain, k_lang", "k_source",
+            "CASE WHEN k_domain = 'core' AND k_lang = 'en' AND k_source = 'src0' THEN 2 ELSE 1 END")},
+parts AS (
+  SELECT k_domain, k_lang, k_source, budget // available AS whole, budget % available AS rest
+  FROM l3 JOIN leaves USING (k_domain, k_lang, k_source) WHERE budget > 0),
+placed AS (
+  SELECT *, coalesce(sum(tokens) OVER (
+              PARTITION BY k_domain, k_lang, k_source
+              ORDER BY md5('{MIX_SEED}|' || whole || '|' || coalesce(doc_id::VARCHAR, '(none)')),
+                       doc_id, md5(coalesce(text, ''))
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs JOIN parts USING (k_domain, k_lang, k_source)),
+taken AS (
+  SELECT *, unnest(range(0, whole::BIGINT)) AS epoch, tokens AS take FROM placed
+  UNION ALL BY NAME
+  SELECT *, whole::BIGINT AS epoch, least(tokens, rest - before) AS take
+  FROM placed WHERE before < rest)
+SELECT doc_id, k_domain AS domain, lang, source, epoch, tokens::BIGINT AS tokens,
+       take::BIGINT AS take_tokens
+FROM taken
+"""
