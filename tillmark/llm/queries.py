@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillmark import session
 from tillmark.llm import mixing
 from tillmark.llm.exact_dedup import stream_dedup
+from tillmark.llm.token_counts import token_prefixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +29,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """The path of a public vocabulary file, on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+TOKEN_LIMIT = 512
+
+
+@query
+def op4_prefix_token_counts(spark, sf_dir):
+    found = token_prefixes(
+        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+        limit=TOKEN_LIMIT, with_steps=False,
+    )
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
+        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "cut_chars",
+    )
+
+
 @query
 def op6_stream_dedup(spark, sf_dir):
     found = stream_dedup(spark, f"{sf_dir}/documents.parquet")
