@@ -27,7 +27,11 @@ from pyspark.sql import functions as F
 from tillmark.session import new_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Without fallocate a small state store takes the disk it fills, not 4 MB and more.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 # Bits of the filter that keeps unique texts out of the byte comparison: 1 MB at any size.
 # A full filter lets rows through that the comparison then drops.
@@ -71,8 +75,9 @@ def follow(
     counted = rows.groupBy("digest").agg(
         F.max(F.struct("id", "file", "row")).alias("keep"), F.count("*").alias("copies")
     )
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STREAM_SETTINGS}
+    for key, value in STREAM_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         query = (
             counted.writeStream.outputMode("update")
@@ -83,10 +88,8 @@ def follow(
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def state_table(spark: SparkSession, state: str) -> DataFrame:
