@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillmark import session
 from tillmark.llm import mixing
 from tillmark.llm.exact_dedup import stream_dedup
+from tillmark.llm.pieces import encode_nbest
 from tillmark.llm.token_counts import token_prefixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +169,17 @@ SELECT doc_id, k_domain AS domain, lang, source, epoch, tokens::BIGINT AS tokens
        take::BIGINT AS take_tokens
 FROM taken
 """
+
+
+NBEST = 4
+
+
+@query
+def op2_sentencepiece_nbest(spark, sf_dir):
+    found = encode_nbest(
+        table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"),
+        n=NBEST, with_ids=False,
+    )
+    return found.select(
+        F.col("id").alias("doc_id"), "n_pieces", "scores", "pieces", "ids_crc32", "round_trip"
+    )
