@@ -87,6 +87,7 @@ class PrefixCounter:
         self.nothing = max(self.tokens.values()) + 1
         self.raw = {i: t for t, i in self.tokens.items()} | {self.nothing: b""}
         self.pairs = {}
+        self.endings = Memo(self._ending, memo)
         self.words = Memo(self._word_steps, memo)
         self.units = Memo(self._unit_steps, memo)
 
@@ -112,23 +113,29 @@ class PrefixCounter:
         found = self.pairs[pair] = self.merge(last + token) == ([last, token] if last else [token])
         return found
 
+    def _ending(self, tail: bytes) -> list[tuple[int, int]]:
+        """Length and id of the tokens that end a string, longest first."""
+        return [
+            (len(tail) - i, self.tokens[tail[i:]])
+            for i in range(len(tail))
+            if tail[i:] in self.tokens
+        ]
+
     def counts(self, word: bytes) -> list[int]:
         """The token count of every prefix of one pre-token, from the empty one on."""
-        get, known, reach = self.tokens.get, self.pairs.get, self.reach.get
+        endings, known, reach = self.endings, self.pairs.get, self.reach.get
         count, last = [0], [self.nothing]
         for end in range(1, len(word) + 1):
             longest = reach(word[end - 4 : end], 3) if end > 3 else 3
-            for start in range(end - longest if end > longest else 0, end):
-                token = get(word[start:end])
-                if token is not None:
-                    pair = last[start] << 32 | token
-                    fits = known(pair)
-                    if fits is None:
-                        fits = self._follows(pair)
-                    if fits:
-                        count.append(count[start] + 1)
-                        last.append(token)
-                        break
+            for length, token in endings[word[end - longest if end > longest else 0 : end]]:
+                pair = last[end - length] << 32 | token
+                fits = known(pair)
+                if fits is None:
+                    fits = self._follows(pair)
+                if fits:
+                    count.append(count[end - length] + 1)
+                    last.append(token)
+                    break
             else:
                 raise ValueError("a byte is missing from the vocabulary")
         return count
