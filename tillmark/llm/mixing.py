@@ -41,6 +41,9 @@ NONE = "(none)"
 # Hexadecimal digits of the order's hash that name a range: 4096 ranges for each leaf.
 RANGE_DIGITS = 3
 
+# A leaf meets its rows in so many parts, each on its own copy of the leaf's one row.
+PARTS = 64
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -178,10 +181,15 @@ def mix(
         .select(*names, "_mix_full", "_mix_rest")
     )
 
+    shares = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    piece = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string")), F.lit(PARTS)).cast("int")
+    joined = [*names, "_mix_part"]
+    shared = shared.withColumn("_mix_part", shares)
+
     part = F.substring(order(F.col("_mix_full")), 1, RANGE_DIGITS).alias("_mix_range")
     upto = Window.partitionBy(*names).orderBy("_mix_range")
     cuts = (
-        sized.join(shared, names)
+        sized.withColumn("_mix_part", piece).join(shared, joined)
         .groupBy(*names, "_mix_full", "_mix_rest", part)
         .agg(F.sum("_mix_tokens").alias("held"))
         .withColumn("after", F.sum("held").over(upto))
@@ -195,9 +203,9 @@ def mix(
     )
     plan = new_dir(spark, "mix-plan")
     cuts.write.parquet(plan)
-    cuts = spark.read.parquet(plan)
+    cuts = spark.read.parquet(plan).withColumn("_mix_part", shares)
 
-    placed = keyed.join(cuts, names).withColumn("_mix_order", order(F.col("_mix_full")))
+    placed = keyed.withColumn("_mix_part", piece).join(cuts, joined).withColumn("_mix_order", order(F.col("_mix_full")))
     placed = placed.withColumn("_mix_at", F.substring("_mix_order", 1, RANGE_DIGITS))
     last = F.col("_mix_full") - F.when(F.col("_mix_at") < F.col("_mix_cut"), 0).otherwise(1)
     whole = placed.where(last >= 0).withColumns(
