@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark import session
-from tillmark.llm import mixing
+from tillmark.llm import mixing, toxicity
 from tillmark.llm.exact_dedup import stream_dedup
 from tillmark.llm.pieces import encode_nbest
 from tillmark.llm.token_counts import token_prefixes
@@ -16,10 +16,14 @@ from tillmark.llm.token_counts import token_prefixes
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+ARROW_ROWS = "1000"
+
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         session.tune(spark)
+        # Whole texts travel to Python in batches of rows: few enough for very long ones.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
         return fn(spark, sf_dir.rstrip("/"))
 
     QUERIES[fn.__name__] = run
@@ -183,3 +187,14 @@ def op2_sentencepiece_nbest(spark, sf_dir):
     return found.select(
         F.col("id").alias("doc_id"), "n_pieces", "scores", "pieces", "ids_crc32", "round_trip"
     )
+
+
+@query
+def op10_bigru_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    network = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    score = toxicity.scorer(spark, network)
+    return (
+        docs.select("doc_id", toxicity.held_out().alias("held_out"), score("text").alias("score"))
+        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    )
