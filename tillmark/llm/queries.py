@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark import session
-from tillmark.llm import mixing, toxicity
+from tillmark.llm import mixing, neighbours, toxicity
 from tillmark.llm.exact_dedup import stream_dedup
 from tillmark.llm.pieces import encode_nbest
 from tillmark.llm.token_counts import token_prefixes
@@ -198,3 +198,24 @@ def op10_bigru_toxicity(spark, sf_dir):
         docs.select("doc_id", toxicity.held_out().alias("held_out"), score("text").alias("score"))
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
     )
+
+
+@query
+def op9_projection_forest(spark, sf_dir):
+    found = neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+ORACLE["op9_projection_forest"] = """
+WITH good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
