@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark import session
-from tillmark.llm import mixing, neighbours, toxicity
+from tillmark.llm import mixing, neighbours, toxicity, warc
 from tillmark.llm.exact_dedup import stream_dedup
 from tillmark.llm.pieces import encode_nbest
 from tillmark.llm.token_counts import token_prefixes
@@ -219,3 +219,32 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op5_revisit_resolution(spark, sf_dir):
+    found = warc.deduplicate(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+
+# Base32 of a SHA-1: 32 letters, each of 5 bits; 5 hexadecimal digits are 4 letters.
+_LETTERS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {5 * g + 1}, 5))::BIGINT"
+    f" >> {15 - 5 * k}) & 31)::INT, 1)"
+    for g in range(8)
+    for k in range(4)
+)
+
+ORACLE["op5_revisit_resolution"] = f"""
+WITH sums AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages)
+SELECT page_id, payload_bytes, {_LETTERS} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM sums
+"""
