@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark import session
-from tillmark.llm import mixing, neighbours, toxicity, warc
+from tillmark.llm import line_dedup, mixing, neighbours, toxicity, warc
 from tillmark.llm.exact_dedup import stream_dedup
 from tillmark.llm.pieces import encode_nbest
 from tillmark.llm.token_counts import token_prefixes
@@ -248,3 +248,14 @@ SELECT page_id, payload_bytes, {_LETTERS} AS payload_digest,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM sums
 """
+
+
+@query
+def op1_line_chunk_dedup(spark, sf_dir):
+    found = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.coalesce("_line_removed", F.array().cast(found.schema["_line_removed"].dataType))
+    return found.select(
+        "doc_id", F.col("_line_count").cast("long").alias("n_lines"),
+        F.aggregate(removed, F.lit(0).cast("long"), lambda s, r: s + r["lines"]).alias("n_removed"),
+        F.transform(removed, lambda r: r["kept_by"]).alias("kept_by"), "text",
+    )
