@@ -1,4 +1,4 @@
-"""A bounded memo for per-word work inside tasks."""
+"""Bounded memory for per-word work inside tasks."""
 
 from __future__ import annotations
 
@@ -31,3 +31,16 @@ class Memo(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def kept(key: tuple, make):
+    """What ``make()`` gave for the key, for as long as this Python worker lives.
+
+    Workers serve many tasks, and each task receives its functions anew, so the object is held
+    by the interpreter and not by a module. Only the latest is held.
+    """
+    held = vars(sys).setdefault("_kept_by_worker", {})
+    if key not in held:
+        held.clear()
+        held[key] = make()
+    return held[key]

@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import re
 import sys
+import zlib
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -35,7 +36,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.caches import Memo
+from tillmark.llm.caches import Memo, kept
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -61,7 +62,7 @@ def _byte_letters() -> dict[str, int]:
 class PrefixCounter:
     """Prefix counts under the vocabulary in the text of a ``tokenizers`` JSON file."""
 
-    def __init__(self, vocabulary: str, memo: int = 250_000):
+    def __init__(self, vocabulary: str, memo: int = 400_000):
         spec = json.loads(vocabulary)
         if spec["model"]["type"] != "BPE" or spec["pre_tokenizer"].get("type") != "ByteLevel":
             raise ValueError("a byte-level BPE vocabulary is needed")
@@ -87,8 +88,8 @@ class PrefixCounter:
         self.nothing = max(self.tokens.values()) + 1
         self.raw = {i: t for t, i in self.tokens.items()} | {self.nothing: b""}
         self.pairs = {}
-        self.endings = Memo(self._ending, memo)
-        self.words = Memo(self._word_steps, memo)
+        self.endings = Memo(self._ending, memo // 2)
+        self.words = Memo(self._word_steps, 3 * memo // 4)
         self.units = Memo(self._unit_steps, memo)
 
     def merge(self, text: bytes) -> list[bytes]:
@@ -212,12 +213,13 @@ def token_prefixes(
     prefix of at most ``limit`` tokens. Without ``with_steps`` the table of steps stays in
     the task, which answers from it and lets it go.
     """
-    content = docs.sparkSession.sparkContext.broadcast(Path(vocabulary).read_text("utf-8"))
+    vocabulary = Path(vocabulary).read_text("utf-8")
+    digest = zlib.crc32(vocabulary.encode())
+    content = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = None
+        counter = kept(("prefixes", digest), lambda: PrefixCounter(content.value))
         for batch in batches:
-            counter = counter or PrefixCounter(content.value)
             n_bytes, n_tokens, cut, kept = [], [], [], []
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for text in texts:
