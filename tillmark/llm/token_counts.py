@@ -220,7 +220,7 @@ def token_prefixes(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = kept(("prefixes", digest), lambda: PrefixCounter(content.value))
         for batch in batches:
-            n_bytes, n_tokens, cut, kept = [], [], [], []
+            n_bytes, n_tokens, cut, tables = [], [], [], []
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for text in texts:
                 steps = counter.steps(text)
@@ -229,14 +229,14 @@ def token_prefixes(
                 n_tokens.append(total)
                 cut.append(len(steps) if total <= limit and min(steps, default=0) >= 0
                            else longest_within(steps, limit))
-                kept.append(steps if with_steps else None)
+                tables.append(steps if with_steps else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(n_bytes, pa.int64()),
                     pa.array(n_tokens, pa.int64()),
                     pa.array(cut, pa.int64()),
-                    pa.array(kept, pa.binary()),
+                    pa.array(tables, pa.binary()),
                 ],
                 names=["id", "n_bytes", "n_tokens", "cut_chars", "steps"],
             )
