@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark import session
-from tillmark.llm import line_dedup, mixing, neighbours, toxicity, warc
+from tillmark.llm import line_dedup, mixing, neighbours, quality, toxicity, warc
 from tillmark.llm.exact_dedup import stream_dedup
 from tillmark.llm.pieces import encode_nbest
 from tillmark.llm.token_counts import token_prefixes
@@ -259,3 +259,12 @@ def op1_line_chunk_dedup(spark, sf_dir):
         F.aggregate(removed, F.lit(0).cast("long"), lambda s, r: s + r["lines"]).alias("n_removed"),
         F.transform(removed, lambda r: r["kept_by"]).alias("kept_by"), "text",
     )
+
+
+@query
+def op7_weak_label_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    score = quality.scorer(spark, quality.train(docs))
+    return docs.select("doc_id", score("text").alias("score")).withColumn(
+        "keep", F.col("score") >= quality.KEEP
+    )
