@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark import session
-from tillmark.llm import line_dedup, mixing, neighbours, quality, toxicity, warc
+from tillmark.llm import line_dedup, mixing, neighbours, ngram_join, quality, toxicity, warc
 from tillmark.llm.exact_dedup import stream_dedup
 from tillmark.llm.pieces import encode_nbest
 from tillmark.llm.token_counts import token_prefixes
@@ -268,3 +268,9 @@ def op7_weak_label_quality(spark, sf_dir):
     return docs.select("doc_id", score("text").alias("score")).withColumn(
         "keep", F.col("score") >= quality.KEEP
     )
+
+
+@query
+def op8_jaccard_join(spark, sf_dir):
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
