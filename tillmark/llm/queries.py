@@ -19,11 +19,18 @@ ORACLE: dict[str, str] = {}
 ARROW_ROWS = "1000"
 
 
+def prepare(spark: SparkSession) -> None:
+    """Session settings of this package.
+
+    Whole texts travel to Python in batches of rows: few enough for very long ones.
+    """
+    session.tune(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def query(fn: Callable[[SparkSession, str], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        session.tune(spark)
-        # Whole texts travel to Python in batches of rows: few enough for very long ones.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+        prepare(spark)
         return fn(spark, sf_dir.rstrip("/"))
 
     QUERIES[fn.__name__] = run
@@ -182,7 +189,7 @@ NBEST = 4
 def op2_sentencepiece_nbest(spark, sf_dir):
     found = encode_nbest(
         table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"),
-        n=NBEST, with_ids=False,
+        n=NBEST, ids_of=0,
     )
     return found.select(
         F.col("id").alias("doc_id"), "n_pieces", "scores", "pieces", "ids_crc32", "round_trip"
