@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.words import mix, slices, word_hashes, word_spans
+from tillmark.session import new_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -237,11 +238,13 @@ class Scorer:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Scorer:
     """Accuracies from the votes on all documents, then a scorer from a bounded sample."""
-    voted = docs.select(
-        F.col(f"`{id_col}`").cast("string").alias("id"),
-        F.col(f"`{text_col}`").cast("string").alias("text"),
-        vote_patterns(docs, text_col).alias("pattern"),
+    text = F.col(f"`{text_col}`").cast("string")
+    keyed = docs.select(
+        F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("key"), text.alias("text")
     )
+    path = new_dir(docs.sparkSession, "votes")
+    keyed.select("key", vote_patterns(keyed).alias("pattern")).write.parquet(path)
+    voted = docs.sparkSession.read.parquet(path)
     counted = voted.groupBy("pattern").count().toPandas()
     if not len(counted):
         return Scorer({})
@@ -249,12 +252,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     good, _ = estimate(votes, counted["count"].to_numpy(float))
     posterior = dict(zip(counted["pattern"].tolist(), good.tolist()))
     sides = [[c for c, g in posterior.items() if (g >= 0.5) == side] for side in (False, True)]
-    order = F.xxhash64("id", "text")
     drawn = None
     for codes in sides:
-        part = voted.where(F.col("pattern").isin(codes)).orderBy(order, "id").limit(sample // 2)
+        part = voted.where(F.col("pattern").isin(codes)).distinct().orderBy("key").limit(sample // 2)
         drawn = part if drawn is None else drawn.unionByName(part)
-    rows = drawn.toPandas().sort_values(["id", "text"], kind="stable")
+    texts = keyed.join(F.broadcast(drawn), "key").dropDuplicates(["key"])
+    rows = texts.toPandas().sort_values("key", kind="stable")
     targets = np.array([posterior[c] for c in rows["pattern"]])
     shuffle = np.random.default_rng(2).permutation(len(rows))
     texts = [rows["text"].iloc[i] or "" for i in shuffle]
