@@ -55,7 +55,8 @@ r_categories(id, category_name) AS (
 PRODUCTS = f"""{CATEGORIES},
 r_products AS (
   SELECT p_partkey AS id, p_name AS product_name,
-         'P' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS product_code,
+         'P' || CASE WHEN p_partkey > 999999 THEN CAST(p_partkey AS VARCHAR)
+                     ELSE lpad(CAST(p_partkey AS VARCHAR), 6, '0') END AS product_code,
          c.id AS category_id, p_type AS category_name,
          CAST(p_retailprice AS DECIMAL(10,2)) AS price
   FROM part LEFT JOIN r_categories c ON c.category_name = p_type)"""
@@ -282,9 +283,19 @@ SELECT level_name, count(user_id) AS user_count,
 FROM r_open LEFT JOIN r_spend ON spent >= low AND (following IS NULL OR spent < following)
 GROUP BY level_name""",
     "member_tier_lookup": f"""WITH {ORDERS},{LEVELS},
-r_spend AS (SELECT user_id, sum(payment_amount) AS spent FROM r_orders GROUP BY 1)
+r_spend AS (
+  SELECT user_id, CASE WHEN user_id % 3 = 0 THEN CAST(-0.001 - CAST(spent AS DECIMAL(24,3)) AS DECIMAL(38,3))
+                       WHEN user_id % 5 = 0 THEN CAST(CAST(spent AS DECIMAL(24,2)) * 100000000000 AS DECIMAL(38,3))
+                       ELSE CAST(spent AS DECIMAL(38,3)) END AS spent
+  FROM (SELECT user_id, sum(payment_amount) AS spent FROM r_orders GROUP BY 1)),
+r_every AS (
+  SELECT level_name, CAST(low AS DECIMAL(38,3)) AS low, CAST(high AS DECIMAL(38,3)) AS high
+  FROM r_levels
+  UNION ALL SELECT 'owes ' || level_name, -high, -low FROM r_levels
+  UNION ALL SELECT 'rich ' || level_name, low * CAST(100000000000 AS DECIMAL(38,0)),
+                   high * CAST(100000000000 AS DECIMAL(38,0)) FROM r_levels WHERE low > 0)
 SELECT user_id, CAST(spent AS DOUBLE) AS spent, level_name
-FROM r_spend JOIN r_levels ON spent BETWEEN low AND high""",
+FROM r_spend JOIN r_every ON spent BETWEEN low AND high""",
     "hot_products_by_id": """
 SELECT CAST(row_number() OVER (ORDER BY total_quantity DESC, product_name, product_id)
             AS INTEGER) AS rank, product_id, product_name, total_quantity
@@ -572,8 +583,9 @@ SELECT id, CAST(price AS DOUBLE) AS price,
     "order_no": """SELECT o_orderkey AS id, strftime(o_orderdate, '%Y%m%d') ||
   CASE WHEN length(CAST(o_orderkey AS VARCHAR)) >= 6 THEN CAST(o_orderkey AS VARCHAR)
        ELSE lpad(CAST(o_orderkey AS VARCHAR), 6, '0') END AS order_no FROM orders""",
-    "inventory_grid": """SELECT p_partkey AS product_id, CAST(s AS INTEGER) AS store_id
-FROM part, range(1, 6) t(s)""",
+    "inventory_grid": f"""WITH {ORDERS}
+SELECT DISTINCT l_partkey AS product_id, CAST(channel_id AS INTEGER) AS store_id
+FROM lineitem JOIN r_orders ON r_orders.id = l_orderkey WHERE channel_id IS NOT NULL""",
     "default_address": """SELECT o_custkey AS user_id, o_orderkey AS id,
   CASE WHEN o_orderkey = min(o_orderkey) OVER (PARTITION BY o_custkey) THEN 1 ELSE 0 END
     AS is_default

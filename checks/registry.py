@@ -111,12 +111,32 @@ def member_consumption_half_open(r: Retail) -> DataFrame:
 
 @query
 def member_tier_lookup(r: Retail) -> DataFrame:
-    """The way tiers are found when there are too many to send to every executor."""
+    """Tiers of all users; every third one owes a tenth of a cent more than it spent, every
+    fifth one spent a hundred billion times as much."""
     orders = r.orders()
     spend = orders.groupBy("user_id").agg(money_sum(orders, "payment_amount").alias("spent"))
-    return range_lookup(
-        spend, "spent", r.levels(), "min_points", "max_points", small_rows=0
-    ).select("user_id", "spent", "level_name")
+    spent = F.col("spent").cast("decimal(24,3)")
+    odd = (
+        F.when(F.col("user_id") % 3 == 0, F.lit("-0.001").cast("decimal(4,3)") - spent)
+        .when(F.col("user_id") % 5 == 0, spent * F.lit(10**11).cast("decimal(12,0)"))
+        .otherwise(spent)
+    )
+    tiers = r.levels().select(
+        "level_name", F.col("min_points").cast("decimal(30,2)").alias("low"),
+        F.col("max_points").cast("decimal(30,2)").alias("high"),
+    )
+    owing = tiers.select(F.concat(F.lit("owes "), "level_name").alias("level_name"),
+                         (-F.col("high")).alias("low"), (-F.col("low")).alias("high"))
+    rich = tiers.where("low > 0").select(
+        F.concat(F.lit("rich "), "level_name").alias("level_name"),
+        *[(F.col(c).cast("decimal(12,2)") * F.lit(10**11).cast("decimal(12,0)"))
+          .cast("decimal(30,2)").alias(c) for c in ("low", "high")],
+    )
+    every = tiers.unionByName(owing).unionByName(rich)
+    placed = spend.withColumn("spent", odd.cast("decimal(34,3)"))
+    return range_lookup(placed, "spent", every, "low", "high").select(
+        "user_id", "spent", "level_name"
+    )
 
 
 @query
@@ -636,7 +656,9 @@ def order_no(r: Retail) -> DataFrame:
 
 @query
 def inventory_grid(r: Retail) -> DataFrame:
-    return derive.inventory_grid(r.products(), r.stores())
+    """Products and stores that met in an order; the order's channel stands for its store."""
+    orders = r.orders().withColumn("store_id", F.col("channel_id").cast("int"))
+    return derive.inventory_grid(r.details(), orders, r.stores())
 
 
 def _delivery_addresses(r: Retail) -> DataFrame:

@@ -130,3 +130,23 @@ def test_pick_and_sample_follow_the_weights_and_ignore_partitioning(spark):
     assert [r["count"] for r in grouped.groupBy("g").count().collect()] == [5, 5, 5]
     none = derive.weighted_sample(df, 10, hashed_unit("id"), F.lit(0), "id")
     assert none.count() == 0
+
+
+def test_totals_beyond_the_long_range(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from tillmark.functions import money_sum, ratio
+
+    rows = spark.range(200).select(F.lit(Decimal("9999999999.99")).cast("decimal(12,2)").alias("a"))
+    wide = spark.range(2_000).select(F.lit(Decimal("99999999999999.99")).cast("decimal(16,2)").alias("a"))
+    for df, n, one in ((rows, 200, "9999999999.99"), (wide, 2000, "99999999999999.99")):
+        total = df.agg(money_sum(df, "a").alias("t")).first().t
+        assert total == n * Decimal(one)
+        mean = df.agg(money_sum(df, "a").alias("t"), F.count("*").alias("n")).select(ratio("t", "n").alias("m"))
+        assert mean.first().m == Decimal(one)
+    signs = spark.createDataFrame([(Decimal("-1.05"),), (Decimal("0.10"),), (Decimal("-12345.67"),), (None,)], "a decimal(10,2)")
+    assert signs.agg(money_sum(signs, "a").alias("t")).first().t == Decimal("-12346.62")
+    none = signs.where("false")
+    assert none.agg(money_sum(none, "a").alias("t")).first().t is None

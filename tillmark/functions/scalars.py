@@ -54,10 +54,11 @@ def age(birthday: Column | str, as_of: Day) -> Column:
 def ratio(total: Column | str, count: Column | str, digits: int = 2) -> Column:
     """A sum of money by a whole count, rounded half up; NULL when ``count`` is zero.
 
-    The casts leave 20 decimals for the quotient, so rounding it is exact.
+    The casts leave 15 decimals for the quotient, so rounding it is exact for counts below a
+    hundred million and off by one unit of the last digit at most beyond.
     """
-    money = col(total).cast("decimal(20,2)")
-    return F.round(F.try_divide(money, col(count).cast("decimal(18,0)")), digits)
+    money = col(total).cast("decimal(24,2)")
+    return F.round(F.try_divide(money, col(count).cast("decimal(12,0)")), digits)
 
 
 def clamp(c: Column | str, low: float, high: float) -> Column:

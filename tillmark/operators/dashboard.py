@@ -89,7 +89,7 @@ def category_sales(
     keys = ["category_id", "category_name"] if by_id else ["category_name"]
     return (
         sold.select(*keys, "sales")
-        .unionByName(names.select(*keys, F.lit(0).cast("decimal(20,2)").alias("sales")))
+        .unionByName(names.select(*keys, F.lit(0).cast("decimal(24,2)").alias("sales")))
         .groupBy(*keys)
         .agg(F.coalesce(F.sum("sales"), F.lit(0)).alias("total_sales"))
         .orderBy(F.desc("total_sales"), "category_name")
@@ -107,7 +107,7 @@ def channel_analysis(channels: DataFrame, orders: DataFrame, by_id: bool = False
     keys = ["channel_id", "channel_name"] if by_id else ["channel_name"]
     sold = per_channel.withColumn("channel_id", F.col("channel_id").cast("long"))
     none = names.withColumns(
-        {"n": F.lit(0).cast("long"), "amount": F.lit(0).cast("decimal(20,2)")}
+        {"n": F.lit(0).cast("long"), "amount": F.lit(0).cast("decimal(24,2)")}
     )
     return (
         sold.join(names, "channel_id")
@@ -186,8 +186,8 @@ def member_consumption(
     if half_open:
         # One row per tier, so a single ordered window over them is small by nature.
         following = F.lead("min_points").over(W.orderBy("min_points"))
-        highest = F.lit("999999999999999999.99").cast("decimal(20,2)")
-        upper = F.coalesce(following.cast("decimal(20,2)") - F.lit("0.01").cast("decimal(3,2)"),
+        highest = F.lit("9999999999999999999999.99").cast("decimal(24,2)")
+        upper = F.coalesce(following.cast("decimal(24,2)") - F.lit("0.01").cast("decimal(3,2)"),
                            highest)
         tiers = tiers.withColumn("max_points", upper)
     placed = (

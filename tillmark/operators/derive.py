@@ -18,7 +18,6 @@ from tillmark.fixed_values import (
     WEEKEND_WEIGHT,
 )
 from tillmark.functions import Day, as_date, money_sum, order_number, product_code, session_key
-from tillmark.operators.joins import grid
 
 MONEY = "decimal(12,2)"
 
@@ -104,14 +103,19 @@ def with_order_no(orders: DataFrame, sequence: str) -> DataFrame:
     return orders.withColumn("order_no", order_number("create_time", sequence))
 
 
-def inventory_grid(products: DataFrame, stores: DataFrame) -> DataFrame:
-    """One row per product and store."""
-    return grid(
-        products.select(F.col("id").alias("product_id")),
-        stores.select(F.col("id").alias("store_id")),
-        "product_id",
-        "store_id",
-    ).select("product_id", "store_id")
+def inventory_grid(details: DataFrame, orders: DataFrame, stores: DataFrame) -> DataFrame:
+    """One row per product and store it was sold through; pairs that never met are left out."""
+    placed = orders.where(F.col("store_id").isNotNull()).select(
+        F.col("id").alias("order_id"), "store_id"
+    )
+    return (
+        details.select("order_id", "product_id")
+        .join(placed, "order_id")
+        .select("product_id", "store_id")
+        .distinct()
+        .join(stores.select(F.col("id").alias("store_id")), "store_id", "left_semi")
+        .select("product_id", "store_id")
+    )
 
 
 def default_addresses(addresses: DataFrame) -> DataFrame:
@@ -210,7 +214,10 @@ def weighted_sample(
     Each row draws ``-ln(u) / weight`` and the smallest draws win, which equals taking
     the largest ``u ** (1 / weight)`` (Efraimidis and Spirakis, 2006). The cut to
     ``size`` rows happens on the map side first, so a group of any size is shuffled as
-    at most ``size`` rows per task. Rows of weight zero or less are never drawn.
+    at most ``size`` rows per task, up to the size set in
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless set otherwise); above it
+    whole groups are shuffled. Without ``by`` the rows drawn meet in one task, so ``size`` is
+    for samples that fit there. Rows of weight zero or less are never drawn.
     """
     w = F.col(weight) if isinstance(weight, str) else weight
     drawn = df.where(w > 0).withColumn("_draw", -F.ln(unit) / w)

@@ -4,122 +4,109 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup table with at most this many rows is sent to every executor.
-SMALL_ROWS = 1000
-
-# Base and depth of the interval pieces of the large path. Amounts stay below
-# base ** depth cents, about 1.1e16 in currency.
+# Aligned pieces have lengths that are powers of this base.
 _BASE = 16
-_DEPTH = 15
+_LEVELS = 32  # 16 ** 31 is the largest power below 38 digits
+_WHOLE = "decimal(38,0)"
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
 
 
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def _type(df: DataFrame, column: str) -> tuple[int, int]:
+    """Digits before and after the point of a whole-number or decimal column."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale, kind.scale
+    if kind.simpleString() in _DIGITS:
+        return _DIGITS[kind.simpleString()], 0
+    raise TypeError(f"{column} is {kind.simpleString()}; range_lookup takes decimals and whole numbers")
 
 
-def range_lookup(
-    points: DataFrame,
-    value: str,
-    ranges: DataFrame,
-    low: str,
-    high: str,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
-    """Every (point, range) pair with ``low <= value <= high``; NULL values match nothing.
+def _units(column: str, scale: int) -> Column:
+    """A value as a whole number of the smallest unit, without rounding."""
+    value = F.col(f"`{column}`")
+    if not scale:
+        return value.cast(_WHOLE)
+    exact = value.cast(f"decimal(38,{scale})")
+    whole = F.floor(exact)
+    rest = (exact - whole).cast(f"decimal({scale},{scale})")
+    unit = F.lit("1" + "0" * scale).cast(f"decimal({scale + 1},0)")
+    return (whole * unit).cast(_WHOLE) + (rest * unit).cast(_WHOLE)
+
+
+def _size(level: Column) -> Column:
+    """The length of a level's pieces, exactly."""
+    sizes = F.array(*[F.lit(str(_BASE**k)).cast(_WHOLE) for k in range(_LEVELS)])
+    return F.get(sizes, level)
 
-    A small range table is broadcast. A larger one is cut into aligned pieces whose
-    lengths are powers of a base: each point looks up the one piece per length that
-    could hold it, so both sides meet in an equi-join and no pair outside the result is
-    formed. Values of the large path are non-negative amounts with two decimals.
-    """
-    inside = F.col(value).between(F.col(low), F.col(high))
-    if is_small(ranges, small_rows):
-        return points.join(F.broadcast(ranges), inside, "inner")
-    return _range_lookup_by_pieces(points, value, ranges, low, high)
 
+def _down(at: Column, size: Column) -> Column:
+    return (at - F.pmod(at, size)).cast(_WHOLE)
 
-def _cents(column: str, rounding) -> Column:
-    cents = rounding(F.col(column).cast("decimal(28,2)") * 100)
-    return F.least(cents, F.lit(_BASE**_DEPTH - 1)).cast("long")
 
+def _up(at: Column, size: Column) -> Column:
+    return (at + F.pmod(-at, size)).cast(_WHOLE)
 
-def _range_lookup_by_pieces(
+
+def range_lookup(
     points: DataFrame, value: str, ranges: DataFrame, low: str, high: str
 ) -> DataFrame:
-    sizes = [_BASE**k for k in range(_DEPTH)]
-    level = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(k).alias("k"), F.lit(s).cast("long").alias("size"))
-                for k, s in enumerate(sizes)
-            ]
+    """Every (point, range) pair with ``low <= value <= high``; NULL values match nothing.
+
+    Ranges are cut into aligned pieces whose lengths are powers of a base, counted in the
+    smallest unit of the three columns. Each point looks up the one piece per length that could
+    hold it, for the lengths that occur, so both sides meet in an equi-join and no pair outside
+    the result is formed. It is exact for whole numbers and decimals of any sign and scale, and
+    works alike for any number of ranges.
+    """
+    kinds = [_type(points, value), _type(ranges, low), _type(ranges, high)]
+    scale = max(s for _, s in kinds)
+    if max(d for d, _ in kinds) + scale > 37:
+        raise TypeError("the columns' digits before and after the point exceed 37 together")
+    unit, next_unit = F.col("_unit"), F.col("_next")
+    starts = ranges.withColumns({"_lo": _units(low, scale), "_hi": _units(high, scale)})
+    one = F.lit(1).cast(_WHOLE)
+    # Per length: aligned starts from _first on and before _end lie inside the range. What the
+    # next length covers, from _outer_first to _outer_end, is left to it.
+    levels = (
+        starts.where(F.col("_lo") <= F.col("_hi"))
+        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 2))))
+        .withColumns({"_unit": _size(F.col("_level")), "_next": _size(F.col("_level") + 1)})
+        .withColumns(
+            {
+                "_first": _up(F.col("_lo"), unit),
+                "_end": _down((F.col("_hi") + one).cast(_WHOLE), unit),
+                "_outer_first": _up(F.col("_lo"), next_unit),
+                "_outer_end": _down((F.col("_hi") + one).cast(_WHOLE), next_unit),
+            }
         )
+        .where(F.col("_first") < F.col("_end"))
     )
+    last = F.col("_level") == _LEVELS - 2
+    covered = (F.col("_outer_first") < F.col("_outer_end")) & ~last
+    most = 2 * _BASE
 
-    # Aligned pieces of one size inside [low, high], minus those the next size covers.
-    first = F.expr("(_lo + _p.size - 1) div _p.size")
-    last = F.expr("(_hi + 1) div _p.size - 1")
-    outer_first = F.expr(f"(_lo + {_BASE} * _p.size - 1) div ({_BASE} * _p.size) * {_BASE}")
-    outer_last = F.expr(f"(_hi + 1) div ({_BASE} * _p.size) * {_BASE} - 1")
-
-    def run(a, b):
-        return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+    def run(start: Column, end: Column) -> Column:
+        steps = F.transform(
+            F.sequence(F.lit(0), F.lit(most)), lambda i: (start + i * unit).cast(_WHOLE)
+        )
+        return F.filter(steps, lambda s: s < end)
 
-    top = F.col("_p.k") == _DEPTH - 1
     pieces = F.when(
-        top | (F.col("_of") > F.col("_ol")), run(F.col("_f"), F.col("_l"))
-    ).otherwise(
+        covered,
         F.concat(
-            run(F.col("_f"), F.least(F.col("_l"), F.col("_of") - 1)),
-            run(F.greatest(F.col("_f"), F.col("_ol") + 1), F.col("_l")),
-        )
-    )
-    cut = (
-        ranges.withColumn("_lo", F.greatest(F.lit(0).cast("long"), _cents(low, F.ceil)))
-        .withColumn("_hi", _cents(high, F.floor))
-        .where(F.col("_lo") <= F.col("_hi"))
-        .withColumn("_p", level)
-        .withColumns({"_f": first, "_l": last, "_of": outer_first, "_ol": outer_last})
-        .withColumn("_piece", F.explode(pieces))
-        .withColumn("_level", F.col("_p.k"))
-        .drop("_lo", "_hi", "_p", "_f", "_l", "_of", "_ol")
-    )
+            run(F.col("_first"), F.col("_outer_first")), run(F.col("_outer_end"), F.col("_end"))
+        ),
+    ).otherwise(run(F.col("_first"), F.col("_end")))
+    helpers = ["_lo", "_hi", "_unit", "_next", "_first", "_end", "_outer_first", "_outer_end"]
+    cut = levels.withColumn("_piece", F.explode(pieces)).drop(*helpers)
+    used = cut.agg(F.collect_set("_level").alias("levels")).scalar()
     keyed = (
-        points.where(F.col(value) >= 0)
-        .withColumn("_at", _cents(value, F.floor))
-        .withColumn("_p", level)
-        .withColumn("_piece", F.expr("_at div _p.size"))
-        .withColumn("_level", F.col("_p.k"))
-        .drop("_at", "_p")
+        points.withColumn("_at", _units(value, scale))
+        .where(F.col("_at").isNotNull())
+        .withColumn("_level", F.explode(used))
+        .withColumn("_piece", _down(F.col("_at"), _size(F.col("_level"))))
+        .drop("_at")
     )
     return keyed.join(cut, ["_level", "_piece"], "inner").drop("_level", "_piece")
-
-
-def grid(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    left_blocks: int | None = None,
-    right_blocks: int = 1,
-) -> DataFrame:
-    """All combinations of the two sides, as an equi-join on hashed blocks.
-
-    Each side is split into blocks and repeated once per block of the other side, so
-    the work spreads over ``left_blocks * right_blocks`` join keys. Raise
-    ``right_blocks`` when the right side is more than a short list. The left side gets
-    some blocks for every shuffle partition by default.
-    """
-    if left_blocks is None:
-        left_blocks = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def block(key: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    a = left.withColumn("_a", block(left_key, left_blocks)).withColumn("_b", every(right_blocks))
-    b = right.withColumn("_b", block(right_key, right_blocks)).withColumn("_a", every(left_blocks))
-    return a.join(b, ["_a", "_b"], "inner").drop("_a", "_b")

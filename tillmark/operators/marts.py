@@ -173,8 +173,8 @@ def campaign_performance(campaigns: DataFrame, orders: DataFrame) -> DataFrame:
         )
     )
     percent = F.try_divide(
-        F.col("total_discount").cast("decimal(18,2)") * 100,
-        F.col("gross_sales").cast("decimal(18,2)"),
+        F.col("total_discount").cast("decimal(24,2)") * 100,
+        F.col("gross_sales").cast("decimal(24,2)"),
     )
     return (
         campaigns.select(F.col("id").alias("campaign_id"), "campaign_name", "campaign_type")

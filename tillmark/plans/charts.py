@@ -1,7 +1,7 @@
 """Chart payloads: dashboard results as plain lists, ready to be sent as JSON.
 
-Only here do results leave Spark. A chart holds a handful of points; a result with more
-than ``MAX_POINTS`` rows is refused rather than pulled to the driver.
+Only here do results leave Spark, a partition at a time. A caller may set the most points it
+will take; without that every row is delivered.
 """
 
 from __future__ import annotations
@@ -23,11 +23,12 @@ from tillmark.functions import Day, as_date
 from tillmark.operators import dashboard, directory, forecast
 from tillmark.sources.tables import Tables
 
-MAX_POINTS = 10_000
 Payload = dict[str, Any]
 
 
-def points(df: DataFrame, most: int = MAX_POINTS) -> list[Row]:
+def points(df: DataFrame, most: int | None = None) -> list[Row]:
+    if most is None:
+        return list(df.toLocalIterator())
     rows = df.limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"more than {most} rows are no chart; write the result to a table")

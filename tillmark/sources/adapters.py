@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.functions import money_sum
+from tillmark.functions import money_sum, zero_padded
 
 MONEY = "decimal(12,2)"
 
@@ -79,9 +79,7 @@ class Retail:
         return self.raw("part").select(
             F.col("p_partkey").alias("id"),
             F.col("p_name").alias("product_name"),
-            F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 6, "0")).alias(
-                "product_code"
-            ),
+            F.concat(F.lit("P"), zero_padded("p_partkey", 6)).alias("product_code"),
             ids[F.col("p_type")].alias("category_id"),
             F.col("p_type").alias("category_name"),
             F.col("p_brand").alias("brand"),
