@@ -123,3 +123,28 @@ def test_quality(frame):
     assert [tuple(r) for r in twice.collect()] == [(1, 1, 2)]
     missing = quality.null_violations(child, ["id", "p"]).collect()
     assert [tuple(r) for r in missing] == [("p", 1)]
+
+
+def test_change_sets_keep_every_row(frame):
+    users = frame("id long, username string, nickname string, role string",
+                  [(1, "Alice", "a", "user"), (2, "bob", "b", "user"), (3, None, "c", "user")])
+    batch = frame("id long, username string, nickname string",
+                  [(10, None, "x"), (11, None, "y"), (12, "alice", "z"), (13, "Bob", "z"), (14, "BOB", "w"), (15, "eve", "v"), (16, "Eve", "u")])
+    added = {r.id for r in directory.apply_inserts(users, batch).collect()} - {1, 2, 3}
+    assert added == {10, 11, 12, 13, 14, 15, 16}
+    added = {r.id for r in directory.apply_inserts(users, batch, ignore_case=True).collect()} - {1, 2, 3}
+    assert added == {10, 11, 15}
+    found = {r.username for r in directory.name_conflicts(users, batch, ignore_case=True).collect()}
+    assert found == {"alice", "bob", "eve"}
+    changes = frame("id long, nickname string, at int", [(1, "old", 1), (1, "new", 2), (2, "one", 1), (2, "two", 1), (None, "n", 1)])
+    got = {r.id: r.nickname for r in directory.apply_updates(users, changes, "at").collect()}
+    assert got == {1: "new", 2: "two", 3: "c"}
+    assert directory.apply_updates(users, changes).count() == 3
+
+
+def test_pages_are_cut_by_id(frame):
+    users = frame("id long, username string, role string", [(i * 700, f"u{i}", "user") for i in range(95)])
+    want = sorted((i * 700 for i in range(95)), reverse=True)
+    for page in (1, 2, 5, 10, 11):
+        got = [r.id for r in directory.user_search_page(users, page=page, limit=10).collect()]
+        assert got == want[(page - 1) * 10 : page * 10]

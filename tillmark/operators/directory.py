@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmark.fixed_values import (
@@ -22,6 +23,8 @@ PROFILE = [
     "id", "username", "nickname", "sex", "age", "phone", "email", "birthday", "card",
     "content", "remarks", "role",
 ]
+# Ids whose numbers agree up to their last ten bits are counted together.
+PAGE_RANGE = 10
 EDITABLE = ["username", "nickname", "sex", "age", "phone", "email"]
 
 
@@ -45,13 +48,37 @@ def user_search_page(
     limit: int = PAGE_SIZE,
     literal: bool = False,
 ) -> DataFrame:
-    """One page of users, newest id first, with the total and page count on every row."""
+    """One page of users, newest id first, with the total and page count on every row.
+
+    The page is cut by id, so no task sorts more than one page of rows: counts over ranges of
+    ids find the range in which the page starts, and only from there on rows are read.
+    ``user_search_after`` needs no counts and is the way to leaf through.
+    """
     found = find_users(users, role, username, literal)
     total = found.agg(F.count(F.lit(1))).scalar()
+    before = (page - 1) * limit
+    rows = _profile(found)
+    if before:
+        # Ids from the top down in ranges, and how many users each holds.
+        reach = F.col("id").cast("long")
+        ranges = found.groupBy(F.shiftright(reach, PAGE_RANGE).alias("range")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        upto = W.orderBy(F.desc("range")).rowsBetween(W.unboundedPreceding, -1)
+        start = (
+            ranges.withColumn("above", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+            .where((F.col("above") <= before) & (F.col("above") + F.col("n") > before))
+            .agg(F.max(F.struct("range", "above")).alias("s"))
+            .first()["s"]
+        )
+        if start is None:
+            rows, before = rows.where("false"), 0
+        else:
+            rows = rows.where(F.shiftright(reach, PAGE_RANGE) <= start["range"])
+            before -= start["above"]
     return (
-        _profile(found)
-        .orderBy(F.desc("id"))
-        .offset((page - 1) * limit)
+        rows.orderBy(F.desc("id"))
+        .offset(before)
         .limit(limit)
         .withColumn("total", total)
         .withColumn("pages", page_count("total", limit))
@@ -81,11 +108,21 @@ def user_by_name(users: DataFrame, username: str) -> DataFrame:
     return _profile(users.where(F.col("username") == username))
 
 
-def name_conflicts(users: DataFrame, batch: DataFrame) -> DataFrame:
-    """Names of a batch that are taken already or occur in it more than once."""
-    names = batch.groupBy("username").agg(F.count(F.lit(1)).alias("in_batch"))
+def _named(df: DataFrame, ignore_case: bool) -> DataFrame:
+    """Rows with a name, the name they are compared by in ``username``."""
+    name = F.lower("username") if ignore_case else F.col("username")
+    return df.withColumn("username", name).where(F.col("username").isNotNull())
+
+
+def name_conflicts(users: DataFrame, batch: DataFrame, ignore_case: bool = False) -> DataFrame:
+    """Names of a batch that are taken already or occur in it more than once.
+
+    With ``ignore_case`` names are compared, and shown, in lower case. Missing names are in
+    nobody's way.
+    """
+    names = _named(batch, ignore_case).groupBy("username").agg(F.count(F.lit(1)).alias("in_batch"))
     taken = (
-        users.select("username")
+        _named(users.select("username"), ignore_case)
         .join(names.select("username"), "username", "left_semi")
         .distinct()
         .withColumn("is_taken", F.lit(True))
@@ -97,24 +134,30 @@ def name_conflicts(users: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def registration_check(users: DataFrame, requests: DataFrame) -> DataFrame:
+def registration_check(
+    users: DataFrame, requests: DataFrame, ignore_case: bool = False
+) -> DataFrame:
     """Each request with the first reason to turn it down, or NULL.
 
-    Requests carry username, password and confirm_password.
+    Requests carry username, password and confirm_password. With ``ignore_case`` a name that
+    differs from a taken one by case alone is taken too.
     """
+    key = F.lower("username") if ignore_case else F.col("username")
     fields = ("username", "password", "confirm_password")
     missing = reduce(
         lambda a, b: a | b, [F.col(c).isNull() | (F.col(c) == "") for c in fields]
     )
-    asked = requests.select("username").where(F.col("username").isNotNull()).distinct()
+    asked = requests.select(key.alias("_key")).where(F.col("_key").isNotNull()).distinct()
     taken = (
-        users.select("username")
-        .join(asked, "username", "left_semi")
+        users.select(key.alias("_key"))
+        .join(asked, "_key", "left_semi")
         .distinct()
         .withColumn("_taken", F.lit(True))
     )
     return (
-        requests.join(taken, "username", "left")
+        requests.withColumn("_key", key)
+        .join(taken, "_key", "left")
+        .drop("_key")
         .withColumn(
             "reject_reason",
             F.when(missing, REJECT_MISSING)
@@ -126,28 +169,48 @@ def registration_check(users: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def apply_inserts(
-    users: DataFrame, batch: DataFrame, role: str = "user", check_names: bool = True
+    users: DataFrame,
+    batch: DataFrame,
+    role: str = "user",
+    check_names: bool = True,
+    ignore_case: bool = False,
 ) -> DataFrame:
     """Users plus the new ones of a batch, under a fixed role. Ids come with the batch.
 
-    With ``check_names`` a taken name is skipped and, of equal names, the lowest id wins.
+    With ``check_names`` a taken name is skipped and, of equal names, the lowest id wins; with
+    ``ignore_case`` case makes no difference to that. A user without a name is always added.
     """
     new = batch.withColumn("role", F.lit(role))
     if check_names:
-        first = batch.groupBy("username").agg(F.min("id").alias("id"))
-        taken = users.select("username")
-        new = new.join(first.join(taken, "username", "left_anti"), ["username", "id"], "left_semi")
+        named = _named(batch, ignore_case)
+        first = named.groupBy("username").agg(F.min("id").alias("id"))
+        taken = _named(users.select("username"), ignore_case)
+        free = first.join(taken, "username", "left_anti").select(
+            F.col("username").alias("_key"), "id"
+        )
+        key = F.lower("username") if ignore_case else F.col("username")
+        unnamed = new.where(F.col("username").isNull())
+        new = new.withColumn("_key", key).join(free, ["_key", "id"], "left_semi").drop("_key")
+        new = new.unionByName(unnamed)
     return users.unionByName(new, allowMissingColumns=True).select(*users.columns)
 
 
-def apply_updates(users: DataFrame, changes: DataFrame) -> DataFrame:
+def apply_updates(users: DataFrame, changes: DataFrame, at: str | None = None) -> DataFrame:
     """Users with the editable columns of matching change rows written over them.
 
     A change row sets all editable columns it carries, to NULL as well. Other columns,
-    the password among them, are ignored. The change set has one row per id.
+    the password among them, are ignored. Of several change rows for one id the one with the
+    latest ``at`` counts, of equally late ones (or without ``at``) the one with the largest
+    values.
     """
     columns = [c for c in EDITABLE if c in changes.columns and c in users.columns]
-    new = changes.select("id", F.struct(*columns).alias("_new"))
+    order = [at] if at else []
+    new = (
+        changes.where(F.col("id").isNotNull())
+        .groupBy("id")
+        .agg(F.max(F.struct(*order, F.struct(*columns).alias("_row"))).alias("_last"))
+        .select("id", F.col("_last._row").alias("_new"))
+    )
     hit = F.col("_new").isNotNull()
     return users.join(new, "id", "left").select(
         *[
@@ -203,10 +266,12 @@ def _as(ids: DataFrame, column: str) -> DataFrame:
 
 
 def _blanked(df: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+    """Rows without a reference stay out of the join, where they would share one key."""
     lost = gone.distinct().select(F.col("id").alias(column), F.lit(True).alias("_lost"))
-    return df.join(lost, column, "left").withColumn(
+    linked = df.where(F.col(column).isNotNull()).join(lost, column, "left").withColumn(
         column, F.when(F.col("_lost").isNull(), F.col(column))
-    ).drop("_lost")
+    )
+    return linked.drop("_lost").unionByName(df.where(F.col(column).isNull()))
 
 
 def _by_depth(table: str) -> list[str]:

@@ -46,16 +46,24 @@ def run(args: argparse.Namespace) -> list[Exported]:
     names = args.tables
     if not names:
         names = sorted(r.table_name for r in database.tables(spark, args.database).collect())
+    def source(table: str):
+        return database.read(spark, table)
+
+    def split(table: str) -> str | None:
+        """The column range queries go by, where the table has it."""
+        return "id" if "id" in source(table).columns else None
+
     return sync_all(
         spark,
-        lambda table: database.read(spark, table, split_by="id", parts=args.parts),
+        source,
         args.base.rstrip("/"),
         names,
         incremental=not (args.full or args.hook),
         overlap=overlap,
         newer=lambda table, column, mark: database.read_after(
-            spark, table, column, mark, split_by="id", parts=args.parts
+            spark, table, column, mark, split_by=split(table), parts=args.parts
         ),
+        whole=lambda table: database.read(spark, table, split(table), args.parts),
     )
 
 

@@ -9,8 +9,10 @@ source, which may have moved on meanwhile.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import threading
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor, as_completed
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -58,9 +60,15 @@ def _written(df: DataFrame, path: str, column: str | None) -> tuple[int, str | N
 
 
 def export_full(df: DataFrame, base: str, table: str, column: str | None = None) -> Exported:
-    """Replace the copy of a table."""
+    """Replace the copy of a table, all its batches, whatever the session says of overwriting."""
     path = f"{base}/{table}"
-    df.withColumn(BATCH, F.lit(0)).write.mode("overwrite").partitionBy(BATCH).parquet(path)
+    (
+        df.withColumn(BATCH, F.lit(0))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(BATCH)
+        .parquet(path)
+    )
     rows, top = _written(df, path, column)
     return Exported(table, "full", rows, Mark(column, top, 1))
 
@@ -90,7 +98,7 @@ def export_incremental(
         start = str(dt.datetime.fromisoformat(state.mark) - overlap)
     path = f"{base}/{table}/{BATCH}={state.next_batch}"
     delta = newer(table, column, start) if newer else after_mark(df, column, start)
-    delta.write.mode("overwrite").parquet(path)
+    delta.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     rows, top = _written(df, path, column)
     if top is None:
         return Exported(table, "incremental", rows, state)
@@ -101,13 +109,16 @@ def export_incremental(
 def read_synced(
     spark: SparkSession, base: str, table: str, key: str | None = None, at: str | None = None
 ) -> DataFrame:
-    """The copy of a table; with a key and time column only the newest version per key."""
-    rows = spark.read.parquet(f"{base}/{table}").drop(BATCH)
+    """The copy of a table; with a key and time column only the newest version per key.
+
+    Columns that later batches added are there, NULL in the rows before them.
+    """
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{base}/{table}").drop(BATCH)
     return rows if key is None else latest_version(rows, key, at)
 
 
 def load_marks(spark: SparkSession, base: str) -> dict[str, Mark]:
-    """The newest mark of every table; empty when none can be read."""
+    """The newest mark of every table; empty before the first run."""
     return _load(spark, base)[0]
 
 
@@ -115,7 +126,9 @@ def _load(spark: SparkSession, base: str) -> tuple[dict[str, Mark], int]:
     try:
         stored = spark.read.schema(_MARKS_SCHEMA).parquet(f"{base}/{MARKS}")
         rows = latest_version(stored, "table_name", "run").collect()
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return {}, 0
     marks = {r.table_name: Mark(r.column_name, r.mark, r.next_batch) for r in rows}
     return marks, max((r.run for r in rows), default=0)
@@ -143,45 +156,44 @@ def sync_all(
     overlap: dt.timedelta | None = None,
     at_once: int = 4,
     newer: Newer | None = None,
+    whole: Source | None = None,
 ) -> list[Exported]:
     """Export every table, some at a time, and save each mark once its rows are written.
 
+    ``source`` opens a table; ``whole``, where given, opens one that is to be read in full.
+
     A table without a time column is exported in full each time. A full export first
     takes the mark back, so if it fails halfway the next run starts over. Afterwards it
-    stores the newest time, and the next incremental run goes on from there. A failing
-    table does not stop the others; its error is raised when they are done.
+    stores the newest time, and the next incremental run goes on from there. A table that
+    cannot be opened or exported does not stop the others; its error is raised when they are
+    done.
     """
     marks, run = _load(spark, base)
-    frames = {table: source(table) for table in tables}
-    columns = {table: time_column(df.columns) for table, df in frames.items()}
+    runs, saving = itertools.count(run + 1), threading.Lock()
 
-    def follows(table: str) -> bool:
-        return incremental and columns[table] is not None
+    def save(table: str, mark: Mark) -> None:
+        with saving:  # marks share a folder
+            save_marks(spark, base, {table: mark}, next(runs))
 
     def export(table: str) -> Exported:
-        df, column = frames[table], columns[table]
-        if follows(table):
-            state = marks.get(table, Mark())
-            return export_incremental(df, base, table, column, state, overlap, newer)
-        return export_full(df, base, table, column)
-
-    restarted = {
-        t: Mark(columns[t]) for t in frames
-        if not follows(t) and t in marks and marks[t].mark is not None
-    }
-    if restarted:
-        run += 1
-        save_marks(spark, base, restarted, run)
-        marks |= restarted
+        df = source(table)
+        column = time_column(df.columns)
+        before = marks.get(table, Mark())
+        if incremental and column is not None and before.mark is not None:
+            done = export_incremental(df, base, table, column, before, overlap, newer)
+        else:
+            if before.mark is not None:
+                save(table, Mark(column))
+                before = Mark(column)
+            done = export_full(whole(table) if whole else df, base, table, column)
+            if incremental and column is not None:
+                done = Exported(table, "incremental", done.rows, done.mark)
+        if done.mark != before:
+            save(table, done.mark)
+        return done
 
     with ThreadPoolExecutor(at_once) as pool:
-        running = {pool.submit(export, table): table for table in frames}
-        # Marks are saved one after another, here, since they share a folder.
-        for job in as_completed(running):
-            table = running[job]
-            if job.exception() is None and job.result().mark != marks.get(table):
-                run += 1
-                save_marks(spark, base, {table: job.result().mark}, run)
+        running = [pool.submit(export, table) for table in tables]
     return [job.result() for job in running]
 
 

@@ -53,7 +53,9 @@ def write_by_time(df: DataFrame, path: str, column: str, key: str = "id") -> Non
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database))
+    """The tables of a database, views left out."""
+    found = spark.catalog.listTables(database)
+    return sorted(t.name for t in found if t.tableType not in ("VIEW", "TEMPORARY"))
 
 
 # --- JDBC ------------------------------------------------------------------------------
@@ -99,11 +101,18 @@ class Jdbc:
         split_by: str | None = None,
         parts: int = 200,
     ) -> DataFrame:
-        """Rows later than the mark, selected by the database.
+        """Rows later than the mark, selected by the database: Spark hands the test over.
 
         The range queries divide the ids of those rows only, not of the whole table.
         """
-        return self.read(spark, newer_rows(table, column, mark), split_by, parts)
+        whole = self.read(spark, table)
+        if split_by is None:
+            return after_mark(whole, column, mark)
+        ends = F.min(split_by).alias("low"), F.max(split_by).alias("high")
+        low, high = after_mark(whole, column, mark).agg(*ends).first()
+        options = {} if low is None else split_options(split_by, low, high, parts)
+        reader = spark.read.format("jdbc").options(**self.options(), **options, dbtable=table)
+        return after_mark(reader.option("fetchsize", "10000").load(), column, mark)
 
     def _bounds(
         self, spark: SparkSession, table: str, split_by: str, parts: int
@@ -118,7 +127,7 @@ class Jdbc:
             spark.read.format("jdbc")
             .options(**self.options(), dbtable="information_schema.tables")
             .load()
-            .where(F.col("table_schema") == database)
+            .where((F.col("table_schema") == database) & (F.col("table_type") == "BASE TABLE"))
             .select(F.col("table_name").alias("table_name"))
         )
 
@@ -142,11 +151,6 @@ class Jdbc:
         )
 
 
-def newer_rows(table: str, column: str, mark: str) -> str:
-    """A subquery for the rows of a table later than the mark."""
-    return f"(SELECT * FROM {table} WHERE {column} > '{mark}') AS newer"
-
-
 def split_options(column: str, low, high, parts: int) -> dict[str, str]:
     return {
         "partitionColumn": column,

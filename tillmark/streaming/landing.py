@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -20,16 +22,19 @@ def follow_landing(
 ) -> None:
     """Take in all files that arrived since the last call, then stop.
 
-    Every micro-batch overwrites the directory of its own number, so a batch repeated
-    after a failure leaves no second copy. Read the result with ``read_synced`` and a
-    key to get the current rows.
+    Every micro-batch overwrites the directory of its own query and number, so a batch repeated
+    after a failure leaves no second copy. The query's id comes from the offsets folder: with a
+    new or lost one all files are taken again, beside the batches already there. Read the result
+    with ``read_synced`` and a key to get the current rows.
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/{table}/{BATCH}={number}")
+        told = batch.sparkSession.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
+        query = json.loads(told)["id"]
+        batch.write.mode("overwrite").parquet(f"{base}/{table}/{BATCH}=stream-{query}-{number}")
 
     (
         reader.parquet(landing)
