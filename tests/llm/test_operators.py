@@ -518,6 +518,8 @@ def near_rows(seed=8):
 def test_join_against_all_pairs(spark, documents, monkeypatch, frequent):
     monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "LABELS_MOST", 10 if frequent == 2 else 1000)
+    monkeypatch.setattr(ngram_join, "SHARED_BITS", 12 if frequent == 2 else 20)
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()] + [(1000 + i, t) for i, t in near_rows()]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = Counter((r["id"], r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(df).collect())
@@ -526,7 +528,7 @@ def test_join_against_all_pairs(spark, documents, monkeypatch, frequent):
 
 def test_every_member_a_stray(spark, monkeypatch):
     """All sets in one family: nothing may rest on the family being alike."""
-    monkeypatch.setattr(ngram_join, "family_of", lambda s: 7 if s[0] % np.uint64(3) else 8)
+    monkeypatch.setattr(ngram_join, "bands_of", lambda s: [7 if s[0] % np.uint64(3) else 8] * 4)
     rows = near_rows(9)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = Counter((r["id"], r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(df).collect())
