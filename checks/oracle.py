@@ -166,7 +166,24 @@ r_steps AS (
 r_ahead AS (
   SELECT series_key, CAST(newest + (step + 1) AS DATE) AS date, step,
          greatest(0.0, CAST(total_amount AS DOUBLE)) AS predicted_amount
-  FROM r_ranked JOIN r_steps USING (k) WHERE days >= 14)"""
+  FROM r_ranked JOIN r_steps USING (k) WHERE days >= 27)"""
+
+# Rows of the fit twice over: all of them in sample, and the last 14 held out.
+PARTS = """
+r_parts AS (
+  SELECT *, 'in_sample' AS part FROM r_features
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (k), 'holdout' AS part FROM (
+    SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY date DESC) AS k FROM r_features)
+  WHERE k <= 14)"""
+
+CURVE = f"""
+r_newest AS (SELECT series_key, max(date) AS newest FROM r_history GROUP BY 1 HAVING count(*) >= 14)
+SELECT series_key, {day('date')} AS date, CAST(total_amount AS DOUBLE) AS historical,
+       CAST(NULL AS BOOLEAN) AS in_range FROM r_history
+UNION ALL
+SELECT series_key, {day('CAST(newest + CAST(i + 1 AS INTEGER) AS DATE)')}, NULL, true
+FROM r_newest, range(30) t(i)"""
 
 GROWTH = """
 r_base AS (
@@ -390,12 +407,29 @@ SELECT series_key, round_even(greatest(0.0, least(100.0, CASE WHEN r2_score > 0
 FROM r_scores JOIN r_range USING (series_key)""",
     "forecast_weekly_repeat": f"""WITH {history('channel_id')},{REPEAT}
 SELECT series_key, {day('date')} AS date, step, predicted_amount FROM r_ahead""",
-    "linear_forecast_legacy": f"""WITH {history(None)},{REPEAT}
+    "linear_forecast_legacy": f"""WITH {history('channel_id')},{REPEAT}
 SELECT series_key, {day('date')} AS date, step, predicted_amount FROM r_ahead""",
-    "linear_fit_legacy": f"""WITH {history(None)},{features(0)}
-SELECT series_key, {day('date')} AS date, 'in_sample' AS part,
-       CAST(total_amount AS DOUBLE) AS actual, CAST(total_amount AS DOUBLE) AS predicted
-FROM r_features""",
+    "linear_fit_legacy": f"""WITH {history('channel_id')},{features(0)},{PARTS}
+SELECT series_key, {day('date')} AS date, part, CAST(total_amount AS DOUBLE) AS actual,
+       CASE WHEN part = 'in_sample' THEN CAST(total_amount AS DOUBLE) END AS predicted
+FROM r_parts""",
+    "linear_fit": f"""WITH {history('channel_id')},{features(1)},{PARTS}
+SELECT series_key, part, count(*) AS n, round(avg(CAST(total_amount AS DOUBLE)), 6) AS mean_actual,
+       CASE WHEN part = 'in_sample' THEN 0.0::DOUBLE END AS gap,
+       CASE WHEN part = 'in_sample' THEN 0.0::DOUBLE END AS lag_gap
+FROM r_parts GROUP BY 1, 2""",
+    "linear_forecast": f"""WITH {history('channel_id')},
+r_newest AS (SELECT series_key, max(date) AS newest FROM r_history GROUP BY 1 HAVING count(*) >= 15)
+SELECT series_key, {day('CAST(newest + CAST(i + 1 AS INTEGER) AS DATE)')} AS date,
+       CAST(i AS INTEGER) AS step, CASE WHEN i = 0 THEN 0.0::DOUBLE END AS change
+FROM r_newest, range(30) t(i)""",
+    "sales_prediction": f"""WITH {history(None)}
+SELECT series_key, 'ok' AS status, count(*) AS prediction_start_index,
+       'Random Forest' AS model_type, true AS accuracy_is_percent, true AS r2_in_range,
+       true AS mse_in_range
+FROM r_history GROUP BY 1 HAVING count(*) >= 14""",
+    "sales_prediction_curve": f"""WITH {history(None)},{CURVE}""",
+    "sales_prediction_by_channel": f"""WITH {history('channel_id')},{CURVE}""",
     "forecast_growth": f"""WITH {history('channel_id')},{REPEAT},{GROWTH}
 SELECT series_key, history_days, round(predicted_total, 2) AS predicted_total,
        round(growth_rate, 6) AS growth_rate, {VERDICT} AS conclusion FROM r_growth""",

@@ -284,7 +284,7 @@ def forecast_growth(r: Retail) -> DataFrame:
 @query
 def forecast_points(r: Retail) -> DataFrame:
     points, _ = forecast.sales_prediction(r.orders(), AS_OF, "linear", "legacy")
-    return points
+    return points.withColumn("predicted", F.round("predicted", 2))
 
 
 @query
@@ -295,34 +295,96 @@ def sales_prediction_linear(r: Retail) -> DataFrame:
 
 @query
 def linear_forecast(r: Retail) -> DataFrame:
-    return forecast.linear_forecast(_by_channel(r))
+    """Steps and dates, and by how much a prediction changes once it is part of the history."""
+    history = _by_channel(r)
+    ahead = forecast.linear_forecast(history)
+    first = ahead.where("step = 0").select(
+        "series_key", "date", F.lit(1).cast("long").alias("order_count"),
+        F.col("predicted_amount").alias("total_amount"),
+    )
+    longer = history.withColumn("total_amount", F.col("total_amount").cast("double"))
+    again = forecast.linear_fit(longer.unionByName(first.select(*longer.columns)))
+    kept = again.where("part = 'in_sample'").select("series_key", "date", "predicted")
+    # A negative prediction is shown as 0; fitted with the 0 it stays negative.
+    shown = F.greatest(F.lit(0.0), F.col("predicted"))
+    change = F.abs(shown - F.col("predicted_amount")) / (1 + F.col("predicted_amount"))
+    return (
+        ahead.join(kept, ["series_key", "date"], "left")
+        .select("series_key", "date", "step",
+                F.when(F.col("predicted").isNotNull(), F.round(change, 6)).alias("change"))
+    )
 
 
 @query
 def linear_forecast_legacy(r: Retail) -> DataFrame:
     """The model really fitted and stepped; its exact fit makes the result known."""
-    ahead = forecast.linear_forecast(_single(r), mode="legacy")
+    ahead = forecast.linear_forecast(_by_channel(r), mode="legacy")
     return ahead.withColumn("predicted_amount", F.round("predicted_amount", 2))
 
 
 @query
 def linear_fit_legacy(r: Retail) -> DataFrame:
-    fitted = forecast.linear_fit(_single(r), mode="legacy")
-    return fitted.withColumns(
-        {"actual": F.round("actual", 2), "predicted": F.round("predicted", 2)}
-    ).where(F.col("part") == "in_sample")
+    """Fitted and actual days; days held out, which no formula knows, with their actual value."""
+    fitted = forecast.linear_fit(_by_channel(r), mode="legacy")
+    known = F.when(F.col("part") == "in_sample", F.round("predicted", 2))
+    return fitted.withColumns({"actual": F.round("actual", 2), "predicted": known})
 
 
 @query
 def linear_fit(r: Retail) -> DataFrame:
-    fitted = forecast.linear_fit(_by_channel(r))
-    return forecast.fit_metrics(fitted, ["series_key", "part"])
+    """What least squares must satisfy: per series the residuals of the fit add up to nothing, by
+    themselves and times the newest lag, relative to the amounts. Held-out days are counted."""
+    rows = series.feature_frame(_by_channel(r), "clean").select("series_key", "date", "lag_1")
+    fitted = forecast.linear_fit(_by_channel(r)).join(rows, ["series_key", "date"])
+    gap = F.col("actual") - F.col("predicted")
+    size = F.sum(F.abs("actual"))
+    inside = F.col("part") == "in_sample"
+    return (
+        fitted.groupBy("series_key", "part")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.round(F.avg("actual"), 6).alias("mean_actual"),
+            F.round(F.abs(F.sum(gap)) / size, 6).alias("gap"),
+            F.round(F.abs(F.sum(gap * F.col("lag_1"))) / F.sum(F.abs(F.col("actual") * F.col("lag_1"))), 6)
+            .alias("lag_gap"),
+        )
+        .withColumns({c: F.when(inside, F.col(c)) for c in ("gap", "lag_gap")})
+    )
 
 
 @query
 def sales_prediction(r: Retail) -> DataFrame:
+    """The default forecast's report, as far as it does not depend on the forest."""
     _, report = forecast.sales_prediction(r.orders(), AS_OF)
-    return report
+    return report.select(
+        "series_key", "status", "prediction_start_index", "model_type",
+        F.col("accuracy").between(0, 100).alias("accuracy_is_percent"),
+        (F.col("r2_score") <= 1).alias("r2_in_range"), (F.col("mse") >= 0).alias("mse_in_range"),
+    )
+
+
+def _curve(r: Retail, by: str | None) -> DataFrame:
+    """Dates and history, and whether each prediction lies within its series' history: a forest
+    only averages values it has seen."""
+    points, _ = forecast.sales_prediction(r.orders(), AS_OF, series=by)
+    span = points.groupBy("series_key").agg(
+        F.min("historical").alias("low"), F.max("historical").alias("high")
+    )
+    inside = F.col("predicted").between(F.col("low") - 0.01, F.col("high") + 0.01)
+    wide = F.col("predicted").between(F.lit(0.0), 10 * F.col("high"))
+    return points.join(span, "series_key").select(
+        "series_key", "date", "historical", (inside if by is None else wide).alias("in_range")
+    )
+
+
+@query
+def sales_prediction_curve(r: Retail) -> DataFrame:
+    return _curve(r, None)
+
+
+@query
+def sales_prediction_by_channel(r: Retail) -> DataFrame:
+    return _curve(r, "channel_id")
 
 
 # --- sources and sync ------------------------------------------------------------------

@@ -217,3 +217,36 @@ def test_stitched_points_have_one_value_each(frame):
     rows = forecast.stitched(history, forecast.weekly_repeat(history)).collect()
     assert len(rows) == 60
     assert all((r.historical is None) != (r.predicted is None) for r in rows)
+
+
+def test_short_legacy_series_are_really_fitted(frame):
+    """From 14 to 26 days the closed form does not hold; the forecast comes from a fit."""
+    h = noisy(20, seed=3)
+    df = days(frame, h)
+    assert forecast.weekly_repeat(df).count() == 0
+    orders = frame(
+        "create_time date, payment_amount double",
+        [(START + dt.timedelta(days=i), round(float(v), 2)) for i, v in enumerate(h)],
+    ).withColumn("payment_amount", F.col("payment_amount").cast("decimal(12,2)"))
+    points, report = forecast.sales_prediction(
+        orders.withColumn("id", F.lit(1)), START + dt.timedelta(days=20), "linear", "legacy"
+    )
+    got = [r.predicted for r in points.where("predicted is not null").orderBy("date").collect()]
+    want = predicted(forecast.linear_forecast(df, mode="legacy"))
+    assert np.allclose(got, want, rtol=1e-6) and len(got) == 30
+    row = report.first()
+    assert row.status == "ok" and row.mse >= 0
+
+
+def test_model_size_does_not_follow_the_number_of_series(frame):
+    many = None
+    for i in range(12):
+        part = days(frame, noisy(60, i), f"s{i:02d}")
+        many = part if many is None else many.union(part)
+    model = forecast.fit_forest(many, "clean", trees=4, depth=3)
+    tables = forecast._node_tables(model)
+    assert len(tables) == 4 and all(len(t[0]) <= 15 for t in tables)
+    assert sum(len(t[0]) for t in tables) == model.totalNumNodes
+    x = np.random.default_rng(0).normal(size=(50, 13)) * 5
+    want = [model.predict(Vectors.dense(r)) for r in x]
+    assert np.allclose(forecast._predicted(tables, x), want)

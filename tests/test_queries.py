@@ -8,7 +8,7 @@ from checks.compare import compare, oracle_connection
 from checks.oracle import ORACLE
 from checks.registry import REGISTRY
 
-WITHOUT_SQL = {"linear_forecast", "linear_fit", "sales_prediction"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +31,11 @@ def test_query_agrees_with_its_sql(spark, oracle, name):
 
 
 def test_default_forecast(spark):
-    row = REGISTRY["sales_prediction"](spark, SMALL).collect()[0]
+    from checks.registry import AS_OF
+    from tillmark.operators import forecast
+    from tillmark.sources.adapters import Retail
+
+    row = forecast.sales_prediction(Retail(spark, SMALL).orders(), AS_OF)[1].collect()[0]
     assert (row.status, row.model_type) == ("ok", "Random Forest")
     assert 0 < row.r2_score < 1 and row.accuracy == pytest.approx(100 * row.r2_score, abs=0.6)
     assert math.isfinite(row.growth_rate)

@@ -13,7 +13,6 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -64,15 +63,19 @@ def _nothing(df: DataFrame, schema: str) -> DataFrame:
 # --- linear ----------------------------------------------------------------------------
 
 
+# From so many days on the legacy fit is the only exact one.
+REPEAT_DAYS = 27
+
+
 def weekly_repeat(series_df: DataFrame, days: int = FORECAST_DAYS) -> DataFrame:
-    """The legacy linear forecast in closed form.
+    """The legacy linear forecast in closed form, for series of 27 days or more.
 
     With the leak, ``y = 7 * rolling_mean_7 - (lag_1 + ... + lag_6)`` fits every training
     row exactly, and stepping it forward repeats the last days: step 0 is the newest day,
-    step i of each week the day ``7 - i`` from the end. Holds for series long enough for
-    that fit to be the only exact one (27 days).
+    step i of each week the day ``7 - i`` from the end. Shorter series have other exact fits,
+    so they get no row here; ``linear_forecast`` fits them.
     """
-    ranked = _long_enough(series_df).withColumn("k", F.row_number().over(_newest_first()))
+    ranked = _long_enough(series_df, REPEAT_DAYS).withColumn("k", F.row_number().over(_newest_first()))
     newest = F.max("date").over(W.partitionBy("series_key"))
     source_day = "CASE WHEN i % 7 = 0 THEN 1 ELSE 7 - i % 7 END"
     steps = F.expr(f"filter(sequence(0, {days - 1}), i -> {source_day} = k)")
@@ -192,6 +195,8 @@ def linear_fit(
 # --- forest ----------------------------------------------------------------------------
 
 _AMOUNT_FEATURES = LAG_COLUMNS + ROLLING_COLUMNS
+# Depth of the trees for many series, and of those the dashboard grows on its one series.
+DEPTH, ONE_SERIES_DEPTH = 12, 30
 
 
 def _scales(series_df: DataFrame) -> DataFrame:
@@ -217,14 +222,17 @@ def fit_forest(
     series_df: DataFrame,
     mode: str = "legacy",
     trees: int = 100,
-    depth: int = 30,
+    depth: int = DEPTH,
     bins: int = 128,
     seed: int = 42,
 ) -> RandomForestRegressionModel:
     """One forest trained by Spark on the rows of all series, each on its own scale.
 
-    With a single series this is the model of that series. 128 bins keep every split
-    point of a 90-day history.
+    All rows are trained on. ``depth`` bounds the model, which is sent to every executor: trees of
+    depth 12 have 8,191 nodes at most, whatever the number of series. ``bins`` is a parameter of the
+    model: a feature is split at 127 places at most, which are all there are for one history of
+    90 days and quantiles where many series meet, so a series may be fitted differently
+    beside others than alone.
     """
     # The key order fixes which rows a tree's bootstrap draws, so a rerun agrees.
     rows = _scaled(
@@ -264,21 +272,59 @@ def forest_fit(
     )
 
 
-def _step_features(step: int, mode: str) -> Column:
-    """The feature vector of the day ``step`` days after the last one, on the series' scale."""
-    late = 1 if mode == "legacy" and step == 0 else 0
-    day = f"date_add(newest, {step + 1})"
-    calendar = [
-        f"weekday({day})", f"month({day})", f"day({day})", f"int(weekday({day}) >= 5)"
-    ]
-    lags = [f"element_at(recent, {-(j + late)})" for j in LAGS]
-    means = [
-        f"aggregate(slice(recent, {MEMORY - n + 1}, {n}), 0D, (a, b) -> a + b) / {n}"
-        for n in ROLLING
-    ]
-    return array_to_vector(
-        F.expr("array(" + ", ".join(f"double({c})" for c in calendar + lags + means) + ")")
-    )
+def _node_tables(model: RandomForestRegressionModel) -> list[tuple[np.ndarray, ...]]:
+    """Every tree as arrays: feature (-1 for a leaf), threshold, left and right child, value.
+
+    Read from the model's own description, in which a node precedes its children.
+    """
+    out, rows, open_ = [], [], []
+
+    def close():
+        if rows:
+            columns = list(zip(*rows))
+            out.append(tuple(np.array(c, t) for c, t in zip(columns, ("i4", "f8", "i4", "i4", "f8"))))
+
+    def hang(node: int) -> None:
+        if open_:
+            parent, side = open_[-1]
+            rows[parent][side] = node
+
+    for line in model.toDebugString.splitlines():
+        words = line.split()
+        if not words:
+            continue
+        if words[0] == "Tree":
+            close()
+            rows, open_ = [], []
+        elif words[0] == "If":
+            hang(len(rows))
+            rows.append([int(words[2]), float(words[4].rstrip(")")), -1, -1, 0.0])
+            open_.append((len(rows) - 1, 2))
+        elif words[0] == "Else":
+            # The left side is complete: what is open on top of its parent is done.
+            while open_[-1][1] == 3:
+                open_.pop()
+            open_[-1] = (open_[-1][0], 3)
+        elif words[0] == "Predict:":
+            hang(len(rows))
+            rows.append([-1, 0.0, -1, -1, float(words[1])])
+    close()
+    return out
+
+
+def _predicted(trees: list[tuple[np.ndarray, ...]], x: np.ndarray) -> np.ndarray:
+    """The mean of all trees' values for every row of ``x``."""
+    total = np.zeros(len(x))
+    for feature, threshold, left, right, value in trees:
+        at = np.zeros(len(x), np.int64)
+        inner = np.flatnonzero(feature[at] >= 0)
+        while len(inner):
+            node = at[inner]
+            low = x[inner, feature[node]] <= threshold[node]
+            at[inner] = np.where(low, left[node], right[node])
+            inner = inner[feature[at[inner]] >= 0]
+        total += value[at]
+    return total / len(trees)
 
 
 def forest_forecast(
@@ -286,15 +332,12 @@ def forest_forecast(
     model: RandomForestRegressionModel,
     days: int = FORECAST_DAYS,
     mode: str = "legacy",
-    checkpoint_every: int = 5,
 ) -> DataFrame:
-    """Step the forest forward, all series at once, one transform per day.
+    """Step the forest forward, all days in one pass over one row per series.
 
-    The state is one row per series with its last 14 amounts. Its lineage is cut by a
-    reliable checkpoint every few steps, so the plan stays short and a lost executor
-    costs at most those steps.
+    A row holds the last 14 amounts of its series; a batch of rows is stepped at once. The model's
+    nodes are sent once.
     """
-    use_checkpoints(series_df.sparkSession)
     by_date = F.array_sort(F.collect_list(F.struct("date", "scaled")))
     scaled = (F.col("total_amount").cast("double") - F.col("centre")) / F.col("spread")
     state = (
@@ -305,33 +348,38 @@ def forest_forecast(
         .withColumn("scaled", scaled)
         .groupBy("series_key", "centre", "spread")
         .agg(by_date["scaled"].alias("recent"), F.max("date").alias("newest"))
-        .withColumn("predictions", F.array().cast("array<double>"))
-        # No amount below zero, on the scale of the series.
-        .withColumn("floor", -F.col("centre") / F.col("spread"))
-    )
-    for step in range(days):
-        scored = model.transform(state.withColumn("features", _step_features(step, mode)))
-        state = scored.selectExpr(
-            "series_key", "newest", "centre", "spread", "floor", "recent", "predictions",
-            "greatest(floor, scaled_prediction) AS next",
-        ).selectExpr(
-            "series_key", "newest", "centre", "spread", "floor",
-            f"concat(slice(recent, 2, {MEMORY - 1}), array(next)) AS recent",
-            "concat(predictions, array(next)) AS predictions",
-        )
-        if (step + 1) % checkpoint_every == 0 or step == days - 1:
-            state = state.checkpoint(eager=True)
-    return state.select(
-        "series_key", "newest", "centre", "spread",
-        F.posexplode("predictions").alias("step", "next"),
-    ).select(
-        "series_key",
-        F.date_add("newest", F.col("step") + 1).alias("date"),
-        "step",
-        F.greatest(F.lit(0.0), F.col("next") * F.col("spread") + F.col("centre")).alias(
-            "predicted_amount"
-        ),
     )
+    sent = series_df.sparkSession.sparkContext.broadcast(_node_tables(model))
+
+    def step(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            values = np.array(batch["recent"].tolist())
+            floor = (-batch["centre"] / batch["spread"]).to_numpy()
+            newest = pd.to_datetime(batch["newest"])
+            for i in range(days):
+                calendar = _calendar_matrix(newest + pd.Timedelta(days=i + 1))
+                late = 1 if mode == "legacy" and i == 0 else 0
+                recent = values[:, -MEMORY:]
+                lags = [recent[:, -(j + late)] for j in LAGS]
+                means = [recent[:, -n:].sum(axis=1) / n for n in ROLLING]
+                x = np.column_stack([calendar, *lags, *means]).astype(float)
+                values = np.column_stack([values, np.maximum(floor, _predicted(sent.value, x))])
+            ahead = values[:, -days:] * batch["spread"].to_numpy()[:, None]
+            ahead = np.maximum(0.0, ahead + batch["centre"].to_numpy()[:, None])
+            yield pd.DataFrame(
+                {
+                    "series_key": np.repeat(batch["series_key"].to_numpy(), days),
+                    "date": [
+                        (d + pd.Timedelta(days=i + 1)).date() for d in newest for i in range(days)
+                    ],
+                    "step": np.tile(np.arange(days, dtype="int32"), len(batch)),
+                    "predicted_amount": ahead.ravel(),
+                }
+            )
+
+    return state.mapInPandas(step, PREDICTION)
 
 
 # --- evaluation and report -------------------------------------------------------------
@@ -471,8 +519,9 @@ def sales_prediction(
 ) -> tuple[DataFrame, DataFrame]:
     """The forecast as (points, report).
 
-    ``random_forest`` runs in legacy mode by default, as the dashboard does. ``linear``
-    in legacy mode uses the closed form, whose fit is exact by construction.
+    ``random_forest`` runs in legacy mode by default, as the dashboard does. Without
+    ``series`` its trees have the dashboard's depth of ``ONE_SERIES_DEPTH``; with it one forest of
+    ``DEPTH`` learns from all series.
     """
     history = daily_series(orders, as_of, history_days, series)
     if model_type == "random_forest":
@@ -484,21 +533,18 @@ def sales_prediction(
         if feature_frame(history, mode).isEmpty():
             predictions, metrics = _nothing(history, PREDICTION), _nothing(history, METRICS)
         else:
-            model = fit_forest(history, mode)
+            depth = ONE_SERIES_DEPTH if series is None else DEPTH
+            model = fit_forest(history, mode, depth=depth)
             predictions = forest_forecast(history, model, days, mode)
             metrics = fit_metrics(forest_fit(history, model, mode), ["series_key"])
     elif model_type == "linear":
         mode, label = mode or "clean", "Linear Regression"
-        if mode == "legacy":
-            predictions = weekly_repeat(history, days)
-            metrics = (
-                predictions.select("series_key").distinct()
-                .withColumns({"mse": F.lit(0.0), "r2_score": F.lit(1.0)})
-            )
-        else:
-            predictions = linear_forecast(history, days, mode)
-            fitted = linear_fit(history, mode).where(F.col("part") == "in_sample")
-            metrics = fit_metrics(fitted, ["series_key"])
+        # The fit and every prediction read the series again; it is small, and written once.
+        use_checkpoints(orders.sparkSession)
+        history = history.checkpoint(eager=True)
+        predictions = linear_forecast(history, days, mode)
+        fitted = linear_fit(history, mode).where(F.col("part") == "in_sample")
+        metrics = fit_metrics(fitted, ["series_key"])
     else:
         raise ValueError(f"unknown model {model_type!r}")
     report = forecast_report(history, predictions, metrics, label, days)
