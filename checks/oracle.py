@@ -457,8 +457,25 @@ FROM customer
 UNION ALL SELECT 'sales_order', count(*), CAST(max(o_orderdate) AS VARCHAR) FROM orders
 UNION ALL SELECT 'user_behavior', count(*), CAST(max(ts) AS VARCHAR) FROM events""",
     "bulk_insert": f"SELECT * REPLACE ({stamp('o_orderdate')} AS o_orderdate) FROM orders",
-    "truncate_load": f"""SELECT * REPLACE ({stamp('ts')} AS ts) FROM events
-WHERE event_type = 'purchase'""",
+    "truncate_load": f"""SELECT * REPLACE ({stamp('ts')} AS ts) FROM events""",
+    "watermark_columns": f"""WITH {ORDERS}
+SELECT 'py_user' AS table_name, CAST(NULL AS VARCHAR) AS column_name, 0::BIGINT AS timed_rows
+UNION ALL SELECT 'sales_order', 'create_time', count(create_time) FROM r_orders
+UNION ALL SELECT 'user_behavior', 'create_time', count(ts) FROM events
+UNION ALL SELECT 'sales_detail', NULL, 0""",
+    "export_all": """
+SELECT 'region' AS table_name, 'full' AS mode, count(*) AS row_count FROM region
+UNION ALL SELECT 'nation', 'full', count(*) FROM nation
+UNION ALL SELECT 'customer', 'full', count(*) FROM customer
+UNION ALL SELECT 'orders', 'full', count(*) FROM orders""",
+    "table_list": """
+SELECT 'nation' AS table_name, count(*) AS row_count FROM nation
+UNION ALL SELECT 'customer', count(*) FROM customer
+UNION ALL SELECT 'orders', count(*) FROM orders""",
+    "run_modes": """
+SELECT '' AS flag, 'incremental' AS mode, 0::BIGINT AS second_run_rows, count(*) AS held_rows FROM events
+UNION ALL SELECT '--full', 'full', count(*), count(*) FROM events
+UNION ALL SELECT '--hook', 'full', count(*), count(*) FROM events""",
     "type_mapping": f"""WITH {ORDERS}
 SELECT id, 'NO' || id AS order_no, user_id, CAST(channel_id AS DOUBLE) AS channel_id,
        CAST(payment_amount AS DOUBLE) AS payment_amount, {stamp('create_time')} AS create_time,
@@ -494,14 +511,16 @@ HAVING count(*) > 1 OR username IN (SELECT username FROM r_users)""",
 SELECT c_custkey AS id,
        CASE WHEN c_nationkey = 3 THEN '请填写所有必填字段'
             WHEN c_acctbal < 0 THEN '两次输入的密码不一致'
-            WHEN c_mktsegment = 'BUILDING' THEN '该用户名已被注册' END AS reject_reason
+            WHEN c_custkey % 3 <> 0 THEN '该用户名已被注册' END AS reject_reason
 FROM customer""",
     "apply_inserts": f"""WITH {NEWCOMERS}
 SELECT id, username, nickname, role FROM r_users
 UNION ALL
 SELECT id, username, nickname, 'user' FROM r_new
 WHERE username NOT IN (SELECT username FROM r_users)
-QUALIFY row_number() OVER (PARTITION BY username ORDER BY id) = 1""",
+QUALIFY row_number() OVER (PARTITION BY username ORDER BY id) = 1
+UNION ALL
+SELECT s_suppkey + 4000000000, NULL, 'nameless', 'user' FROM supplier WHERE s_suppkey % 10 = 0""",
     "apply_updates": f"""WITH {USERS}
 SELECT u.id, u.username,
        CASE WHEN u.nickname = 'MACHINERY'
@@ -530,9 +549,9 @@ FROM r_orders""",
 SELECT order_id, product_id, quantity, CAST(total_price AS DOUBLE) AS total_price,
        CAST(discount_price AS DOUBLE) AS discount_price,
        CAST(actual_price AS DOUBLE) AS actual_price
-FROM r_details
-WHERE order_id IS NOT NULL
-  AND order_id NOT IN (SELECT id FROM r_orders WHERE order_status <> 1)""",
+FROM (SELECT * REPLACE (CASE WHEN product_id % 7 = 0 THEN order_id + 1000000000 ELSE order_id END
+                        AS order_id) FROM r_details)
+WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT id FROM r_orders)""",
     "duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS copies
 FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "null_violations": f"""WITH {ORDERS}

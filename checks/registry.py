@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from tillmark.operators import (
     versions,
 )
 from tillmark.operators.joins import range_lookup
+from tillmark.plans.sync_job import arguments
 from tillmark.schemas import SCHEMAS, conform
 from tillmark.sources import sync, tables
 from tillmark.sources.adapters import MONEY, Retail
@@ -344,8 +347,8 @@ def linear_fit(r: Retail) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.round(F.avg("actual"), 6).alias("mean_actual"),
-            F.round(F.abs(F.sum(gap)) / size, 6).alias("gap"),
-            F.round(F.abs(F.sum(gap * F.col("lag_1"))) / F.sum(F.abs(F.col("actual") * F.col("lag_1"))), 6)
+            F.round(F.abs(F.sum(gap)) / (1 + size), 5).alias("gap"),
+            F.round(F.abs(F.sum(gap * F.col("lag_1"))) / (1 + F.sum(F.abs(F.col("actual") * F.col("lag_1")))), 5)
             .alias("lag_gap"),
         )
         .withColumns({c: F.when(inside, F.col(c)) for c in ("gap", "lag_gap")})
@@ -422,6 +425,75 @@ def incremental_merge(r: Retail) -> DataFrame:
     return sync.read_synced(r.spark, base, "orders")
 
 
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def watermark_columns(r: Retail) -> DataFrame:
+    """The column an incremental export of each table would follow, and its rows with a time."""
+    found = {"py_user": r.users(), "sales_order": r.orders(), "user_behavior": r.behavior(),
+             "sales_detail": r.details()}
+    picked = {t: tables.time_column(df.columns) for t, df in found.items()}
+    return _stacked([
+        df.agg(F.count(picked[t] or F.lit(None)).alias("timed_rows")).select(
+            F.lit(t).alias("table_name"), F.lit(picked[t]).cast("string").alias("column_name"),
+            "timed_rows",
+        )
+        for t, df in found.items()
+    ])
+
+
+@query
+def export_all(r: Retail) -> DataFrame:
+    base = session.new_dir(r.spark, "export")
+    names = ["region", "nation", "customer", "orders"]
+    done = {d.table: d for d in sync.export_all(r.spark, r.raw, base, names)}
+    return _stacked([
+        sync.read_synced(r.spark, base, t).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(t).alias("table_name"), F.lit(done[t].mode).alias("mode"), "row_count"
+        )
+        for t in names
+    ])
+
+
+@query
+def table_list(r: Retail) -> DataFrame:
+    """Tables of a catalogue database, without its views, with their rows."""
+    database = f"listed_{uuid.uuid4().hex}"
+    r.spark.sql(f"CREATE DATABASE {database}")
+    try:
+        for name in ("nation", "customer", "orders"):
+            path = f"{r.base}/{name}.parquet"
+            r.spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{path}'")
+        r.spark.sql(f"CREATE VIEW {database}.rich AS SELECT * FROM {database}.customer WHERE c_acctbal > 0")
+        listed = tables.list_tables(r.spark, database)
+    finally:
+        r.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return _stacked([
+        r.raw(t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+        for t in listed
+    ])
+
+
+@query
+def run_modes(r: Retail) -> DataFrame:
+    """Rows exported by a second run of the sync job in each of its modes."""
+    parts = []
+    for flag in ("", "--full", "--hook"):
+        args = arguments(["--url", "jdbc:none", "--base", "none", *flag.split()])
+        base = session.new_dir(r.spark, "modes")
+        incremental = not (args.full or args.hook)
+        for _ in range(2):
+            done = sync.sync_all(r.spark, lambda _: r.behavior(), base, ["user_behavior"], incremental)
+        held = sync.read_synced(r.spark, base, "user_behavior").agg(F.count(F.lit(1)).alias("held_rows"))
+        parts.append(held.select(
+            F.lit(flag).alias("flag"), F.lit(done[0].mode).alias("mode"),
+            F.lit(done[0].rows).cast("long").alias("second_run_rows"), "held_rows",
+        ))
+    return _stacked(parts)
+
+
 @query
 def sync_all(r: Retail) -> DataFrame:
     base = session.new_dir(r.spark, "sync")
@@ -456,7 +528,7 @@ def truncate_load(r: Retail) -> DataFrame:
     path = session.new_dir(r.spark, "truncate")
     events = r.raw("events")
     tables.append_rows(events, path)
-    tables.replace_rows(events.where("event_type = 'purchase'"), path)
+    tables.replace_rows(events, path)
     return r.spark.read.parquet(path)
 
 
@@ -555,21 +627,26 @@ def name_conflicts(r: Retail) -> DataFrame:
 @query
 def registration_check(r: Retail) -> DataFrame:
     customer = r.raw("customer")
-    existing = r.users().where("nickname = 'BUILDING'")
+    free = F.concat(F.lit("New"), "c_name")
     requests = customer.select(
         F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("username"),
+        F.when(F.col("c_custkey") % 3 == 0, free).otherwise(F.upper("c_name")).alias("username"),
         F.when(F.col("c_nationkey") == 3, "").otherwise(F.col("c_name")).alias("password"),
         F.when(F.col("c_acctbal") < 0, "other").otherwise(F.col("c_name")).alias(
             "confirm_password"
         ),
     )
-    return directory.registration_check(existing, requests).select("id", "reject_reason")
+    checked = directory.registration_check(r.users(), requests, ignore_case=True)
+    return checked.select("id", "reject_reason")
 
 
 @query
 def apply_inserts(r: Retail) -> DataFrame:
-    return directory.apply_inserts(r.users(), _newcomers(r))
+    nameless = r.raw("supplier").where("s_suppkey % 10 = 0").select(
+        (F.col("s_suppkey") + 4_000_000_000).alias("id"),
+        F.lit(None).cast("string").alias("username"), F.lit("nameless").alias("nickname"),
+    )
+    return directory.apply_inserts(r.users(), _newcomers(r).unionByName(nameless))
 
 
 @query
@@ -577,9 +654,10 @@ def apply_updates(r: Retail) -> DataFrame:
     changes = r.raw("customer").where("c_mktsegment = 'MACHINERY'").select(
         F.col("c_custkey").alias("id"),
         F.when(F.col("c_acctbal") >= 0, F.lit("X")).alias("nickname"),
-        F.lit("secret").alias("password"),
+        F.lit("secret").alias("password"), F.lit(2).alias("at"),
     )
-    return directory.apply_updates(r.users(), changes)
+    earlier = changes.withColumns({"nickname": F.lit("overtaken"), "at": F.lit(1)})
+    return directory.apply_updates(r.users(), changes.unionByName(earlier), "at")
 
 
 @query
@@ -626,7 +704,10 @@ def cascade_set_null(r: Retail) -> DataFrame:
 
 @query
 def orphans(r: Retail) -> DataFrame:
-    return quality.orphans(r.details(), r.orders().where("order_status <> 1"), "order_id")
+    """Lines of every seventh product point at orders that do not exist."""
+    lost = F.when(F.col("product_id") % 7 == 0, F.col("order_id") + 1_000_000_000)
+    details = r.details().withColumn("order_id", F.coalesce(lost, "order_id"))
+    return quality.orphans(details, r.orders(), "order_id")
 
 
 @query
