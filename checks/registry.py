@@ -347,8 +347,8 @@ def linear_fit(r: Retail) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.round(F.avg("actual"), 6).alias("mean_actual"),
-            F.round(F.abs(F.sum(gap)) / (1 + size), 5).alias("gap"),
-            F.round(F.abs(F.sum(gap * F.col("lag_1"))) / (1 + F.sum(F.abs(F.col("actual") * F.col("lag_1")))), 5)
+            F.round(F.abs(F.sum(gap)) / (1 + size), 6).alias("gap"),
+            F.round(F.abs(F.sum(gap * F.col("lag_1"))) / (1 + F.sqrt(F.sum(F.col("actual") ** 2) * F.sum(F.col("lag_1").cast("double") ** 2))), 6)
             .alias("lag_gap"),
         )
         .withColumns({c: F.when(inside, F.col(c)) for c in ("gap", "lag_gap")})
