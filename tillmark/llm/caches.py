@@ -33,11 +33,16 @@ class Memo(dict):
         return value
 
 
+def forget() -> None:
+    """Drops what this worker keeps; tasks of other operators call it before they fill memory."""
+    vars(sys).pop("_kept_by_worker", None)
+
+
 def kept(key: tuple, make):
     """What ``make()`` gave for the key, for as long as this Python worker lives.
 
     Workers serve many tasks, and each task receives its functions anew, so the object is held
-    by the interpreter and not by a module. Only the latest is held.
+    by the interpreter and not by a module. Only the latest is held, until ``forget``.
     """
     held = vars(sys).setdefault("_kept_by_worker", {})
     if key not in held:

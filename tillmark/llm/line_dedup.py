@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.bitmaps import bitmap, held
+from tillmark.llm.caches import forget
 from tillmark.session import new_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -92,6 +93,7 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
 
     def hashes(batches):
+        forget()
         for batch in batches:
             found = [_keys(b) for t in batch.column(0).to_pylist() if t for _, _, b in passages(t)]
             a, b = zip(*found) if found else ((), ())
@@ -103,6 +105,7 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
 
     def bodies(batches):
+        forget()
         words = sent.value
         for batch in batches:
             at, first, lines, body, h = [], [], [], [], []

@@ -62,7 +62,7 @@ def _byte_letters() -> dict[str, int]:
 class PrefixCounter:
     """Prefix counts under the vocabulary in the text of a ``tokenizers`` JSON file."""
 
-    def __init__(self, vocabulary: str, memo: int = 400_000):
+    def __init__(self, vocabulary: str, memo: int = 200_000):
         spec = json.loads(vocabulary)
         if spec["model"]["type"] != "BPE" or spec["pre_tokenizer"].get("type") != "ByteLevel":
             raise ValueError("a byte-level BPE vocabulary is needed")

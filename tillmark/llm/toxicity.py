@@ -33,6 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.llm.caches import forget
 from tillmark.llm.words import mix, slices, word_hashes, word_spans
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -326,6 +327,7 @@ def scorer(spark, network: Network):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget()
         copy = Network.__new__(Network)
         vars(copy).update(sent.value)
         for texts in batches:
