@@ -461,7 +461,8 @@ def export_all(r: Retail) -> DataFrame:
 def table_list(r: Retail) -> DataFrame:
     """Tables of a catalogue database, without its views, with their rows."""
     database = f"listed_{uuid.uuid4().hex}"
-    r.spark.sql(f"CREATE DATABASE {database}")
+    place = session.new_dir(r.spark, "listed")
+    r.spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
     try:
         for name in ("nation", "customer", "orders"):
             path = f"{r.base}/{name}.parquet"
