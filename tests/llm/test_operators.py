@@ -185,6 +185,59 @@ def test_long_passage_is_removed_once(spark):
     assert all(got[i] == f"own {i}\nend {i}" for i in range(1, 5))
 
 
+def repeated_lines(texts):
+    """Lines of each text that lie in a run of 50 words or more found in an earlier text, by all runs of lines."""
+    seen, out = set(), []
+    for t in texts:
+        lines, gone, own = t.split("\n"), set(), []
+        for i in range(len(lines)):
+            n = 0
+            for j in range(i, len(lines)):
+                n += len(lines[j].split())
+                if n >= 50:
+                    run = "\n".join(lines[i : j + 1])
+                    own.append(run)
+                    if run in seen:
+                        gone |= set(range(i, j + 1))
+        seen.update(own)
+        out.append(gone)
+    return out
+
+
+def test_planted_passages_go_whole(spark):
+    r = random.Random(8)
+    texts, planted = [], []
+    for n, per in [(4, 15), (6, 12), (10, 12), (20, 12), (2, 25), (3, 40), (50, 1)] * 4:
+        passage = ["" if per < 40 and i == 2 else words(r, per) for i in range(n + (per < 40 and n > 2))]
+        for _ in range(3):
+            before = [words(r, r.randrange(3, 30)) for _ in range(r.randrange(4))]
+            planted.append((len(texts), set(range(len(before), len(before) + len(passage)))))
+            texts.append("\n".join(before + passage + [words(r, r.randrange(3, 30)) for _ in range(r.randrange(4))]))
+    want = repeated_lines(texts)
+    assert all(lines <= want[i] for i, lines in planted if i % 3)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in line_dedup.remove_repeats(df).collect()}
+    for i, t in enumerate(texts):
+        runs = [(x["first"], x["lines"]) for x in got[i]["_line_removed"] or []]
+        gone = [j for f, n in runs for j in range(f, f + n)]
+        assert len(gone) == len(set(gone)) and set(gone) >= want[i]
+        assert got[i]["text"] == "\n".join(x for j, x in enumerate(t.split("\n")) if j not in set(gone))
+
+
+def test_lines_said_again_and_again_stay_once(spark):
+    df = spark.createDataFrame([(1, "a b\n" * 300), (2, "a b\n" * 40), (3, "x\n" + "a b\n" * 77 + "y")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(df).collect()}
+    assert 25 <= got[1].count("a b") <= 32 and got[2].strip() == "" and got[3].split() == ["x", "y"]
+
+
+def test_equal_digests_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "digest", lambda line: bytes([len(line) % 7]) * 16)
+    texts = [t for _, t, *_ in document_rows(5, 12) if t]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(df).collect()}
+    assert Counter(got.items()) == expected_lines(list(enumerate(texts)))
+
+
 # -- 2: segmentation -------------------------------------------------------------------------
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")

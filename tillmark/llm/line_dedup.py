@@ -1,25 +1,35 @@
-"""Repeated passages of several lines, found by content-defined chunks of lines.
+"""Repeated passages of several lines, found by their bytes wherever they stand.
 
-A text is cut into chunks of lines. A rolling hash over the hashes of the last ``SPAN`` lines
-sets the boundaries, so they depend on what stands there and not on how far down it stands, and
-fall into place again after lines put in or taken out. Lines of ``LONG`` words or more are chunks
-of their own, as a passage without line ends; a chunk ends after ``MOST`` lines at the latest.
+Candidates are
 
-Chunks of two lines or more (or one such long line) whose bytes occur elsewhere are removed, all
-but the first: the one with the smallest document id, then text digest, then line. Hashes only
-select candidates; chunks count as repeated when Spark has grouped them by their bytes.
+* every run of lines that just reaches ``LONG`` words: the shortest one from each line on and the
+  shortest one up to each line. They overlap, so together the repeated ones cover each run of whole
+  lines of ``LONG`` words or more that occurs elsewhere, from its first line to its last, and a
+  copy of a text goes in whole;
+* chunks of two lines or more with fewer words, cut where a rolling hash over the hashes of the
+  last ``SPAN`` lines says so; they depend on what stands there and not on how far down it stands.
+  Lines of ``LONG`` words end a chunk, and so do ``MOST`` lines.
 
-Passes over the texts: one shuffles two hashes a chunk and finds the repeated ones; a bitmap of
-these (1 MB at any size) lets the second pass send the bytes of few other chunks; the removals of
-each document are then joined to the documents.
+Candidates whose bytes occur elsewhere are removed, all but the first: the one with the smallest
+document id, then text digest, then line. One that overlaps an equal one of its own text (lines
+said again and again) counts by its place in that repetition, so the first occurrence stays.
+
+Candidates are compared by the digests of their lines, line by line, and every line of them is
+grouped by its bytes: where two lines share a digest, the bytes themselves are compared instead.
+
+Passes over the texts: one shuffles two hashes a candidate and finds the repeated ones; a bitmap
+of these (8 MB at any size) lets the second pass write few other candidates; the removals of each
+document are then joined to the documents.
 
 Defined results:
 
-* a NULL text stays NULL, an empty one empty; chunks of blank lines alone are never removed;
+* a NULL text stays NULL, an empty one empty; lines without words are removed within a passage and
+  up to ``MOST`` of them at its ends, never alone;
 * rows with equal id and text count as one occurrence and are all treated alike;
 * a NULL id comes before any other; repeats within one document are removed as well;
 * an empty table gives an empty result; other columns are kept; working columns carry the
-  prefix ``_line_``; a text of any length is cut whole.
+  prefix ``_line_``; a text of any length is cut whole;
+* only whole lines are removed: a passage that begins or ends within a line keeps that line.
 """
 
 from __future__ import annotations
@@ -27,6 +37,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -44,16 +55,25 @@ SPAN = 2  # lines under the rolling hash
 EVERY = 3  # one boundary in so many lines, on average
 LONG = 50  # words that make one line a passage
 MOST = 32  # lines of a chunk
+BITS = 26  # of the bitmap of repeated candidates
 
 _WORD64 = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _OUT = pow(_BASE, SPAN, 1 << 64)
 
 
-def chunks(lines: list[str]) -> list[tuple[int, int]]:
+def digest(line: bytes) -> bytes:
+    return blake2b(line, digest_size=16).digest()
+
+
+def coded(lines: list[str]) -> list[bytes]:
+    return [x.encode("utf-8", "surrogatepass") for x in lines]
+
+
+def chunks(lines: list[str], digests: list[bytes] | None = None) -> list[tuple[int, int]]:
     """First line and number of lines of every chunk."""
     out, first, rolling = [], 0, 0
-    hashes = [int.from_bytes(blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for x in lines]
+    hashes = [int.from_bytes(d[:8], "little") for d in digests or map(digest, coded(lines))]
     for i, h in enumerate(hashes):
         rolling = rolling * _BASE + h & _WORD64
         if i >= SPAN:
@@ -71,75 +91,152 @@ def chunks(lines: list[str]) -> list[tuple[int, int]]:
     return out
 
 
-def passages(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """First line, number of lines and bytes of the chunks that may be removed."""
+def candidates(lines: list[str], digests: list[bytes]) -> list[tuple[int, int]]:
+    """First line and number of lines of all that may be removed, in this order."""
+    counts = [len(x.split()) for x in lines]
+    words = list(accumulate(counts, initial=0))
+    found = {(f, n) for f, n in chunks(lines, digests) if n > 1 and words[f + n] > words[f]}
+    if words[-1] >= LONG:
+        at, n = np.array(words), len(lines)
+        upto = np.searchsorted(at, at[:-1] + LONG).tolist()
+        since = (np.searchsorted(at, at[1:] - LONG, "right") - 1).tolist()
+        blank = 0  # lines without words just before
+        for i in range(n):
+            blank = 0 if counts[i] else blank + 1
+            if blank <= MOST and since[i] >= 0:
+                found.add((since[i], i + 1 - since[i]))
+        for i in range(n - 1, -1, -1):
+            blank = 0 if counts[i] else blank + 1
+            if blank <= MOST and upto[i] <= n:
+                found.add((i, upto[i] - i))
+    return sorted(found)
+
+
+def _bodies(text: str, exact: bool) -> tuple[list[bytes], list[bytes], list[tuple[int, int, bytes]]]:
+    """The lines as bytes, their digests, and first line, number of lines and body of each candidate.
+
+    A body holds the bytes of the lines, or their digests. The k-th line of an overlapping
+    repetition is marked: 0xFF is no byte of a text, and no mark is as long as a digest.
+    """
     lines = text.split("\n")
-    for first, n in chunks(lines):
-        body = "\n".join(lines[first : first + n])
-        if (n > 1 and not body.isspace() and body) or (n == 1 and len(body.split()) >= LONG):
-            yield first, n, body.encode("utf-8", "surrogatepass")
+    raw = coded(lines)
+    digests = [digest(x) for x in raw]
+    joined, size, out = b"".join(digests), len(digests[0]), []
+    starts: dict[bytes, int] = {}
+    for f, n in candidates(lines, digests):
+        body = b"\n".join(raw[f : f + n]) if exact else joined[size * f : size * (f + n)]
+        start = starts.get(body)
+        if start is None or f >= start + n:
+            starts[body] = f
+        else:
+            body += b"\xff%d" % (f - start)
+        out.append((f, n, body))
+    return raw, digests, out
 
 
-def _keys(body: bytes) -> tuple[int, int]:
-    d = blake2b(body, digest_size=16).digest()
-    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+def passages(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """First line, number of lines and bytes of the passages that may be removed."""
+    yield from _bodies(text, True)[2]
 
 
-def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """Every chunk to be removed. ``rows`` holds id, text and the key of the row, ``row_key``.
+def _keys(bodies: list[bytes]) -> np.ndarray:
+    """Two hashes of each body: (bodies, 2)."""
+    raw = b"".join(blake2b(b, digest_size=16).digest() for b in bodies)
+    return np.frombuffer(raw, np.int64).reshape(-1, 2)
 
-    Columns: row_key, first line, number of lines, and the id of the document that keeps it.
-    """
+
+def _candidate_rows(rows: DataFrame, exact: bool) -> DataFrame:
+    """The candidates whose hash may be repeated, and each of their lines (``line`` is not NULL)."""
     spark = rows.sparkSession
 
     def hashes(batches):
         forget()
         for batch in batches:
-            found = [_keys(b) for t in batch.column(0).to_pylist() if t for _, _, b in passages(t)]
-            a, b = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["h", "g"])
+            keys = _keys([b for t in batch.column(0).to_pylist() if t for _, _, b in _bodies(t, exact)[2]])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["h", "g"])
 
     counted = rows.select("text").mapInArrow(hashes, "h long, g long").groupBy("h", "g").count()
-    again = bitmap(counted.where("count > 1"), "h")
-    sent = spark.sparkContext.broadcast(again)
+    sent = spark.sparkContext.broadcast(bitmap(counted.where("count > 1"), "h", BITS))
     kind = rows.schema["id"].dataType.simpleString()
 
     def bodies(batches):
         forget()
         words = sent.value
         for batch in batches:
-            at, first, lines, body, h = [], [], [], [], []
+            at, first, lines, body, known = [], [], [], [], {}
             for i, text in enumerate(batch.column(1).to_pylist()):
-                for f, n, b in passages(text or ""):
-                    at.append(i), first.append(f), lines.append(n), body.append(b)
-                    h.append(_keys(b)[0])
-            keep = np.flatnonzero(held(words, np.array(h, np.int64)))
-            out = pa.RecordBatch.from_arrays(
+                if not text:
+                    continue
+                raw, digests, found = _bodies(text, exact)
+                keep = held(words, _keys([b for _, _, b in found])[:, 0]) if found else ()
+                done = 0
+                for (f, n, b), again in zip(found, keep):
+                    if again:
+                        at.append(i), first.append(f), lines.append(n), body.append(b)
+                        for j in range(max(f, done), 0 if exact else f + n):
+                            known[digests[j], raw[j]] = None
+                        done = max(done, f + n)
+            n = len(at)
+            at, first, lines = at + [None] * len(known), first + [None] * len(known), lines + [None] * len(known)
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(at, pa.int64())), batch.column(2).take(pa.array(at, pa.int64())),
+                    batch.column(0).take(at), batch.column(2).take(at),
                     pa.array(first, pa.int32()), pa.array(lines, pa.int32()),
-                    pa.array(h, pa.int64()), pa.array(body, pa.binary()),
+                    pa.array(body + [d for d, _ in known], pa.binary()),
+                    pa.array([None] * n + [x for _, x in known], pa.binary()),
                 ],
-                names=["id", "row_key", "first", "lines", "h", "body"],
+                names=["id", "row_key", "first", "lines", "body", "line"],
             )
-            yield out.take(pa.array(keep))
 
-    chunk = f"id {kind}, row_key string, first int, lines int, h long, body binary"
-    seen = rows.select("id", "text", "row_key").mapInArrow(bodies, chunk)
+    path = new_dir(spark, "line-candidates")
+    schema = f"id {kind}, row_key string, first int, lines int, body binary, line binary"
+    rows.select("id", "text", "row_key").mapInArrow(bodies, schema).write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def repeated_chunks(rows: DataFrame) -> DataFrame:
+    """Every passage to be removed; they may overlap. ``rows`` holds id, text and the key of the row, ``row_key``.
+
+    Columns: row_key, first line, number of lines, and the id of the document that keeps it.
+    """
+    found = _candidate_rows(rows, exact=False)
+    by_bytes = found.where("line IS NOT NULL").select("body", "line").distinct()
+    if by_bytes.groupBy("body").count().where("count > 1").limit(1).count():
+        found = _candidate_rows(rows, exact=True)
+    seen = found.where("line IS NULL").drop("line")
     place = F.struct("id", "row_key", "first")
-    firsts = (
-        seen.groupBy("h", "body").agg(F.min(place).alias("stays"), F.count("*").alias("n")).where("n > 1")
-    )
+    firsts = seen.groupBy("body").agg(F.min(place).alias("stays"), F.count("*").alias("n")).where("n > 1")
     return (
-        seen.join(firsts.select("h", "body", "stays"), ["h", "body"])
+        seen.join(firsts.select("body", "stays"), "body")
         .where((F.col("row_key") != F.col("stays.row_key")) | (F.col("first") != F.col("stays.first")))
         .select("row_key", "first", "lines", F.col("stays.id").alias("kept_by"))
-        .distinct()
     )
 
 
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Overlapping removals of a document as runs of lines that do not, one for each keeper in turn."""
+    for batch in batches:
+        out = []
+        for found in batch.column(1).to_pylist():
+            runs, end = [], 0
+            for r in sorted(found, key=lambda r: (r["first"], -r["lines"])):
+                first, after = max(r["first"], end), r["first"] + r["lines"]
+                if after <= end:
+                    continue
+                if runs and first == end and r["kept_by"] == runs[-1]["kept_by"]:
+                    runs[-1]["lines"] += after - first
+                else:
+                    runs.append({"first": first, "lines": after - first, "kept_by": r["kept_by"]})
+                end = after
+            out.append(runs)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(out, batch.column(1).type)], names=["_line_key", "_line_removed"]
+        )
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with repeated chunks taken out of their texts.
+    """The documents with repeated passages taken out of their texts.
 
     Added columns: ``_line_count`` (lines before) and ``_line_removed``, an array of first line,
     number of lines and the id of the document that keeps them.
@@ -148,12 +245,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key = F.md5(F.concat_ws("|", F.coalesce(ident.cast("string"), F.lit("")), ident.isNull().cast("string"), text))
     rows = docs.select(ident.alias("id"), text.alias("text"), key.alias("row_key"))
     found = new_dir(docs.sparkSession, "line-repeats")
-    repeated_chunks(rows).write.parquet(found)
-    removed = (
-        docs.sparkSession.read.parquet(found)
+    repeats = (
+        repeated_chunks(rows)
         .groupBy(F.col("row_key").alias("_line_key"))
-        .agg(F.array_sort(F.collect_list(F.struct("first", "lines", "kept_by"))).alias("_line_removed"))
+        .agg(F.collect_list(F.struct("first", "lines", "kept_by")).alias("_line_removed"))
     )
+    repeats.mapInArrow(_apart, repeats.schema).write.parquet(found)
+    removed = docs.sparkSession.read.parquet(found)
     lines = F.split(text, "\n", -1)
 
     def stays(_, i):
