@@ -238,6 +238,15 @@ def test_equal_digests_are_told_apart(spark, monkeypatch):
     assert Counter(got.items()) == expected_lines(list(enumerate(texts)))
 
 
+def test_later_copies_vanish(spark):
+    r = random.Random(9)
+    texts = ["\n".join(words(r, r.randrange(1, 30)) for _ in range(r.randrange(1, 12))) for _ in range(40)]
+    texts += ["short", "two\n\nlines\n", "\n\n" + words(r, 70) + "\n \n" + words(r, 80) + "\n\n"]
+    df = spark.createDataFrame(list(enumerate(texts * 3)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.remove_repeats(df).collect()}
+    assert all(got[i] == (t if i < len(texts) else "") for i, t in enumerate(texts * 3))
+
+
 # -- 2: segmentation -------------------------------------------------------------------------
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")

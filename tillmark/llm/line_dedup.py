@@ -8,7 +8,8 @@ Candidates are
   copy of a text goes in whole;
 * chunks of two lines or more with fewer words, cut where a rolling hash over the hashes of the
   last ``SPAN`` lines says so; they depend on what stands there and not on how far down it stands.
-  Lines of ``LONG`` words end a chunk, and so do ``MOST`` lines.
+  Lines of ``LONG`` words end a chunk, and so do ``MOST`` lines;
+* a whole text of fewer words.
 
 Candidates whose bytes occur elsewhere are removed, all but the first: the one with the smallest
 document id, then text digest, then line. One that overlaps an equal one of its own text (lines
@@ -109,6 +110,8 @@ def candidates(lines: list[str], digests: list[bytes]) -> list[tuple[int, int]]:
             blank = 0 if counts[i] else blank + 1
             if blank <= MOST and upto[i] <= n:
                 found.add((i, upto[i] - i))
+    elif words[-1]:
+        found.add((0, len(lines)))
     return sorted(found)
 
 
