@@ -646,6 +646,20 @@ def test_neighbours_odd_rows(spark):
     assert neighbours.nearest(none, F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("copies, sample", [(lambda i: 2, 8192), (lambda i: 1 + 24 * (i == 7), 8192), (lambda i: 1 + 24 * (i < 3), 100)])
+def test_neighbours_of_repeated_rows(spark, copies, sample):
+    r = random.Random(11)
+    rows = [(i, [float(r.randrange(-9, 10)) for _ in range(6)]) for i in range(60)]
+    rows[7] = (7, [9.0] * 6)
+    rows = [x for x in rows for _ in range(copies(x[0]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    found = neighbours.nearest(df, F.col("id") % 6 == 0, k=20, sample=sample)
+    for x in found.orderBy("query_id", "rank").collect():
+        got[x["query_id"]].append((x["id"], x["score"]))
+    assert dict(got) == exact_nearest(rows, lambda q: q % 6 == 0, 20)
+
+
 @pytest.mark.parametrize("spread", [0.0, 3.0])
 def test_neighbours_recall(spark, spread, monkeypatch):
     """With and without clusters, lengths differing; small blocks; a sample far below the table."""
