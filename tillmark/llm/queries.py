@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark import session
-from tillmark.llm import line_dedup, mixing, neighbours, ngram_join, quality, toxicity, warc
+from tillmark.llm import (
+    line_dedup,
+    line_rules,
+    merkle,
+    mixing,
+    neighbours,
+    ngram_join,
+    prefix_trie,
+    quality,
+    toxicity,
+    warc,
+)
 from tillmark.llm.exact_dedup import stream_dedup
 from tillmark.llm.pieces import encode_nbest
 from tillmark.llm.token_counts import token_prefixes
@@ -281,3 +292,197 @@ def op7_weak_label_quality(spark, sf_dir):
 def op8_jaccard_join(spark, sf_dir):
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+def _crc32(digits: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a decimal number: eight shifts for each character."""
+    return f"""xor(4294967295, list_reduce(
+  list_concat([4294967295::BIGINT], flatten(list_transform(string_split({digits}, ''),
+    lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x)
+                      ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END))"""
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TAMPER_EVERY = 5
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    found = merkle.manifest(
+        spark, table(spark, sf_dir, "documents"),
+        altered={"text": F.translate("text", UPPER, LOWER)},
+        where=F.crc32(F.col("doc_id").cast("string")) % TAMPER_EVERY == 0,
+    )
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
+# Levels of a tree and levels of the roots in the SQL: enough for 16 to the power of each.
+MERKLE_LEVELS = 7
+
+
+def _merkle_levels(name: str, leaves: str) -> str:
+    """Levels name_0, name_1, ... of all trees; a tree ends where one node is left."""
+    steps = [f"{name}_0 AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {leaves})"]
+    for k in range(MERKLE_LEVELS):
+        steps.append(f"""
+{name}_{k + 1} AS (
+  SELECT tree, pos // 16 AS pos, sha256(string_agg(digest, '' ORDER BY pos)) AS digest, any_value((n + 15) // 16) AS n
+  FROM {name}_{k} WHERE n > 1 GROUP BY tree, pos // 16)""")
+    steps.append(f"\n{name}_top AS (" + " UNION ALL ".join(
+        f"SELECT tree, digest FROM {name}_{k} WHERE n = 1" for k in range(MERKLE_LEVELS + 1)) + ")")
+    # Siblings of the node above each leaf, level by level.
+    sides = []
+    for k in range(MERKLE_LEVELS):
+        at = f"l.pos // {16**k}"
+        sides.append(f"""
+{name}_side_{k} AS (
+  SELECT l.tree, l.pos, string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < {at}) AS before,
+         string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > {at}) AS after
+  FROM {name}_0 l JOIN {name}_{k} s ON s.tree = l.tree AND s.n > 1 AND s.pos // 16 = l.pos // {16 ** (k + 1)}
+  GROUP BY l.tree, l.pos)""")
+    joins = " ".join(f"LEFT JOIN {name}_side_{k} s{k} ON s{k}.tree = l.tree AND s{k}.pos = l.pos" for k in range(MERKLE_LEVELS))
+    pairs = ", ".join(
+        f"CASE WHEN s{k}.pos IS NOT NULL THEN [{{'a': coalesce(s{k}.before, ''), 'b': coalesce(s{k}.after, '')}}] ELSE [] END"
+        for k in range(MERKLE_LEVELS))
+    sides.append(f"\n{name}_path AS (SELECT l.tree, l.pos, flatten([{pairs}]) AS path FROM {name}_0 l {joins})")
+    return ",".join(steps + sides)
+
+
+def _merkle_leaf(text: str) -> str:
+    parts = [
+        f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')"
+        for v in ("doc_id", "source", "lang", "n_chars", text)
+    ]
+    return f"sha256({' || '.join(parts)})"
+
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce('=' || source, '-') AS tree, {_merkle_leaf("text")} AS digest,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % {TAMPER_EVERY} = 0
+              THEN {_merkle_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS altered
+  FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos FROM docs),
+{_merkle_levels("t", "leaves")},
+subroots AS (
+  SELECT '' AS tree, tree AS name, digest, row_number() OVER (ORDER BY tree) - 1 AS pos FROM t_top),
+{_merkle_levels("c", "subroots")},
+proofs AS (
+  SELECT l.doc_id, l.digest AS leaf, l.altered, s.digest AS subroot, c_top.digest AS root,
+         list_concat(p.path, u.path) AS path
+  FROM leaves l JOIN t_path p USING (tree, pos) JOIN subroots s ON s.name = l.tree
+  JOIN c_path u ON u.pos = s.pos, c_top),
+folds AS (
+  SELECT *, list_reduce(list_concat([{{'a': coalesce(altered, leaf), 'b': ''}}], path),
+                        lambda d, p: {{'a': sha256(p.a || d.a || p.b), 'b': ''}}).a AS folded_root
+  FROM proofs)
+SELECT doc_id, leaf, subroot, root,
+       sha256(list_aggregate(list_concat([''], list_transform(path, lambda p: p.a || p.b)), 'string_agg', '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folds
+"""
+
+
+@query
+def op12_line_frequency(spark, sf_dir):
+    return line_rules.line_frequency(spark, table(spark, sf_dir, "documents"))
+
+
+_WORDS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
+
+ORACLE["op12_line_frequency"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce('=' || source, '-') AS host, coalesce(text, '') AS body,
+         {_WORDS.format("text")} AS words
+  FROM documents),
+windows AS (
+  SELECT rn, unnest(starts) AS i, unnest(list_transform(starts, lambda x:
+           array_to_string(words[x : x + {line_rules.WINDOW - 1}], ' '))) AS w
+  FROM (SELECT rn, words, range(1, len(words) - {line_rules.WINDOW - 2}) AS starts FROM docs)),
+twice AS (
+  SELECT rn, i FROM (SELECT rn, i, count(*) OVER (PARTITION BY rn, w) AS n FROM windows) WHERE n > 1),
+repeats AS (
+  SELECT rn, sum(least({line_rules.WINDOW}, gap))::BIGINT AS n_repeat_words
+  FROM (SELECT rn, coalesce(lead(i) OVER (PARTITION BY rn ORDER BY i) - i, {line_rules.WINDOW}) AS gap FROM twice)
+  GROUP BY rn),
+every_line AS (SELECT rn, doc_id, host, unnest(string_split(body, chr(10))) AS line FROM docs),
+lines AS (
+  SELECT *, lower(trim(regexp_replace(line, '[\\x20\\x09-\\x0D]+', ' ', 'g'))) AS plain, len({_WORDS.format("line")}) AS n
+  FROM every_line WHERE len({_WORDS.format("line")}) > 0),
+dups AS (SELECT rn, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY rn),
+hosts AS (SELECT host, count(DISTINCT coalesce(doc_id::VARCHAR, 'row ' || rn)) AS host_docs FROM docs GROUP BY host),
+common AS (
+  SELECT host, plain
+  FROM (SELECT host, plain, count(DISTINCT coalesce(doc_id::VARCHAR, 'row ' || rn)) AS n FROM lines GROUP BY ALL)
+  JOIN hosts USING (host)
+  WHERE n >= {line_rules.COMMON_DOCUMENTS} AND n * 100 > host_docs * {line_rules.COMMON_PERCENT}),
+gone AS (SELECT rn, sum(n) AS gone FROM lines JOIN common USING (host, plain) GROUP BY rn),
+counts AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(list_aggregate(list_concat([''], words), 'string_agg', ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(body, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(gone, 0)::BIGINT AS n_common_words
+  FROM docs LEFT JOIN repeats USING (rn) LEFT JOIN dups USING (rn) LEFT JOIN gone USING (rn)),
+judged AS (
+  SELECT *, n_words < {line_rules.LEAST_WORDS}
+            OR 100 * n_repeat_words > {line_rules.REPEATED_PERCENT} * n_words AS base_failed
+  FROM counts)
+SELECT *, NOT base_failed AND 100 * (n_words - n_common_words) >= {line_rules.LEFT_PERCENT} * n_words AS kept
+FROM judged
+"""
+
+
+TRIE_EVERY = 5
+TRIE_HEAD = 9
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    own = prefix_trie.conversations(table(spark, sf_dir, "conversations"))
+    members = prefix_trie.rebuilt(
+        own, F.col("conv_id") - F.col("conv_id") % TRIE_EVERY,
+        F.crc32(F.col("conv_id").cast("string")) % TRIE_HEAD, TRIE_HEAD - 1,
+    )
+    return prefix_trie.prefix_trie(spark, members)
+
+
+ORACLE["op13_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS said, turn,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest) AS ds,
+         list(strlen(said.t) ORDER BY turn NULLS FIRST, digest) AS bs
+  FROM turns GROUP BY conv_id),
+heads AS (
+  SELECT *, {_crc32("conv_id::VARCHAR")} % {TRIE_HEAD} AS h, conv_id - conv_id % {TRIE_EVERY} AS base FROM own),
+convs AS (
+  SELECT x.conv_id, list_concat(coalesce(b.ds, [])[1 : x.h], x.ds[x.h + 1 :]) AS ds,
+         list_concat(coalesce(b.bs, [])[1 : x.h], x.bs[x.h + 1 :]) AS bs
+  FROM heads x LEFT JOIN own b ON b.conv_id = x.base),
+prefixes AS (
+  SELECT conv_id, d, array_to_string(ds[1 : d], '') AS k, CASE WHEN d > 0 THEN bs[d] ELSE 0 END AS b, len(ds) AS size
+  FROM (SELECT *, unnest(range(0, len(ds) + 1)) AS d FROM convs)),
+nodes AS (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(b) AS b,
+         string_agg(CASE WHEN d = size THEN conv_id::VARCHAR END, ',' ORDER BY conv_id) AS ends
+  FROM prefixes GROUP BY d, k),
+links AS (
+  SELECT c.d, c.k, p.k AS parent, p.conv_id AS parent_conv_id
+  FROM nodes c JOIN nodes p ON p.d = c.d - 1 AND p.k = c.k[1 : 64 * (c.d - 1)]),
+kids AS (SELECT parent AS k, count(*) AS n_children FROM links GROUP BY parent),
+sums AS (
+  SELECT up.d, up.k, sum((x.n_convs - 1) * x.b) AS saved, count(*) FILTER (kids.k IS NULL) AS n_leaves
+  FROM nodes x LEFT JOIN kids ON kids.k = x.k
+  JOIN prefixes up ON up.conv_id = x.conv_id AND up.d <= x.d
+  GROUP BY up.d, up.k)
+SELECT n.conv_id, n.d::BIGINT AS depth, links.parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM nodes n JOIN sums USING (d, k) LEFT JOIN links USING (d, k) LEFT JOIN kids USING (k)
+"""
