@@ -450,7 +450,8 @@ FROM r_growth""",
 FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01 00:00:00'""",
     "high_water_mark": f"SELECT {stamp('max(ts)')} AS high_water_mark FROM events",
     "export_roundtrip": "SELECT * FROM customer",
-    "incremental_merge": f"SELECT * REPLACE ({stamp('o_orderdate')} AS o_orderdate) FROM orders",
+    "incremental_merge": f"""SELECT * REPLACE ({stamp('o_orderdate')} AS o_orderdate),
+       CASE WHEN o_orderdate > DATE '2000-12-31' THEN 1 ELSE 0 END AS o_added FROM orders""",
     "sync_all": """
 SELECT 'py_user' AS table_name, count(*) AS row_count, CAST(NULL AS VARCHAR) AS mark
 FROM customer
@@ -485,6 +486,17 @@ FROM r_orders""",
     "latest_version": f"""SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, value, props
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "compacted_merge": f"""SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, value, props
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "sketched_customers": f"""WITH {ORDERS},
+r_months AS (SELECT *, strftime(create_time, '%Y-%m') AS month FROM r_orders WHERE create_time IS NOT NULL)
+SELECT 'month' AS period, channel_id::DOUBLE AS channel_id, month, count(DISTINCT user_id) AS customer_count, true AS within_bound
+FROM r_months GROUP BY 2, 3
+UNION ALL
+SELECT 'all', channel_id::DOUBLE, NULL, count(DISTINCT user_id), true FROM r_months GROUP BY 2
+UNION ALL
+SELECT 'all', NULL, NULL, count(DISTINCT user_id), true FROM r_months""",
     "landing_stream": f"""SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, value, props
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

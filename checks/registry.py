@@ -21,6 +21,7 @@ from tillmark.operators import (
     marts,
     quality,
     series,
+    sketches,
     versions,
 )
 from tillmark.operators.joins import range_lookup
@@ -410,8 +411,18 @@ def high_water_mark(r: Retail) -> DataFrame:
 
 @query
 def export_roundtrip(r: Retail) -> DataFrame:
+    """A full copy, after a second export that fails on the way."""
     base = session.new_dir(r.spark, "roundtrip")
-    sync.export_full(r.raw("customer"), base, "customer")
+    customer = r.raw("customer")
+    sync.export_full(customer, base, "customer")
+    name = F.when(F.col("c_acctbal") < 0, F.expr("raise_error('broken off')")).otherwise(F.col("c_name"))
+    try:
+        sync.export_full(customer.withColumn("c_name", name), base, "customer")
+    except Exception as e:
+        if "broken off" not in str(e):
+            raise
+    else:
+        raise AssertionError("the second export should have failed")
     return sync.read_synced(r.spark, base, "customer")
 
 
@@ -420,9 +431,29 @@ def incremental_merge(r: Retail) -> DataFrame:
     base = session.new_dir(r.spark, "merge")
     orders = r.raw("orders")
     early = orders.where(F.col("o_orderdate") <= F.lit("2000-12-31").cast("date"))
-    first = sync.export_incremental(early, base, "orders", "o_orderdate")
-    sync.export_incremental(orders, base, "orders", "o_orderdate", first.mark)
-    return sync.read_synced(r.spark, base, "orders")
+    # The first batch has a narrower type and lacks a column that only later rows carry.
+    narrow = early.withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    first = sync.export_incremental(narrow, base, "orders", "o_orderdate")
+    wider = orders.withColumn("o_added", F.lit(1))
+    sync.export_incremental(wider, base, "orders", "o_orderdate", first.mark)
+    merged = sync.read_synced(r.spark, base, "orders")
+    return merged.withColumn("o_added", F.coalesce("o_added", F.lit(0)))
+
+
+@query
+def compacted_merge(r: Retail) -> DataFrame:
+    """The newest event per user from batches compacted once, and batches after that."""
+    base = session.new_dir(r.spark, "compacted")
+    events = r.raw("events")
+    ends = events.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).agg(F.min("t"), F.max("t"))
+    first, last = ends.first()
+    mark = sync.Mark()
+    for i in range(1, 7):
+        cut = F.timestamp_micros(F.lit(first + (last - first) * i // 6)).cast(events.schema["ts"].dataType)
+        mark = sync.export_incremental(events.where(F.col("ts") <= cut), base, "events", "ts", mark).mark
+        if i == 4:
+            sync.compact(r.spark, base, "events", "user_id", "ts", n_buckets=16)
+    return sync.read_synced(r.spark, base, "events", "user_id", "ts")
 
 
 def _stacked(parts: list[DataFrame]) -> DataFrame:
@@ -554,6 +585,41 @@ def latest_version(r: Retail) -> DataFrame:
     return versions.latest_version(r.raw("events"), "user_id", "ts")
 
 
+@query
+def sketched_customers(r: Retail) -> DataFrame:
+    """Customers per channel and month, per channel and in all: exact, and whether the estimate from
+    the stored daily sketches lies within its bound."""
+    orders = r.orders().select("channel_id", "user_id", "create_time")
+    path = session.new_dir(r.spark, "sketches")
+    sketches.store_days(sketches.daily_sketches(orders, "user_id", "create_time", ["channel_id"]), path)
+    days = sketches.read_days(r.spark, path)
+    timed = orders.where("create_time IS NOT NULL")
+    nothing = F.lit(None).cast("string")
+
+    def counted(df: DataFrame, day: str, count: Column, period: str) -> list[DataFrame]:
+        month = df.withColumn("month", F.date_format(day, "yyyy-MM"))
+        parts = [
+            month.groupBy("channel_id", "month").agg(count.alias("n")).withColumn("period", F.lit("month")),
+            df.groupBy("channel_id").agg(count.alias("n")).withColumns({"month": nothing, "period": F.lit("all")}),
+            df.agg(count.alias("n")).withColumns(
+                {"channel_id": F.lit(None).cast("long"), "month": nothing, "period": F.lit("total")}),
+        ]
+        keys = ["period", F.col("channel_id").cast("long").alias("channel_id"), "month"]
+        return [p.select(*keys, F.col("n").alias(period)) for p in parts]
+
+    exact = _stacked(counted(timed, "create_time", F.count_distinct("user_id"), "customer_count"))
+    estimate = _stacked(counted(days, sketches.DAY, sketches.distinct_count(), "estimate"))
+    both = exact.unionByName(estimate, allowMissingColumns=True).groupBy("period", "channel_id", "month").agg(
+        F.max("customer_count").alias("customer_count"), F.max("estimate").alias("estimate")
+    )
+    gap = F.abs(F.col("estimate") - F.col("customer_count"))
+    return empties(both.select(
+        F.when(F.col("period") == "total", "all").otherwise(F.col("period")).alias("period"),
+        "channel_id", "month", "customer_count",
+        (gap <= sketches.error_bound() * F.col("customer_count")).alias("within_bound"),
+    ), "channel_id")
+
+
 @query
 def landing_stream(r: Retail) -> DataFrame:
     base = session.new_dir(r.spark, "stream")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -212,17 +213,65 @@ def weighted_sample(
     """``size`` rows per group without replacement, likelier the higher their weight.
 
     Each row draws ``-ln(u) / weight`` and the smallest draws win, which equals taking
-    the largest ``u ** (1 / weight)`` (Efraimidis and Spirakis, 2006). The cut to
-    ``size`` rows happens on the map side first, so a group of any size is shuffled as
-    at most ``size`` rows per task, up to the size set in
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless set otherwise); above it
-    whole groups are shuffled. Without ``by`` the rows drawn meet in one task, so ``size`` is
-    for samples that fit there. Rows of weight zero or less are never drawn.
+    the largest ``u ** (1 / weight)`` (Efraimidis and Spirakis, 2006). Small samples of groups are
+    cut to ``size`` rows on the map side, so a group of any size is shuffled as at most ``size``
+    rows per task. Samples without groups, and those above ``MAP_SIDE_ROWS``, go by a threshold:
+    draws are counted in a histogram, the bucket in which the sample ends is counted once more in
+    finer ones, and only rows up to there are kept, dealt out by bucket, so no task holds more of a
+    sample than its share. Rows of weight zero or less are never drawn.
     """
     w = F.col(weight) if isinstance(weight, str) else weight
     drawn = df.where(w > 0).withColumn("_draw", -F.ln(unit) / w)
     order = [F.asc("_draw"), F.asc(tie)]
+    if by and size <= MAP_SIDE_ROWS:
+        rank = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+        return drawn.withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_rank", "_draw")
+    by = by or []
+    # Even steps of the draw's logarithm; what has none comes first, as it does in the order.
+    step = F.floor(F.ln("_draw") * (1 << _FINE)).cast("long")
+    drawn = drawn.withColumn("_step", F.coalesce(step, F.lit(-(1 << 62))))
+    wide = F.shiftright("_step", _WITHIN)
+    cuts = _cuts(drawn.select(*by, wide.alias("_step")), size, by, None)
+    near = _beside(drawn, cuts, by).where(wide == F.col("_cut.step"))
+    cuts = _cuts(near.select(*by, "_step", F.col("_cut.before").alias("_above")), size, by, "_above")
+    kept = _beside(drawn, cuts, by).where(F.col("_cut").isNull() | (F.col("_step") <= F.col("_cut.step")))
+    rank = F.row_number().over(W.partitionBy(*by, "_step").orderBy(*order))
+    last = F.col("_step") == F.col("_cut.step")
+    return (
+        kept.withColumn("_rank", rank)
+        .where(F.col("_cut").isNull() | ~last | (F.col("_rank") + F.col("_cut.before") <= size))
+        .drop("_rank", "_draw", "_step", "_cut")
+    )
+
+
+# Samples of groups up to this size are cut ahead of the shuffle, as Spark does it by itself up to
+# this number of rows (spark.sql.optimizer.windowGroupLimitThreshold).
+MAP_SIDE_ROWS = 1000
+# Fine steps to a unit of the logarithm, as a power of two, and those within a wide step: a wide one
+# holds draws that differ by 1.6 percent at most, and there are under 100,000 in all.
+_FINE, _WITHIN = 22, 16
+
+
+def _cuts(steps: DataFrame, size: int, by: list[str], above: str | None) -> DataFrame:
+    """Per group the step in which its ``size`` smallest rows end, and the rows before that step.
+
+    Groups with no more rows than that have none.
+    """
+    offset = F.min(above) if above else F.lit(0)
+    counted = steps.groupBy(*by, "_step").agg(F.count(F.lit(1)).alias("n"), offset.alias("offset"))
+    upto = W.partitionBy(*by).orderBy("_step").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(upto), F.lit(0)) + F.col("offset")
+    ends = counted.withColumn("before", before).where(
+        (F.col("before") <= size) & (F.col("before") + F.col("n") > size)
+    )
+    return ends.groupBy(*by).agg(F.max(F.struct(F.col("_step").alias("step"), "before")).alias("_cut"))
+
+
+def _beside(rows: DataFrame, cuts: DataFrame, by: list[str]) -> DataFrame:
+    """Rows with the cut of their group, NULL where it has none."""
     if not by:
-        return drawn.orderBy(*order).limit(size).drop("_draw")
-    rank = F.row_number().over(W.partitionBy(*by).orderBy(*order))
-    return drawn.withColumn("_rank", rank).where(F.col("_rank") <= size).drop("_rank", "_draw")
+        return rows.withColumn("_cut", cuts.scalar())
+    named = cuts.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "_cut")
+    same = [F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)]
+    joined = rows.join(named, reduce(lambda a, b: a & b, same), "left")
+    return joined.drop(*[f"_by{i}" for i in range(len(by))])

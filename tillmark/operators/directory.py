@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,8 +23,9 @@ PROFILE = [
     "id", "username", "nickname", "sex", "age", "phone", "email", "birthday", "card",
     "content", "remarks", "role",
 ]
-# Ids whose numbers agree up to their last ten bits are counted together.
-PAGE_RANGE = 10
+# Ids are counted in ranges of numbers that agree up to so many last bits, and these within
+# wider ones: 18 bits from one to the next, so no range has more than 262,144 below it.
+PAGE_RANGES = (10, 28, 46)
 EDITABLE = ["username", "nickname", "sex", "age", "phone", "email"]
 
 
@@ -50,41 +51,63 @@ def user_search_page(
 ) -> DataFrame:
     """One page of users, newest id first, with the total and page count on every row.
 
-    The page is cut by id, so no task sorts more than one page of rows: counts over ranges of
-    ids find the range in which the page starts, and only from there on rows are read.
-    ``user_search_after`` needs no counts and is the way to leaf through.
+    A directory of ranks finds where the page starts: users are counted per range of ids, ranges
+    within wider ranges, and the widest are added up first, then those within the one the page
+    starts in. No task orders more than the ranges of one wider range, whatever the table has,
+    and nothing runs before the page is asked for. ``user_search_after`` needs no counts and is
+    the way to leaf through.
     """
     found = find_users(users, role, username, literal)
     total = found.agg(F.count(F.lit(1))).scalar()
     before = (page - 1) * limit
     rows = _profile(found)
     if before:
-        # Ids from the top down in ranges, and how many users each holds.
-        reach = F.col("id").cast("long")
-        ranges = found.groupBy(F.shiftright(reach, PAGE_RANGE).alias("range")).agg(
-            F.count(F.lit(1)).alias("n")
+        narrow = PAGE_RANGES[0]
+        reach = F.shiftright(F.col("id").cast("long"), narrow)
+        start = _range_of(found.select(reach.alias("node")), before)
+        place = F.row_number().over(W.orderBy(F.desc("id"))) + start["above"]
+        rows = (
+            rows.where(reach <= start["node"])
+            .orderBy(F.desc("id"))
+            .limit((1 << narrow) + limit)
+            .withColumn("_place", place)
+            .where(F.col("_place") > before)
+            .drop("_place")
         )
-        upto = W.orderBy(F.desc("range")).rowsBetween(W.unboundedPreceding, -1)
-        start = (
-            ranges.withColumn("above", F.coalesce(F.sum("n").over(upto), F.lit(0)))
-            .where((F.col("above") <= before) & (F.col("above") + F.col("n") > before))
-            .agg(F.max(F.struct("range", "above")).alias("s"))
-            .first()["s"]
-        )
-        if start is None:
-            rows, before = rows.where("false"), 0
-        else:
-            rows = rows.where(F.shiftright(reach, PAGE_RANGE) <= start["range"])
-            before -= start["above"]
     return (
         rows.orderBy(F.desc("id"))
-        .offset(before)
         .limit(limit)
         .withColumn("total", total)
         .withColumn("pages", page_count("total", limit))
     )
 
 
+def _range_of(nodes: DataFrame, before: int) -> Column:
+    """The narrowest range that holds the row after ``before`` others, and how many lie above it.
+
+    A struct of NULLs in effect, so that nothing is selected, where there are fewer rows.
+    """
+    counts = [nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n"))]
+    for low, high in zip(PAGE_RANGES, PAGE_RANGES[1:]):
+        wider = F.shiftright("node", high - low).alias("node")
+        counts.append(counts[-1].groupBy(wider).agg(F.sum("n").alias("n")))
+    found = None
+    upto = W.orderBy(F.desc("node")).rowsBetween(W.unboundedPreceding, -1)
+    for i in reversed(range(len(PAGE_RANGES))):
+        level, above = counts[i], F.lit(0)
+        if found is not None:
+            bits = PAGE_RANGES[i + 1] - PAGE_RANGES[i]
+            level, above = level.where(F.shiftright("node", bits) == found["node"]), found["above"]
+        at = F.col("above")
+        found = (
+            level.withColumn("above", F.coalesce(F.sum("n").over(upto), F.lit(0)) + above)
+            .where((at <= before) & (at + F.col("n") > before))
+            .agg(F.max(F.struct("node", "above")))
+            .scalar()
+        )
+    return found
+
+
 def user_search_after(
     users: DataFrame,
     last_id: int | None,

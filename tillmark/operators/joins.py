@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Aligned pieces have lengths that are powers of this base.
-_BASE = 16
-_LEVELS = 32  # 16 ** 31 is the largest power below 38 digits
-_WHOLE = "decimal(38,0)"
 _DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+# What happens at a place of the order: ranges begin before points of the same value, end after.
+_BEGIN, _POINT, _END = 0, 1, 2
+# Pairs handed on at once.
+_PAIRS = 50_000
 
 
 def _type(df: DataFrame, column: str) -> tuple[int, int]:
@@ -23,90 +27,128 @@ def _type(df: DataFrame, column: str) -> tuple[int, int]:
     raise TypeError(f"{column} is {kind.simpleString()}; range_lookup takes decimals and whole numbers")
 
 
-def _units(column: str, scale: int) -> Column:
-    """A value as a whole number of the smallest unit, without rounding."""
-    value = F.col(f"`{column}`")
-    if not scale:
-        return value.cast(_WHOLE)
-    exact = value.cast(f"decimal(38,{scale})")
-    whole = F.floor(exact)
-    rest = (exact - whole).cast(f"decimal({scale},{scale})")
-    unit = F.lit("1" + "0" * scale).cast(f"decimal({scale + 1},0)")
-    return (whole * unit).cast(_WHOLE) + (rest * unit).cast(_WHOLE)
-
-
-def _size(level: Column) -> Column:
-    """The length of a level's pieces, exactly."""
-    sizes = F.array(*[F.lit(str(_BASE**k)).cast(_WHOLE) for k in range(_LEVELS)])
-    return F.get(sizes, level)
-
+def _bounds_upto(bounds: Column, value: Column, n: int, equal: bool) -> Column:
+    """How many of the ``n`` sorted bounds lie below ``value`` (or at it), by halving."""
 
-def _down(at: Column, size: Column) -> Column:
-    return (at - F.pmod(at, size)).cast(_WHOLE)
+    def halve(found: Column, step: Column) -> Column:
+        at = F.get(bounds, found + step - 1)
+        fits = (at <= value) if equal else (at < value)
+        return found + F.when(F.coalesce(fits, F.lit(False)), step).otherwise(0)
 
-
-def _up(at: Column, size: Column) -> Column:
-    return (at + F.pmod(-at, size)).cast(_WHOLE)
+    steps = [1 << k for k in reversed(range(n.bit_length()))]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), halve)
 
 
 def range_lookup(
-    points: DataFrame, value: str, ranges: DataFrame, low: str, high: str
+    points: DataFrame, value: str, ranges: DataFrame, low: str, high: str, parts: int | None = None
 ) -> DataFrame:
     """Every (point, range) pair with ``low <= value <= high``; NULL values match nothing.
 
-    Ranges are cut into aligned pieces whose lengths are powers of a base, counted in the
-    smallest unit of the three columns. Each point looks up the one piece per length that could
-    hold it, for the lengths that occur, so both sides meet in an equi-join and no pair outside
-    the result is formed. It is exact for whole numbers and decimals of any sign and scale, and
-    works alike for any number of ranges.
+    Quantiles of the points cut both sides into ``parts`` stretches (by default as many as Spark
+    has shuffle partitions), so each holds its share of the points; a value that many points have
+    gets several stretches, dealt out by hash. Points go to one stretch, ranges to those they
+    reach into; a range that spans a stretch whole pairs with all points in it, so its copies
+    are fewer than the pairs. One ordered pass over a stretch then meets beginnings, points and
+    ends, and keeps the ranges open at the time. It is exact for whole numbers and decimals of any
+    sign and scale and works alike for any number of ranges.
     """
     kinds = [_type(points, value), _type(ranges, low), _type(ranges, high)]
     scale = max(s for _, s in kinds)
-    if max(d for d, _ in kinds) + scale > 37:
+    digits = max(d for d, _ in kinds)
+    if digits + scale > 37:
         raise TypeError("the columns' digits before and after the point exceed 37 together")
-    unit, next_unit = F.col("_unit"), F.col("_next")
-    starts = ranges.withColumns({"_lo": _units(low, scale), "_hi": _units(high, scale)})
-    one = F.lit(1).cast(_WHOLE)
-    # Per length: aligned starts from _first on and before _end lie inside the range. What the
-    # next length covers, from _outer_first to _outer_end, is left to it.
-    levels = (
-        starts.where(F.col("_lo") <= F.col("_hi"))
-        .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 2))))
-        .withColumns({"_unit": _size(F.col("_level")), "_next": _size(F.col("_level") + 1)})
-        .withColumns(
-            {
-                "_first": _up(F.col("_lo"), unit),
-                "_end": _down((F.col("_hi") + one).cast(_WHOLE), unit),
-                "_outer_first": _up(F.col("_lo"), next_unit),
-                "_outer_end": _down((F.col("_hi") + one).cast(_WHOLE), next_unit),
-            }
-        )
-        .where(F.col("_first") < F.col("_end"))
+    spark = points.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    common = T.DecimalType(digits + scale, scale)
+
+    def column(name: str) -> Column:
+        return F.col(f"`{name}`").cast(common)
+
+    placed = points.select(column(value).alias("at"), F.struct("*").alias("p")).where("at IS NOT NULL")
+    spans = (
+        ranges.select(column(low).alias("low"), column(high).alias("high"), F.struct("*").alias("r"))
+        .where("low <= high")
     )
-    last = F.col("_level") == _LEVELS - 2
-    covered = (F.col("_outer_first") < F.col("_outer_end")) & ~last
-    most = 2 * _BASE
+    bounds = None
+    if parts > 1:
+        shares = [i / parts for i in range(1, parts)]
+        bounds = placed.agg(F.percentile_approx("at", shares, 100 * parts)).scalar()
+
+    def upto(at: Column, equal: bool) -> Column:
+        return F.lit(0) if bounds is None else _bounds_upto(F.col("bounds"), at, parts - 1, equal)
+
+    if bounds is not None:
+        placed, spans = placed.withColumn("bounds", bounds), spans.withColumn("bounds", bounds)
+    first, last = upto(F.col("at"), False), upto(F.col("at"), True)
+    dealt = F.xxhash64(*[f"p.`{f.name}`" for f in points.schema if "map<" not in f.dataType.simpleString()])
+    placed = placed.withColumns({"first": first, "last": last}).select(
+        # Points of a value with stretches of its own are dealt over them.
+        (F.col("first") + F.pmod(dealt, F.col("last") - F.col("first") + 1).cast("int")).alias("part"),
+        "at", F.lit(_POINT).alias("what"), "p",
+    )
+    spans = (
+        spans.withColumns({"first": upto(F.col("low"), False), "last": upto(F.col("high"), True)})
+        .withColumn("part", F.explode(F.sequence("first", "last")))
+        # Tells the copies of ranges in a stretch apart; both events of one come from one row.
+        .withColumn("id", F.monotonically_increasing_id())
+    )
+    # Carried-over ranges are open from the start; those that go on have no end here.
+    begin = F.struct(
+        F.when(F.col("part") == F.col("first"), F.col("low")).alias("at"),
+        F.lit(_BEGIN).alias("what"), F.col("r"),
+    )
+    end = F.when(F.col("part") == F.col("last"), F.struct(
+        F.col("high").alias("at"), F.lit(_END).alias("what"),
+        F.lit(None).cast(spans.schema["r"].dataType).alias("r"),
+    ))
+    marks = spans.select("part", "id", F.inline(F.array_compact(F.array(begin, end))))
+    events = (
+        placed.unionByName(marks, allowMissingColumns=True)
+        .repartition("part")
+        .sortWithinPartitions("part", F.asc_nulls_first("at"), "what")
+        .select("part", "what", "id", "p", "r")
+    )
+    kinds = [T.StructField(c, events.schema[c].dataType) for c in ("p", "r")]
+    return events.mapInArrow(_meet, T.StructType(kinds)).select("p.*", "r.*")
 
-    def run(start: Column, end: Column) -> Column:
-        steps = F.transform(
-            F.sequence(F.lit(0), F.lit(most)), lambda i: (start + i * unit).cast(_WHOLE)
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One pass over the events of stretch after stretch, in order."""
+    now, live = None, {}  # what is open in stretch ``now``: a row of the range by its number
+    for batch in batches:
+        part, what, ids = (
+            batch.column(c).fill_null(0).to_numpy() for c in ("part", "what", "id")
+        )
+        ranges = batch.column("r")
+        cuts = (np.flatnonzero(np.diff(part)) + 1).tolist()
+        for start, stop in zip([0, *cuts], [*cuts, len(part)]):
+            if start == stop:
+                continue
+            if part[start] != now:
+                now, live = part[start], {}
+            # Every range with the places between which it is open here.
+            spans = {n: [row, start, stop] for n, row in live.items()}
+            for i in (np.flatnonzero(what[start:stop] != _POINT) + start).tolist():
+                if what[i] == _BEGIN:
+                    spans[int(ids[i])] = [ranges.slice(i, 1), i, stop]
+                    live[int(ids[i])] = ranges.slice(i, 1)
+                else:
+                    spans[int(ids[i])][2] = i
+                    del live[int(ids[i])]
+            yield from _pairs(batch.column("p"), np.flatnonzero(what[start:stop] == _POINT) + start, spans)
+
+
+def _pairs(rows: pa.Array, points: np.ndarray, spans: dict) -> Iterator[pa.RecordBatch]:
+    """Every range beside the points between its places, so many pairs at once."""
+    if not len(points) or not spans:
+        return
+    ranges = pa.concat_arrays([row for row, _, _ in spans.values()])
+    first = np.searchsorted(points, [s[1] for s in spans.values()])
+    upto = np.cumsum(np.searchsorted(points, [s[2] for s in spans.values()]) - first)
+    for at in range(0, int(upto[-1]), _PAIRS):
+        pair = np.arange(at, min(int(upto[-1]), at + _PAIRS))
+        which = np.searchsorted(upto, pair, side="right")
+        place = first[which] + pair - np.where(which > 0, upto[which - 1], 0)
+        yield pa.RecordBatch.from_arrays(
+            [rows.take(pa.array(points[place])), ranges.take(pa.array(which))], ["p", "r"]
         )
-        return F.filter(steps, lambda s: s < end)
-
-    pieces = F.when(
-        covered,
-        F.concat(
-            run(F.col("_first"), F.col("_outer_first")), run(F.col("_outer_end"), F.col("_end"))
-        ),
-    ).otherwise(run(F.col("_first"), F.col("_end")))
-    helpers = ["_lo", "_hi", "_unit", "_next", "_first", "_end", "_outer_first", "_outer_end"]
-    cut = levels.withColumn("_piece", F.explode(pieces)).drop(*helpers)
-    used = cut.agg(F.collect_set("_level").alias("levels")).scalar()
-    keyed = (
-        points.withColumn("_at", _units(value, scale))
-        .where(F.col("_at").isNotNull())
-        .withColumn("_level", F.explode(used))
-        .withColumn("_piece", _down(F.col("_at"), _size(F.col("_level"))))
-        .drop("_at")
-    )
-    return keyed.join(cut, ["_level", "_piece"], "inner").drop("_level", "_piece")

@@ -157,6 +157,115 @@ REFERENCES = [
 ]
 
 
+class SchemaChange(ValueError):
+    """A column's new type cannot hold its old values, nor the old type the new ones."""
+
+
+_WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def widened(old: T.DataType, new: T.DataType, name: str = "") -> T.DataType:
+    """The narrowest type that holds all values of both, exactly.
+
+    Whole numbers grow to longer ones, decimals in digits before and after the point, floats
+    to doubles, dates to times of no zone, structs by columns (see ``merged``), lists and maps by
+    their elements. Whole numbers up to 32 bits fit a double. Other changes raise ``SchemaChange``.
+    """
+    if old == new or isinstance(new, T.NullType):
+        return old
+    if isinstance(old, T.NullType):
+        return new
+    kinds = (type(old), type(new))
+    if all(k in _WHOLE_DIGITS for k in kinds):
+        return max(old, new, key=lambda t: _WHOLE_DIGITS[type(t)])
+    if all(k in _WHOLE_DIGITS or k is T.DecimalType for k in kinds):
+        sides = [
+            (t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (_WHOLE_DIGITS[type(t)], 0)
+            for t in (old, new)
+        ]
+        before, after = (max(x) for x in zip(*sides))
+        if before + after <= T.DecimalType(38, 0).precision:
+            return T.DecimalType(before + after, after)
+    small = {T.ByteType, T.ShortType}
+    for a, b in (kinds, kinds[::-1]):
+        if b is T.DoubleType and (a in small or a in (T.IntegerType, T.FloatType)):
+            return T.DoubleType()
+        if b is T.FloatType and (a in small or a is T.IntegerType):
+            return T.FloatType() if a in small else T.DoubleType()
+        if (a, b) == (T.DateType, T.TimestampNTZType):
+            return T.TimestampNTZType()
+    if kinds == (T.StructType, T.StructType):
+        return merged(old, new, name)
+    if kinds == (T.ArrayType, T.ArrayType):
+        return T.ArrayType(widened(old.elementType, new.elementType, f"{name}[]"))
+    if kinds == (T.MapType, T.MapType):
+        return T.MapType(
+            widened(old.keyType, new.keyType, f"{name} key"),
+            widened(old.valueType, new.valueType, f"{name} value"),
+        )
+    raise SchemaChange(f"{name or 'column'}: {old.simpleString()} became {new.simpleString()}")
+
+
+def merged(old: T.StructType, new: T.StructType, within: str = "") -> T.StructType:
+    """All columns of both, types widened; names that differ by case alone are one column.
+
+    New columns come last. A column that is gone stays, to be NULL from now on.
+    """
+    later = {f.name.lower(): f for f in new.fields}
+    if len(later) < len(new.fields):
+        raise SchemaChange(f"{within or 'table'}: columns whose names differ by case alone")
+    prefix = f"{within}." if within else ""
+    fields = []
+    for f in old.fields:
+        match = later.pop(f.name.lower(), None)
+        kind = f.dataType if match is None else widened(f.dataType, match.dataType, prefix + f.name)
+        fields.append(T.StructField(f.name, kind, True))
+    return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in later.values()])
+
+
+def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns and types of a wider schema; columns it lacks are NULL."""
+    present = {c.lower(): c for c in df.columns}
+
+    def value(f: T.StructField) -> Column:
+        name = present.get(f.name.lower())
+        if name is None:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        old = df.schema[name].dataType
+        column = F.col(f"`{name}`")
+        return _as(column, old, f.dataType).alias(f.name)
+
+    return df.select(*map(value, schema.fields))
+
+
+def _as(value: Column, old: T.DataType, new: T.DataType) -> Column:
+    """A value of a narrower type as one of a wider type, fields matched by name."""
+    if old == new or not _has_struct(new):
+        return value if old == new else value.cast(new)
+    if isinstance(new, T.ArrayType):
+        return F.transform(value, lambda x: _as(x, old.elementType, new.elementType))
+    if isinstance(new, T.MapType):
+        values = F.transform_values(value, lambda _, x: _as(x, old.valueType, new.valueType))
+        return values.cast(new)
+    present = {f.name.lower(): f for f in old.fields}
+    fields = []
+    for f in new.fields:
+        match = present.get(f.name.lower())
+        if match is None:
+            fields.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            fields.append(_as(value.getField(match.name), match.dataType, f.dataType).alias(f.name))
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def _has_struct(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_struct(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_struct(kind.valueType)
+    return isinstance(kind, T.StructType)
+
+
 def required_columns(table: str) -> list[str]:
     return [f.name for f in SCHEMAS[table].fields if not f.nullable]
 

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tillmark.sources.sync import BATCH
+from tillmark.sources.sync import add_batch
 
 
 def follow_landing(
@@ -22,8 +22,8 @@ def follow_landing(
 ) -> None:
     """Take in all files that arrived since the last call, then stop.
 
-    Every micro-batch overwrites the directory of its own query and number, so a batch repeated
-    after a failure leaves no second copy. The query's id comes from the offsets folder: with a
+    Every micro-batch is a batch named by its query and number, so one repeated after a failure
+    takes the place of the first. The query's id comes from the offsets folder: with a
     new or lost one all files are taken again, beside the batches already there. Read the result
     with ``read_synced`` and a key to get the current rows.
     """
@@ -34,7 +34,7 @@ def follow_landing(
     def store(batch: DataFrame, number: int) -> None:
         told = batch.sparkSession.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0]
         query = json.loads(told)["id"]
-        batch.write.mode("overwrite").parquet(f"{base}/{table}/{BATCH}=stream-{query}-{number}")
+        add_batch(batch, base, table, f"stream-{query}-{number}")
 
     (
         reader.parquet(landing)
