@@ -19,8 +19,11 @@ def oracle():
 
 def test_all_registered():
     assert set(QUERIES) < set(driver.queries()) and "pipeline" in driver.queries()
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
-    assert set(ORACLE) == {"op3_hierarchical_mix", "op5_revisit_resolution", "op6_stream_dedup", "op9_projection_forest"}
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
+    assert set(ORACLE) == {
+        "op3_hierarchical_mix", "op5_revisit_resolution", "op6_stream_dedup", "op9_projection_forest",
+        "op11_merkle_manifest", "op12_line_frequency", "op13_prefix_trie",
+    }
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -40,7 +43,7 @@ def test_query_has_a_row_per_document(spark, name):
 
 
 def test_native_plans(spark):
-    for name in ("op3_hierarchical_mix", "op6_stream_dedup"):
+    for name in ("op3_hierarchical_mix", "op6_stream_dedup", "op12_line_frequency"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
 

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmark.session import new_dir
 
@@ -65,7 +66,12 @@ def rebuilt(own: DataFrame, base: Column, n_head: Column, longest: int) -> DataF
     return joined.select("conv_id", F.concat(head, rest).alias("turns"))
 
 
-@F.pandas_udf("keys array<string>, upto array<bigint>")
+PREFIXES = T.StructType([
+    T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("upto", T.ArrayType(T.LongType())),
+])
+
+
+@F.pandas_udf(PREFIXES)
 def prefix_keys(digests: pd.Series, sizes: pd.Series) -> pd.DataFrame:
     """The key of every prefix, the root's first, and the bytes of all turns up to there."""
     keys, upto = [], []
