@@ -88,13 +88,13 @@ def stamp(c: str) -> str:
     return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
-def history(series: str | None) -> str:
+def history(series: str | None, orders: str = ORDERS, table: str = "r_orders") -> str:
     key = "'all'" if series is None else f"coalesce(CAST({series} AS VARCHAR), '(none)')"
-    return f"""{ORDERS},
+    return f"""{orders},
 r_daily AS (
   SELECT {key} AS series_key, CAST(create_time AS DATE) AS date, count(*) AS n,
          sum(payment_amount) AS amount
-  FROM r_orders WHERE create_time >= {AS_OF} - INTERVAL 90 DAY GROUP BY 1, 2),
+  FROM {table} WHERE create_time >= {AS_OF} - INTERVAL 90 DAY GROUP BY 1, 2),
 r_span AS (
   SELECT series_key,
          CAST(unnest(generate_series(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP),
@@ -178,12 +178,23 @@ r_parts AS (
   WHERE k <= 14)"""
 
 CURVE = f"""
-r_newest AS (SELECT series_key, max(date) AS newest FROM r_history GROUP BY 1 HAVING count(*) >= 14)
+r_scale AS (
+  SELECT series_key, max(date) AS newest, avg(CAST(total_amount AS DOUBLE)) AS centre,
+         CASE WHEN stddev_pop(CAST(total_amount AS DOUBLE)) > 0 THEN stddev_pop(CAST(total_amount AS DOUBLE))
+              ELSE 1.0 END AS spread
+  FROM r_history GROUP BY 1 HAVING count(*) >= 14),
+r_reach AS (
+  SELECT min((CAST(total_amount AS DOUBLE) - centre) / spread) AS least,
+         max((CAST(total_amount AS DOUBLE) - centre) / spread) AS most
+  FROM r_features JOIN r_scale USING (series_key))
 SELECT series_key, {day('date')} AS date, CAST(total_amount AS DOUBLE) AS historical,
-       CAST(NULL AS BOOLEAN) AS in_range FROM r_history
+       CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high, CAST(NULL AS BOOLEAN) AS in_range,
+       CAST(NULL AS DOUBLE) AS gap FROM r_history
 UNION ALL
-SELECT series_key, {day('CAST(newest + CAST(i + 1 AS INTEGER) AS DATE)')}, NULL, true
-FROM r_newest, range(30) t(i)"""
+SELECT series_key, {day('CAST(newest + CAST(i + 1 AS INTEGER) AS DATE)')}, NULL,
+       round(greatest(0.0, least * spread + centre), 2), round(greatest(0.0, most * spread + centre), 2),
+       true, 0.0::DOUBLE
+FROM r_scale, r_reach, range(30) t(i)"""
 
 GROWTH = """
 r_base AS (
@@ -395,8 +406,22 @@ SELECT series_key, {day('date')} AS date, """
         for c in COLUMNS
     )
     + "\nFROM r_features WINDOW s AS (PARTITION BY series_key)",
-    "fit_metrics": f"""{NAIVE}
-SELECT series_key, round(mse, 0) AS mse, round(r2_score, 9) AS r2_score FROM r_scores""",
+    "fit_metrics": f"""{NAIVE},
+r_mean AS (SELECT series_key, avg(CAST(total_amount AS DOUBLE)) AS mean FROM r_features GROUP BY 1)
+SELECT series_key, round(mse / nullif(mean * mean, 0), 9) AS mse, round(r2_score, 9) AS r2_score
+FROM r_scores JOIN r_mean USING (series_key)""",
+    "daily_series_by_region": f"""WITH {history('n_name', ORDERS + """,
+r_placed AS (
+  SELECT o.*, n_name FROM r_orders o LEFT JOIN customer ON c_custkey = user_id
+  LEFT JOIN nation ON n_nationkey = c_nationkey)""", 'r_placed')}
+SELECT series_key, {day('date')} AS date, order_count, CAST(total_amount AS DOUBLE) AS total_amount FROM r_history""",
+    "daily_series_by_category": f"""WITH {history('category_name', ORDERS + "," + DETAILS + "," + PRODUCTS + """,
+r_sold AS (
+  SELECT o.create_time, c.category_name, sum(actual_price) AS payment_amount
+  FROM r_details d JOIN r_orders o ON o.id = d.order_id LEFT JOIN r_products p ON p.id = d.product_id
+  LEFT JOIN r_categories c ON c.id = p.category_id
+  GROUP BY o.id, o.create_time, c.category_name)""", 'r_sold')}
+SELECT series_key, {day('date')} AS date, order_count, CAST(total_amount AS DOUBLE) AS total_amount FROM r_history""",
     "forecast_accuracy": f"""{NAIVE},
 r_range AS (SELECT series_key, CAST(min(total_amount) AS DOUBLE) AS lowest,
                    CAST(max(total_amount) AS DOUBLE) AS highest FROM r_history GROUP BY 1)
@@ -419,17 +444,20 @@ SELECT series_key, part, count(*) AS n, round(avg(CAST(total_amount AS DOUBLE)),
        CASE WHEN part = 'in_sample' THEN 0.0::DOUBLE END AS lag_gap
 FROM r_parts GROUP BY 1, 2""",
     "linear_forecast": f"""WITH {history('channel_id')},
-r_newest AS (SELECT series_key, max(date) AS newest FROM r_history GROUP BY 1 HAVING count(*) >= 15)
+r_newest AS (
+  SELECT series_key, max(date) AS newest, count(*) AS days FROM r_history GROUP BY 1 HAVING count(*) >= 15)
 SELECT series_key, {day('CAST(newest + CAST(i + 1 AS INTEGER) AS DATE)')} AS date,
-       CAST(i AS INTEGER) AS step, CASE WHEN i = 0 THEN 0.0::DOUBLE END AS change
+       CAST(i AS INTEGER) AS step, CASE WHEN days > 44 THEN 0.0::DOUBLE END AS change
 FROM r_newest, range(30) t(i)""",
-    "sales_prediction": f"""WITH {history(None)}
-SELECT series_key, 'ok' AS status, count(*) AS prediction_start_index,
-       'Random Forest' AS model_type, true AS accuracy_is_percent, true AS r2_in_range,
-       true AS mse_in_range
-FROM r_history GROUP BY 1 HAVING count(*) >= 14""",
-    "sales_prediction_curve": f"""WITH {history(None)},{CURVE}""",
-    "sales_prediction_by_channel": f"""WITH {history('channel_id')},{CURVE}""",
+    "sales_prediction": f"""WITH {history(None)},{features(0)},
+r_fit AS (
+  SELECT series_key, count(*) AS fit_days, avg(CAST(total_amount AS DOUBLE)) AS mean FROM r_features GROUP BY 1)
+SELECT series_key, 'ok' AS status, count(*) AS prediction_start_index, 'Random Forest' AS model_type,
+       any_value(fit_days) AS fit_days, round(any_value(mean), 4) AS mean_amount, 0.0::DOUBLE AS mse_gap,
+       0.0::DOUBLE AS r2_gap, 0.0::DOUBLE AS accuracy_gap, true AS centred
+FROM r_history JOIN r_fit USING (series_key) GROUP BY 1 HAVING count(*) >= 14""",
+    "sales_prediction_curve": f"""WITH {history(None)},{features(0)},{CURVE}""",
+    "sales_prediction_by_channel": f"""WITH {history('channel_id')},{features(0)},{CURVE}""",
     "forecast_growth": f"""WITH {history('channel_id')},{REPEAT},{GROWTH}
 SELECT series_key, history_days, round(predicted_total, 2) AS predicted_total,
        round(growth_rate, 6) AS growth_rate, {VERDICT} AS conclusion FROM r_growth""",

@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -212,6 +214,17 @@ def daily_series(r: Retail) -> DataFrame:
     return _by_channel(r)
 
 
+@query
+def daily_series_by_region(r: Retail) -> DataFrame:
+    return series.daily_series(series.region_orders(r.orders(), r.addresses()), AS_OF, series="province")
+
+
+@query
+def daily_series_by_category(r: Retail) -> DataFrame:
+    sold = series.category_orders(r.orders(), r.details(), r.products().drop("category_name"), r.categories(), AS_OF)
+    return series.daily_series(sold, AS_OF, series="category_name")
+
+
 @query
 def calendar_features(r: Retail) -> DataFrame:
     return series.calendar_features(_by_channel(r)).select("series_key", "date", *series.CALENDAR)
@@ -249,9 +262,13 @@ def standardise(r: Retail) -> DataFrame:
 
 @query
 def fit_metrics(r: Retail) -> DataFrame:
-    found = forecast.fit_metrics(_weekly_naive(r), ["series_key"])
+    """The error relative to the square of the mean amount."""
+    rows = _weekly_naive(r)
+    mean = rows.groupBy("series_key").agg(F.avg("actual").alias("mean"))
+    found = forecast.fit_metrics(rows, ["series_key"]).join(mean, "series_key")
+    relative = F.col("mse") / F.nullif(F.pow("mean", F.lit(2.0)), F.lit(0.0))
     return found.select(
-        "series_key", F.round("mse", 0).alias("mse"), F.round("r2_score", 9).alias("r2_score")
+        "series_key", F.round(relative, 9).alias("mse"), F.round("r2_score", 9).alias("r2_score")
     )
 
 
@@ -299,23 +316,21 @@ def sales_prediction_linear(r: Retail) -> DataFrame:
 
 @query
 def linear_forecast(r: Retail) -> DataFrame:
-    """Steps and dates, and by how much a prediction changes once it is part of the history."""
-    history = _by_channel(r)
-    ahead = forecast.linear_forecast(history)
-    first = ahead.where("step = 0").select(
+    """Steps and dates, and how far each step is from what a model on the days before all steps says to
+    the days before it; series too short to hold the steps out have no such answer."""
+    session.use_checkpoints(r.spark)
+    history = _by_channel(r).checkpoint()
+    ahead = forecast.linear_forecast(history).checkpoint()
+    known = ahead.select(
         "series_key", "date", F.lit(1).cast("long").alias("order_count"),
         F.col("predicted_amount").alias("total_amount"),
     )
     longer = history.withColumn("total_amount", F.col("total_amount").cast("double"))
-    again = forecast.linear_fit(longer.unionByName(first.select(*longer.columns)))
-    kept = again.where("part = 'in_sample'").select("series_key", "date", "predicted")
-    # A negative prediction is shown as 0; fitted with the 0 it stays negative.
-    shown = F.greatest(F.lit(0.0), F.col("predicted"))
-    change = F.abs(shown - F.col("predicted_amount")) / (1 + F.col("predicted_amount"))
-    return (
-        ahead.join(kept, ["series_key", "date"], "left")
-        .select("series_key", "date", "step",
-                F.when(F.col("predicted").isNotNull(), F.round(change, 6)).alias("change"))
+    again = forecast.linear_fit(longer.unionByName(known), holdout=forecast.FORECAST_DAYS)
+    own = again.where("part = 'holdout'").select("series_key", "date", F.greatest(F.lit(0.0), "predicted").alias("own"))
+    change = F.abs(F.col("own") - F.col("predicted_amount")) / (1 + F.col("predicted_amount"))
+    return ahead.join(own, ["series_key", "date"], "left").select(
+        "series_key", "date", "step", F.round(change, 6).alias("change")
     )
 
 
@@ -356,29 +371,93 @@ def linear_fit(r: Retail) -> DataFrame:
     )
 
 
+def _transformed(made: forecast.Prediction, rows: DataFrame) -> DataFrame:
+    """What Spark's own model says to feature rows, on the scale of their series."""
+    amount = F.col("total_amount").cast("double")
+    scale = made.history.groupBy("series_key").agg(
+        F.avg(amount).alias("centre"), F.stddev_pop(amount).alias("spread")
+    )
+    scaled = rows.join(scale, "series_key").withColumn(
+        "spread", F.when(F.col("spread") > 0, F.col("spread")).otherwise(1.0)
+    )
+    amounts = series.LAG_COLUMNS + series.ROLLING_COLUMNS
+    scaled = scaled.withColumns(
+        {c: (F.col(c).cast("double") - F.col("centre")) / F.col("spread") for c in amounts}
+    )
+    features = VectorAssembler(inputCols=series.FEATURES, outputCol="features").transform(scaled)
+    return made.model.transform(features).withColumn(
+        "again", F.col("scaled_prediction") * F.col("spread") + F.col("centre")
+    )
+
+
 @query
 def sales_prediction(r: Retail) -> DataFrame:
-    """The default forecast's report, as far as it does not depend on the forest."""
-    _, report = forecast.sales_prediction(r.orders(), AS_OF)
-    return report.select(
-        "series_key", "status", "prediction_start_index", "model_type",
-        F.col("accuracy").between(0, 100).alias("accuracy_is_percent"),
-        (F.col("r2_score") <= 1).alias("r2_in_range"), (F.col("mse") >= 0).alias("mse_in_range"),
+    """The default forecast's report beside the model's own answers to its training days: errors
+    worked out anew, and whether the forest is off on the whole, as a shifted one would be."""
+    made = forecast.explained_prediction(r.orders(), AS_OF)
+    again = _transformed(made, series.feature_frame(made.history, "legacy"))
+    actual = F.col("total_amount").cast("double")
+    spread = made.history.groupBy("series_key").agg(
+        F.min("total_amount").cast("double").alias("lowest"), F.max("total_amount").cast("double").alias("highest")
+    )
+    own = again.groupBy("series_key").agg(
+        F.count(F.lit(1)).alias("fit_days"), F.avg(actual).alias("mean"), F.avg("again").alias("mean_fitted"),
+        F.avg(F.pow(actual - F.col("again"), F.lit(2.0))).alias("own_mse"), F.var_pop(actual).alias("variance"),
+    ).withColumn("own_r2", 1 - F.col("own_mse") / F.col("variance")).join(spread, "series_key")
+    shown = forecast.accuracy("own_r2", "own_mse", "lowest", "highest")
+    return made.report.join(own, "series_key").select(
+        "series_key", "status", "prediction_start_index", "model_type", "fit_days",
+        F.round("mean", 4).alias("mean_amount"),
+        F.round(F.abs(F.col("mse") - F.bround("own_mse", 2)) / (1 + F.col("own_mse")), 9).alias("mse_gap"),
+        F.round(F.abs(F.col("r2_score") - F.bround("own_r2", 2)), 2).alias("r2_gap"),
+        F.round(F.abs(F.col("accuracy") - shown), 2).alias("accuracy_gap"),
+        (F.abs(F.col("mean_fitted") - F.col("mean")) < 0.02 * F.col("mean")).alias("centred"),
     )
 
 
 def _curve(r: Retail, by: str | None) -> DataFrame:
-    """Dates and history, and whether each prediction lies within its series' history: a forest
-    only averages values it has seen."""
-    points, _ = forecast.sales_prediction(r.orders(), AS_OF, series=by)
-    span = points.groupBy("series_key").agg(
-        F.min("historical").alias("low"), F.max("historical").alias("high")
-    )
-    inside = F.col("predicted").between(F.col("low") - 0.01, F.col("high") + 0.01)
-    wide = F.col("predicted").between(F.lit(0.0), 10 * F.col("high"))
-    return points.join(span, "series_key").select(
-        "series_key", "date", "historical", (inside if by is None else wide).alias("in_range")
-    )
+    """History and steps. Of each step the bounds within which a forest can answer, which only
+    averages amounts it was trained on, on the scale of the series; and how far it is from the
+    model's own answer to the days before it."""
+    made = forecast.explained_prediction(r.orders(), AS_OF, series=by)
+    predictions = made.predictions.checkpoint()
+    amount = F.col("total_amount").cast("double")
+    scale = made.history.groupBy("series_key").agg(
+        F.avg(amount).alias("centre"), F.stddev_pop(amount).alias("deviation"), F.max("date").alias("newest")
+    ).withColumn("deviation", F.when(F.col("deviation") > 0, F.col("deviation")).otherwise(1.0))
+    trained = series.feature_frame(made.history, "legacy").join(scale, "series_key")
+    reach = trained.agg(
+        F.min((amount - F.col("centre")) / F.col("deviation")).alias("least"),
+        F.max((amount - F.col("centre")) / F.col("deviation")).alias("most"),
+    )
+
+    def bound(name: str) -> Column:
+        value = reach.select(name).scalar() * F.col("deviation") + F.col("centre")
+        return F.greatest(F.lit(0.0), value)
+
+    # Days so far and ahead in one series; the first step reads its lags one day too far back.
+    days = made.history.select("series_key", "date", amount.alias("total_amount")).unionByName(
+        predictions.select("series_key", "date", F.col("predicted_amount").alias("total_amount"))
+    )
+    w = W.partitionBy("series_key").orderBy("date")
+    late = F.col("step") == 0
+    lags = {f"lag_{i}": F.when(late, F.lag("total_amount", i + 1).over(w)).otherwise(F.lag("total_amount", i).over(w))
+            for i in series.LAGS}
+    means = {f"rolling_mean_{n}": F.avg("total_amount").over(w.rowsBetween(-n, -1)) for n in series.ROLLING}
+    rows = days.join(predictions.select("series_key", "date", "step"), ["series_key", "date"], "left")
+    rows = series.calendar_features(rows.withColumns(lags | means)).where("step IS NOT NULL")
+    own = _transformed(made, rows).select(
+        "series_key", "date", F.greatest(F.lit(0.0), "again").alias("again")
+    )
+    ahead = predictions.join(own, ["series_key", "date"]).join(scale, "series_key")
+    ahead = ahead.withColumns({"low": bound("least"), "high": bound("most")}).select(
+        "series_key", "date", F.lit(None).cast("double").alias("historical"),
+        F.round("low", 2).alias("low"), F.round("high", 2).alias("high"),
+        F.col("predicted_amount").between(F.col("low") - 0.01, F.col("high") + 0.01).alias("in_range"),
+        F.round(F.abs(F.col("again") - F.col("predicted_amount")) / (1 + F.col("again")), 6).alias("gap"),
+    )
+    past = made.history.select("series_key", "date", amount.alias("historical"))
+    return past.unionByName(ahead, allowMissingColumns=True)
 
 
 @query

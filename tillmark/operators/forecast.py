@@ -8,13 +8,15 @@ back. ``clean`` mode has neither and adds an error measured on days held out.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ from tillmark.operators.series import (
     daily_series,
     feature_frame,
 )
-from tillmark.session import use_checkpoints
+from tillmark.session import new_dir, use_checkpoints
 
 # Executors get the functions below with the task; the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -115,34 +117,65 @@ def _fit(x: np.ndarray, y: np.ndarray):
     return lambda rows: (np.atleast_2d(rows) - mean) / spread @ weights + y.mean()
 
 
-def _training_rows(history: pd.DataFrame, mode: str) -> tuple[np.ndarray, np.ndarray]:
-    amounts = history["total_amount"].astype(float)
-    shifted = amounts if mode == "legacy" else amounts.shift(1)
-    columns = [amounts.shift(i) for i in LAGS] + [shifted.rolling(n).mean() for n in ROLLING]
-    x = np.column_stack([_calendar_matrix(history["date"]), *columns])
-    ok = ~np.isnan(x).any(axis=1)
-    return x[ok], amounts.to_numpy()[ok]
-
-
-def _forecast_one(history: pd.DataFrame, days: int, mode: str) -> pd.DataFrame:
-    history = history.sort_values("date").reset_index(drop=True)
-    history["date"] = pd.to_datetime(history["date"])
-    x, y = _training_rows(history, mode)
+def _training_rows(
+    dates: pd.Series, amounts: np.ndarray, mode: str
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features and amounts of the days that have a full past, and which days these are."""
+    shift = 0 if mode == "legacy" else 1
+    first = MEMORY - 1 + shift
+    at = np.arange(first, len(amounts))
+    lags = [amounts[at - i] for i in LAGS]
+    means = [
+        np.lib.stride_tricks.sliding_window_view(amounts, n).mean(axis=1)[at - shift - n + 1]
+        for n in ROLLING
+    ]
+    x = np.column_stack([_calendar_matrix(dates)[at], *lags, *means]).astype(float)
+    return x, amounts[at], at
+
+
+def _ahead(dates: pd.Series, amounts: np.ndarray, days: int, mode: str) -> tuple[pd.Series, np.ndarray]:
+    x, y, _ = _training_rows(dates, amounts, mode)
     predict = _fit(x, y)
-    dates = pd.Series(pd.date_range(history["date"].iloc[-1], periods=days + 1)[1:])
-    calendar = _calendar_matrix(dates)
-    values = history["total_amount"].astype(float).to_numpy()
+    coming = pd.Series(pd.date_range(dates.iloc[-1], periods=days + 1)[1:])
+    calendar = _calendar_matrix(coming)
+    values = amounts
     for i in range(days):
         row = _next_row(values[-MEMORY:], calendar[i], late=(mode == "legacy" and i == 0))
         values = np.append(values, max(0.0, float(predict(row)[0])))
-    return pd.DataFrame(
-        {
-            "series_key": history["series_key"].iloc[0],
-            "date": dates.dt.date,
-            "step": np.arange(days, dtype="int32"),
-            "predicted_amount": values[-days:],
-        }
-    )
+    return coming, values[-days:]
+
+
+def _fitted(dates: pd.Series, amounts: np.ndarray, mode: str, holdout: int) -> Iterator[tuple]:
+    """(part, days, actual, predicted) in sample, and held out where enough rows are left."""
+    x, y, at = _training_rows(dates, amounts, mode)
+    yield "in_sample", dates.iloc[at], y, _fit(x, y)(x)
+    if len(y) > 2 * holdout:
+        model = _fit(x[:-holdout], y[:-holdout])
+        yield "holdout", dates.iloc[at[-holdout:]], y[-holdout:], model(x[-holdout:])
+
+
+def _histories(series_df: DataFrame, need: int) -> DataFrame:
+    """One row per series of at least ``need`` days, its amounts in order of days.
+
+    A history is bounded by its days (90 as the dashboard has it): less to send than the sums of
+    products that a fit would need in its place.
+    """
+    day = F.struct("date", F.col("total_amount").cast("double").alias("amount"))
+    ordered = F.sort_array(F.collect_list(day))
+    rows = series_df.groupBy("series_key").agg(ordered.alias("days")).where(F.size("days") >= need)
+    return rows.select("series_key", F.col("days.date").alias("dates"), F.col("days.amount").alias("amounts"))
+
+
+def _per_series(batches, make) -> Iterator[pd.DataFrame]:
+    """What ``make(key, dates, amounts)`` gives for every series of a batch, as one frame."""
+    for batch in batches:
+        frames = [
+            frame
+            for key, dates, amounts in zip(batch["series_key"], batch["dates"], batch["amounts"])
+            for frame in make(key, pd.Series(pd.to_datetime(dates)), np.array(amounts, float))
+        ]
+        if frames:
+            yield pd.concat(frames)
 
 
 def linear_forecast(
@@ -150,15 +183,17 @@ def linear_forecast(
 ) -> DataFrame:
     """One least-squares model per series, stepped forward day by day.
 
-    A group is one series: one row per day of the history window, already aggregated.
+    Series reach Python as one row each, many at a time.
     """
+    def steps(key, dates, amounts):
+        coming, values = _ahead(dates, amounts, days, mode)
+        yield pd.DataFrame(
+            {"series_key": key, "date": coming.dt.date, "step": np.arange(days, dtype="int32"),
+             "predicted_amount": values}
+        )
+
     need = MIN_HISTORY_DAYS if mode == "legacy" else MIN_HISTORY_DAYS + 1
-    long = _long_enough(series_df, need).select(
-        "series_key", "date", F.col("total_amount").cast("double").alias("total_amount")
-    )
-    return long.groupBy("series_key").applyInPandas(
-        lambda pdf: _forecast_one(pdf, days, mode), PREDICTION
-    )
+    return _histories(series_df, need).mapInPandas(lambda b: _per_series(b, steps), PREDICTION)
 
 
 def linear_fit(
@@ -169,28 +204,17 @@ def linear_fit(
     ``part`` is ``in_sample`` for the model on all rows and ``holdout`` for the last
     ``holdout`` rows under a model that has not seen them.
     """
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        x, y = pdf[FEATURES].to_numpy(float), pdf["total_amount"].to_numpy(float)
-        key, dates = pdf["series_key"].iloc[0], pdf["date"]
-        parts = [
-            pd.DataFrame({"series_key": key, "date": dates, "part": "in_sample",
-                          "actual": y, "predicted": _fit(x, y)(x)})
-        ]
-        if len(pdf) > 2 * holdout:
-            past, held = slice(None, -holdout), slice(-holdout, None)
-            model = _fit(x[past], y[past])
-            parts.append(
-                pd.DataFrame({"series_key": key, "date": dates.iloc[held], "part": "holdout",
-                              "actual": y[held], "predicted": model(x[held])})
+    def parts(key, dates, amounts):
+        for part, at, actual, predicted in _fitted(dates, amounts, mode, holdout):
+            yield pd.DataFrame(
+                {"series_key": key, "date": at.dt.date, "part": part, "actual": actual,
+                 "predicted": predicted}
             )
-        return pd.concat(parts)
 
-    rows = feature_frame(series_df, mode).select(
-        "series_key", "date", F.col("total_amount").cast("double").alias("total_amount"), *FEATURES
-    )
-    return rows.groupBy("series_key").applyInPandas(
-        one, "series_key string, date date, part string, actual double, predicted double"
+    need = MIN_HISTORY_DAYS if mode == "legacy" else MIN_HISTORY_DAYS + 1
+    return _histories(series_df, need).mapInPandas(
+        lambda b: _per_series(b, parts),
+        "series_key string, date date, part string, actual double, predicted double",
     )
 
 
@@ -274,44 +298,34 @@ def forest_fit(
     )
 
 
+def forest_nodes(model: RandomForestRegressionModel) -> DataFrame:
+    """The nodes of a forest: tree, node, feature (-1 for a leaf), threshold, children and value.
+
+    This is what saving the model writes; all features are numbers, so a node has one threshold.
+    """
+    spark = SparkSession.active()
+    path = new_dir(spark, "forest")
+    model.write().save(path)
+    node, split = F.col("nodeData"), F.col("nodeData.split")
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"),
+        split["featureIndex"].alias("feature"),
+        F.coalesce(F.get(split["leftCategoriesOrThreshold"], F.lit(0)), F.lit(0.0)).alias("threshold"),
+        node["leftChild"].alias("left"), node["rightChild"].alias("right"),
+        node["prediction"].alias("value"),
+    )
+
+
 def _node_tables(model: RandomForestRegressionModel) -> list[tuple[np.ndarray, ...]]:
-    """Every tree as arrays: feature (-1 for a leaf), threshold, left and right child, value.
+    """Every tree as arrays by node number: feature, threshold, left and right child, value.
 
-    Read from the model's own description, in which a node precedes its children.
+    As large as the model, which its depth and number of trees bound.
     """
-    out, rows, open_ = [], [], []
-
-    def close():
-        if rows:
-            columns = list(zip(*rows))
-            out.append(tuple(np.array(c, t) for c, t in zip(columns, ("i4", "f8", "i4", "i4", "f8"))))
-
-    def hang(node: int) -> None:
-        if open_:
-            parent, side = open_[-1]
-            rows[parent][side] = node
-
-    for line in model.toDebugString.splitlines():
-        words = line.split()
-        if not words:
-            continue
-        if words[0] == "Tree":
-            close()
-            rows, open_ = [], []
-        elif words[0] == "If":
-            hang(len(rows))
-            rows.append([int(words[2]), float(words[4].rstrip(")")), -1, -1, 0.0])
-            open_.append((len(rows) - 1, 2))
-        elif words[0] == "Else":
-            # The left side is complete: what is open on top of its parent is done.
-            while open_[-1][1] == 3:
-                open_.pop()
-            open_[-1] = (open_[-1][0], 3)
-        elif words[0] == "Predict:":
-            hang(len(rows))
-            rows.append([-1, 0.0, -1, -1, float(words[1])])
-    close()
-    return out
+    nodes = forest_nodes(model).toPandas().sort_values(["tree", "node"])
+    kinds = {"feature": "i4", "threshold": "f8", "left": "i4", "right": "i4", "value": "f8"}
+    return [
+        tuple(tree[c].to_numpy(k) for c, k in kinds.items()) for _, tree in nodes.groupby("tree")
+    ]
 
 
 def _predicted(trees: list[tuple[np.ndarray, ...]], x: np.ndarray) -> np.ndarray:
@@ -510,6 +524,54 @@ def forecast_report(
     )
 
 
+@dataclass(frozen=True)
+class Prediction:
+    """A forecast with what it was made from; ``model`` is the forest, if there is one."""
+
+    history: DataFrame
+    predictions: DataFrame
+    fitted: DataFrame | None
+    report: DataFrame
+    model: RandomForestRegressionModel | None = None
+
+    @property
+    def points(self) -> DataFrame:
+        return stitched(self.history, self.predictions)
+
+
+def explained_prediction(
+    orders: DataFrame,
+    as_of: Day,
+    model_type: str = "random_forest",
+    mode: str | None = None,
+    days: int = FORECAST_DAYS,
+    history_days: int = HISTORY_DAYS,
+    series: Column | str | None = None,
+) -> Prediction:
+    """The forecast of ``sales_prediction`` with its history, fitted values and model."""
+    if model_type not in ("random_forest", "linear"):
+        raise ValueError(f"unknown model {model_type!r}")
+    # Fit and steps read the series again; it is small, and written once.
+    use_checkpoints(orders.sparkSession)
+    history = daily_series(orders, as_of, history_days, series).checkpoint(eager=True)
+    model = fitted = None
+    if model_type == "linear":
+        mode, label = mode or "clean", "Linear Regression"
+        predictions = linear_forecast(history, days, mode)
+        fitted = linear_fit(history, mode).where(F.col("part") == "in_sample")
+    else:
+        mode, label = mode or "legacy", "Random Forest"
+        if feature_frame(history, mode).isEmpty():
+            predictions = _nothing(history, PREDICTION)
+        else:
+            model = fit_forest(history, mode, depth=ONE_SERIES_DEPTH if series is None else DEPTH)
+            predictions = forest_forecast(history, model, days, mode)
+            fitted = forest_fit(history, model, mode)
+    metrics = _nothing(history, METRICS) if fitted is None else fit_metrics(fitted, ["series_key"])
+    report = forecast_report(history, predictions, metrics, label, days)
+    return Prediction(history, predictions, fitted, report, model)
+
+
 def sales_prediction(
     orders: DataFrame,
     as_of: Day,
@@ -525,29 +587,5 @@ def sales_prediction(
     ``series`` its trees have the dashboard's depth of ``ONE_SERIES_DEPTH``; with it one forest of
     ``DEPTH`` learns from all series.
     """
-    history = daily_series(orders, as_of, history_days, series)
-    if model_type == "random_forest":
-        mode = mode or "legacy"
-        # Training and every step read the series again; it is small, and written once.
-        use_checkpoints(orders.sparkSession)
-        history = history.checkpoint(eager=True)
-        label = "Random Forest"
-        if feature_frame(history, mode).isEmpty():
-            predictions, metrics = _nothing(history, PREDICTION), _nothing(history, METRICS)
-        else:
-            depth = ONE_SERIES_DEPTH if series is None else DEPTH
-            model = fit_forest(history, mode, depth=depth)
-            predictions = forest_forecast(history, model, days, mode)
-            metrics = fit_metrics(forest_fit(history, model, mode), ["series_key"])
-    elif model_type == "linear":
-        mode, label = mode or "clean", "Linear Regression"
-        # The fit and every prediction read the series again; it is small, and written once.
-        use_checkpoints(orders.sparkSession)
-        history = history.checkpoint(eager=True)
-        predictions = linear_forecast(history, days, mode)
-        fitted = linear_fit(history, mode).where(F.col("part") == "in_sample")
-        metrics = fit_metrics(fitted, ["series_key"])
-    else:
-        raise ValueError(f"unknown model {model_type!r}")
-    report = forecast_report(history, predictions, metrics, label, days)
-    return stitched(history, predictions), report
+    made = explained_prediction(orders, as_of, model_type, mode, days, history_days, series)
+    return made.points, made.report

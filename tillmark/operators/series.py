@@ -65,6 +65,37 @@ def daily_series(
     )
 
 
+def region_orders(orders: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Orders with the ``province`` of their user's first address, for a series per region.
+
+    Orders of users without an address stay, without a province.
+    """
+    first = addresses.groupBy("user_id").agg(F.min_by("province", "id").alias("province"))
+    return orders.join(first, "user_id", "left")
+
+
+def category_orders(
+    orders: DataFrame, details: DataFrame, products: DataFrame, categories: DataFrame, as_of: Day,
+    days: int = HISTORY_DAYS,
+) -> DataFrame:
+    """One row per order and category in it, with the net amount of its lines, for a series per category.
+
+    Only lines of orders since ``days`` days before ``as_of`` are read on; products of no known
+    category share none.
+    """
+    recent = orders.where(since("create_time", as_of, days)).select(
+        F.col("id").alias("order_id"), "create_time"
+    )
+    names = categories.select(F.col("id").alias("category_id"), "category_name")
+    kinds = products.select(F.col("id").alias("product_id"), "category_id").join(
+        names, "category_id", "left"
+    )
+    lines = details.join(recent, "order_id").join(kinds.select("product_id", "category_name"), "product_id", "left")
+    return lines.groupBy("order_id", "create_time", "category_name").agg(
+        money_sum(details, "actual_price").alias("payment_amount")
+    )
+
+
 def calendar_columns(date: Column | str) -> dict[str, Column]:
     """Day of week with Monday as 0, month, day of month and a weekend flag."""
     d = F.col(date) if isinstance(date, str) else date

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 PRECISION = 14
 DAY = "sketch_day"
+MONTH = "sketch_month"
 
 
 def error_bound(precision: int = PRECISION, deviations: float = 4.0) -> float:
@@ -42,22 +43,31 @@ def daily_sketches(
 
 
 def store_days(sketches: DataFrame, path: str) -> None:
-    """Write sketches, each day's in place of what is stored of that day."""
+    """Write sketches in a folder per month, each month's in place of what is stored of it.
+
+    A month is stored whole: with a new day come the month's earlier ones, as sketches.
+    """
     (
-        sketches.repartition(DAY)
+        sketches.withColumn(MONTH, F.trunc(DAY, "MM"))
+        .repartition(MONTH)
+        .sortWithinPartitions(DAY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
+        .partitionBy(MONTH)
         .parquet(path)
     )
 
 
 def read_days(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Stored sketches of the days from ``first`` to ``last``; other days' folders are not read."""
+    """Stored sketches of the days from ``first`` to ``last``; other months' folders are not read."""
     days = spark.read.parquet(path)
-    if first is not None:
-        days = days.where(F.col(DAY) >= F.lit(first).cast("date"))
-    return days if last is None else days.where(F.col(DAY) <= F.lit(last).cast("date"))
+    for day, least in ((first, True), (last, False)):
+        if day is not None:
+            at = F.lit(day).cast("date")
+            month = F.lit(day[:8] + "01").cast("date")
+            test = (F.col(DAY) >= at) & (F.col(MONTH) >= month) if least else (F.col(DAY) <= at) & (F.col(MONTH) <= month)
+            days = days.where(test)
+    return days.drop(MONTH)
 
 
 def distinct_count(sketch: Column | str = "sketch") -> Column:
