@@ -534,6 +534,9 @@ r_found AS (SELECT * FROM r_users WHERE role = 'user' AND username ILIKE '%custo
 r_total AS (SELECT count(*) AS total FROM r_found)
 SELECT id, username, nickname, role, total, (total + 19) // 20 AS pages
 FROM r_found, r_total ORDER BY id DESC LIMIT 20 OFFSET 20""",
+    "user_search_trigrams": """
+SELECT needle, c_custkey AS id
+FROM (VALUES ('MER#00000012'), ('00%77'), ('omer%0_9'), ('99')) n(needle) JOIN customer ON c_name ILIKE '%' || needle || '%'""",
     "user_search_after": f"""WITH {USERS}
 SELECT id, username, nickname, role FROM r_users WHERE role = 'user' AND id < 1000
 ORDER BY id DESC LIMIT 20""",

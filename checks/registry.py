@@ -24,6 +24,7 @@ from tillmark.operators import (
     quality,
     series,
     sketches,
+    trigrams,
     versions,
 )
 from tillmark.operators.joins import range_lookup
@@ -741,6 +742,19 @@ def user_search_page(r: Retail) -> DataFrame:
     return directory.user_search_page(r.users(), username=" customer#0000001 ", page=2)
 
 
+@query
+def user_search_trigrams(r: Retail) -> DataFrame:
+    """Users that hold each of some needles, through postings where these have three letters."""
+    users = r.users().select("id", "username")
+    path = session.new_dir(r.spark, "postings")
+    trigrams.write_postings(trigrams.postings(users, "id", "username"), path)
+    index = r.spark.read.parquet(path)
+    return _stacked([
+        trigrams.find(users, "id", "username", index, needle).select(F.lit(needle).alias("needle"), "id")
+        for needle in ("MER#00000012", "00%77", "omer%0_9", "99")
+    ])
+
+
 @query
 def user_search_after(r: Retail) -> DataFrame:
     return directory.user_search_after(r.users(), last_id=1000)
