@@ -563,7 +563,7 @@ SELECT id, username, nickname, 'user' FROM r_new
 WHERE username NOT IN (SELECT username FROM r_users)
 QUALIFY row_number() OVER (PARTITION BY username ORDER BY id) = 1
 UNION ALL
-SELECT s_suppkey + 4000000000, NULL, 'nameless', 'user' FROM supplier WHERE s_suppkey % 10 = 0""",
+SELECT s_suppkey + 4000000000, NULL, 'nameless', 'user' FROM supplier""",
     "apply_updates": f"""WITH {USERS}
 SELECT u.id, u.username,
        CASE WHEN u.nickname = 'MACHINERY'
@@ -703,3 +703,17 @@ FROM (SELECT *, -ln({UNIT.format(key='event_id', seed=42)})
                WHEN 'purchase' THEN 5 ELSE 1 END AS draw FROM events)
 QUALIFY row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY draw, event_id) <= 20""",
 }
+
+_SORTED = {
+    "sales_trend": ("order_date", "order_date"), "user_distribution": ("name", "value DESC, name"),
+    "category_sales": ("category_name", "total_sales DESC, category_name"),
+    "channel_analysis": ("channel_name", "total_amount DESC, channel_name"),
+    "payment_methods": ("name", "value DESC, name"),
+    "hot_products": ("product_name", "total_quantity DESC, product_name"),
+    "member_consumption": ("level_name", "level_name"),
+}
+ORACLE["report_order"] = " UNION ALL ".join(
+    f"SELECT '{report}' AS report, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position,"
+    f" {label} AS label FROM ({ORACLE[report]})"
+    for report, (label, order) in _SORTED.items()
+)

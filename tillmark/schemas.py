@@ -45,75 +45,75 @@ def struct_of(columns: list[tuple[str, str]]) -> T.StructType:
 def _parsed(columns: str) -> T.StructType:
     pairs = [c.split(maxsplit=1) for c in re.split(r",(?![^(]*\))", columns)]
     return T.StructType(
-        [T.StructField(name, spark_type(kind), not kind.endswith("!")) for name, kind in pairs]
+        [T.StructField(name, spark_type(kind), not kind.endswith("NOT NULL")) for name, kind in pairs]
     )
 
 
-_STAMPS = "create_time datetime, update_time datetime"
+_STAMPS = "create_time TIMESTAMP_NTZ, update_time TIMESTAMP_NTZ"
 
-# Column name and database type; an exclamation mark makes a column required.
+# Column lists as Spark writes them.
 _TABLES = {
     "py_user": """
-        id bigint!, username varchar, password varchar, nickname varchar, sex varchar,
-        age int, phone varchar, email varchar, birthday varchar, card varchar, content varchar,
-        remarks varchar, role varchar""",
+        id BIGINT NOT NULL, username STRING, password STRING, nickname STRING, sex STRING,
+        age INT, phone STRING, email STRING, birthday STRING, card STRING, content STRING,
+        remarks STRING, role STRING""",
     "member_level": f"""
-        id bigint!, level_name varchar!, min_points int!,
-        max_points int!, discount decimal(3,2)!, description varchar, {_STAMPS}""",
+        id BIGINT NOT NULL, level_name STRING NOT NULL, min_points INT NOT NULL,
+        max_points INT NOT NULL, discount DECIMAL(3,2) NOT NULL, description STRING, {_STAMPS}""",
     "supplier": f"""
-        id bigint!, supplier_name varchar!, contact_person varchar,
-        contact_phone varchar, address varchar, email varchar, status int, {_STAMPS}""",
+        id BIGINT NOT NULL, supplier_name STRING NOT NULL, contact_person STRING,
+        contact_phone STRING, address STRING, email STRING, status INT, {_STAMPS}""",
     "store": f"""
-        id bigint!, store_name varchar!, store_code varchar!,
-        address varchar, manager varchar, phone varchar, business_hours varchar, status int,
+        id BIGINT NOT NULL, store_name STRING NOT NULL, store_code STRING NOT NULL,
+        address STRING, manager STRING, phone STRING, business_hours STRING, status INT,
         {_STAMPS}""",
     "sales_channel": f"""
-        id bigint!, channel_name varchar!, channel_type varchar!,
-        channel_code varchar!, description varchar, commission_rate decimal(5,2),
-        status int, {_STAMPS}""",
+        id BIGINT NOT NULL, channel_name STRING NOT NULL, channel_type STRING NOT NULL,
+        channel_code STRING NOT NULL, description STRING, commission_rate DECIMAL(5,2),
+        status INT, {_STAMPS}""",
     "marketing_campaign": f"""
-        id bigint!, campaign_name varchar!, campaign_type varchar!,
-        start_time datetime!, end_time datetime!,
-        discount_rate decimal(5,2), discount_amount decimal(10,2),
-        min_order_amount decimal(10,2), channel_scope varchar, product_scope varchar,
-        user_scope varchar, usage_limit int, budget decimal(10,2), status int,
-        description varchar, {_STAMPS}""",
+        id BIGINT NOT NULL, campaign_name STRING NOT NULL, campaign_type STRING NOT NULL,
+        start_time TIMESTAMP_NTZ NOT NULL, end_time TIMESTAMP_NTZ NOT NULL,
+        discount_rate DECIMAL(5,2), discount_amount DECIMAL(10,2),
+        min_order_amount DECIMAL(10,2), channel_scope STRING, product_scope STRING,
+        user_scope STRING, usage_limit INT, budget DECIMAL(10,2), status INT,
+        description STRING, {_STAMPS}""",
     "product_category": f"""
-        id bigint!, category_name varchar!, parent_id bigint, level int,
-        sort_order int, status int, {_STAMPS}""",
+        id BIGINT NOT NULL, category_name STRING NOT NULL, parent_id BIGINT, level INT,
+        sort_order INT, status INT, {_STAMPS}""",
     "product": f"""
-        id bigint!, product_name varchar!, product_code varchar!,
-        category_id bigint!, supplier_id bigint, brand varchar, model varchar,
-        unit varchar, price decimal(10,2)!, cost_price decimal(10,2),
-        market_price decimal(10,2), stock int, warning_stock int, sales int,
-        weight decimal(10,2), volume decimal(10,2), is_new int, is_hot int,
-        is_recommend int, status int, description varchar, {_STAMPS}""",
+        id BIGINT NOT NULL, product_name STRING NOT NULL, product_code STRING NOT NULL,
+        category_id BIGINT NOT NULL, supplier_id BIGINT, brand STRING, model STRING,
+        unit STRING, price DECIMAL(10,2) NOT NULL, cost_price DECIMAL(10,2),
+        market_price DECIMAL(10,2), stock INT, warning_stock INT, sales INT,
+        weight DECIMAL(10,2), volume DECIMAL(10,2), is_new INT, is_hot INT,
+        is_recommend INT, status INT, description STRING, {_STAMPS}""",
     "product_inventory": f"""
-        id bigint!, product_id bigint!, store_id bigint!,
-        quantity int!, locked_quantity int!, {_STAMPS}""",
+        id BIGINT NOT NULL, product_id BIGINT NOT NULL, store_id BIGINT NOT NULL,
+        quantity INT NOT NULL, locked_quantity INT NOT NULL, {_STAMPS}""",
     "user_address": f"""
-        id bigint!, user_id bigint!, receiver varchar!,
-        phone varchar!, province varchar, city varchar, district varchar,
-        detail_address varchar!, is_default int, {_STAMPS}""",
+        id BIGINT NOT NULL, user_id BIGINT NOT NULL, receiver STRING NOT NULL,
+        phone STRING NOT NULL, province STRING, city STRING, district STRING,
+        detail_address STRING NOT NULL, is_default INT, {_STAMPS}""",
     "user_behavior": """
-        id bigint!, user_id bigint!, product_id bigint,
-        behavior_type varchar!, search_keyword varchar, session_id varchar,
-        ip_address varchar, user_agent varchar, referrer varchar, create_time datetime""",
+        id BIGINT NOT NULL, user_id BIGINT NOT NULL, product_id BIGINT,
+        behavior_type STRING NOT NULL, search_keyword STRING, session_id STRING,
+        ip_address STRING, user_agent STRING, referrer STRING, create_time TIMESTAMP_NTZ""",
     "sales_order": f"""
-        id bigint!, order_no varchar!, user_id bigint!,
-        store_id bigint, order_source varchar!, channel_id bigint, campaign_id bigint,
-        order_status int, payment_method varchar, payment_status int,
-        payment_time datetime, delivery_method varchar, delivery_status int,
-        delivery_time datetime, complete_time datetime, address_id bigint,
-        total_amount decimal(10,2)!, discount_amount decimal(10,2),
-        shipping_amount decimal(10,2), payment_amount decimal(10,2)!, remark varchar,
+        id BIGINT NOT NULL, order_no STRING NOT NULL, user_id BIGINT NOT NULL,
+        store_id BIGINT, order_source STRING NOT NULL, channel_id BIGINT, campaign_id BIGINT,
+        order_status INT, payment_method STRING, payment_status INT,
+        payment_time TIMESTAMP_NTZ, delivery_method STRING, delivery_status INT,
+        delivery_time TIMESTAMP_NTZ, complete_time TIMESTAMP_NTZ, address_id BIGINT,
+        total_amount DECIMAL(10,2) NOT NULL, discount_amount DECIMAL(10,2),
+        shipping_amount DECIMAL(10,2), payment_amount DECIMAL(10,2) NOT NULL, remark STRING,
         {_STAMPS}""",
     "sales_detail": """
-        id bigint!, order_id bigint!, product_id bigint!,
-        product_name varchar!, product_code varchar!, quantity int!,
-        unit_price decimal(10,2)!, total_price decimal(10,2)!,
-        discount_price decimal(10,2), actual_price decimal(10,2)!,
-        create_time datetime""",
+        id BIGINT NOT NULL, order_id BIGINT NOT NULL, product_id BIGINT NOT NULL,
+        product_name STRING NOT NULL, product_code STRING NOT NULL, quantity INT NOT NULL,
+        unit_price DECIMAL(10,2) NOT NULL, total_price DECIMAL(10,2) NOT NULL,
+        discount_price DECIMAL(10,2), actual_price DECIMAL(10,2) NOT NULL,
+        create_time TIMESTAMP_NTZ""",
 }
 
 SCHEMAS = {table: _parsed(columns) for table, columns in _TABLES.items()}
