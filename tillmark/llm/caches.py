@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -38,6 +41,17 @@ def forget() -> None:
     vars(sys).pop("_kept_by_worker", None)
 
 
+def trim() -> None:
+    """Hands memory that is free back to the system: large arrays that are gone leave gaps, which
+    the C library keeps for the life of the process."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def kept(key: tuple, make):
     """What ``make()`` gave for the key, for as long as this Python worker lives.
 
