@@ -26,7 +26,7 @@ import json
 import re
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.caches import Memo, kept
+from tillmark.llm.lattice import Strings, Trie
+from tillmark.llm.words import slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,7 +51,11 @@ PRE_TOKEN = (
 UNIT = rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 
 
+# Pre-tokens whose first two characters are two pre-tokens as long as the third is missing.
+UNEVEN = ("'re", "'ve", "'ll")
 NEVER = 1 << 60
+# Pre-tokens of more bytes are counted one by one, and so many characters of texts together.
+LONG, TOGETHER = 64, 2_000_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -62,7 +68,7 @@ def _byte_letters() -> dict[str, int]:
 class PrefixCounter:
     """Prefix counts under the vocabulary in the text of a ``tokenizers`` JSON file."""
 
-    def __init__(self, vocabulary: str, memo: int = 200_000):
+    def __init__(self, vocabulary: str, memo: int = 50_000):
         spec = json.loads(vocabulary)
         if spec["model"]["type"] != "BPE" or spec["pre_tokenizer"].get("type") != "ByteLevel":
             raise ValueError("a byte-level BPE vocabulary is needed")
@@ -88,9 +94,9 @@ class PrefixCounter:
         self.nothing = max(self.tokens.values()) + 1
         self.raw = {i: t for t, i in self.tokens.items()} | {self.nothing: b""}
         self.pairs = {}
-        self.endings = Memo(self._ending, memo // 2)
-        self.words = Memo(self._word_steps, 3 * memo // 4)
-        self.units = Memo(self._unit_steps, memo)
+        self.trie = Trie(self.tokens, 256)
+        self.endings = Memo(self._ending, memo)
+        self.words = Memo(self._word_steps, memo)
 
     def merge(self, text: bytes) -> list[bytes]:
         """Plain BPE: join the adjacent pair of lowest rank until none is left."""
@@ -150,28 +156,109 @@ class PrefixCounter:
                 ends += 1 if c < "\x80" else len(c.encode())
                 at.append(count[ends])
             count = at
-        if word in ("'re", "'ve", "'ll"):
+        if word in UNEVEN:
             count[2] = 2
         return bytes([b - a & 255 for a, b in zip(count, count[1:])])
 
-    def _unit_steps(self, unit: str) -> bytes:
-        """Steps of white space and the word after it."""
-        out = b"".join([self.words[w] for w in self.pre_token.findall(unit)])
-        run = self.space.match(unit) if unit[1:2].isspace() else None
-        if run and run.end() > 1:
-            # Counted as if the text ended inside the run; what follows makes up for it.
-            steps = np.frombuffer(out, np.int8).astype(np.int64)
-            alone = np.frombuffer(self.words[run[0]], np.int8)
-            k = run.end()
-            gap = int(steps[:k].sum() - alone.sum())
-            steps[:k] = alone
-            if k < len(steps):
-                steps[k] += gap
-            out = steps.astype(np.int8).tobytes()
+    def _fits(self, pairs: np.ndarray) -> np.ndarray:
+        """``_follows`` of many pairs."""
+        distinct, at = np.unique(pairs, return_inverse=True)
+        known = self.pairs.get
+        found = [known(p) for p in distinct.tolist()]
+        for i, fits in enumerate(found):
+            if fits is None:
+                found[i] = self._follows(int(distinct[i]))
+        return np.array(found, bool)[at]
+
+    def word_steps(self, words: Sequence[str]) -> list[bytes]:
+        """The steps of many pre-tokens: all of ordinary length in one pass, byte by byte."""
+        out = [None] * len(words)
+        raws = [w.encode() for w in words]
+        lengths = np.fromiter(map(len, raws), np.int64, len(raws))
+        odd = lengths > LONG
+        for i, w in enumerate(words):
+            if odd[i] or w in UNEVEN:
+                out[i] = self.words[w]
+        plain = np.flatnonzero(~odd)
+        data = np.frombuffer(b"".join([raws[i] for i in plain.tolist()]), np.uint8)
+        strings = Strings(data.astype(np.int32), lengths[plain])
+        found = strings.found(self.trie)
+        count, last = [np.zeros(len(plain), np.int32)], [np.full(len(plain), self.nothing, np.int64)]
+        for end in range(1, strings.longest + 1):
+            n = strings.count[end - 1]
+            counts, lasts = np.full(n, -1, np.int32), np.zeros(n, np.int64)
+            for start, who, number in found[end]:
+                left = np.flatnonzero(counts[who] < 0)
+                who, number = who[left], number[left]
+                fits = self._fits(last[start][who] << 32 | number)
+                who, number = who[fits], number[fits]
+                counts[who] = count[start][who] + 1
+                lasts[who] = number
+            if (counts < 0).any():
+                raise ValueError("a byte is missing from the vocabulary")
+            count.append(counts)
+            last.append(lasts)
+        # Word after word again, the change at each byte, then at each character.
+        first = (np.cumsum(lengths[plain]) - lengths[plain])[strings.order]
+        change = np.zeros(len(data), np.int32)
+        for end in range(1, strings.longest + 1):
+            n = strings.count[end - 1]
+            change[first[:n] + end - 1] = count[end] - count[end - 1][:n]
+        starts = np.flatnonzero(data & 0xC0 != 0x80)
+        steps = np.add.reduceat(change, starts).astype(np.int8).tobytes() if len(starts) else b""
+        at = 0
+        for i in plain.tolist():
+            n = len(words[i])
+            if out[i] is None:
+                out[i] = steps[at : at + n]
+            at += n
         return out
 
+    def unit_steps(self, units: Sequence[str]) -> list[bytes]:
+        """Steps of white space and the word after it, for many units."""
+        split = list(map(self.pre_token.findall, units))
+        runs = [
+            run[0] if u[1:2].isspace() and (run := self.space.match(u)) and run.end() > 1 else None
+            for u in units
+        ]
+        words = list(dict.fromkeys([w for row in split for w in row] + [r for r in runs if r]))
+        steps = dict(zip(words, self.word_steps(words)))
+        return [
+            self._unit(row, steps) if run is None else self._spaced(row, run, steps)
+            for row, run in zip(split, runs)
+        ]
+
+    def _unit(self, words: list[str], steps: dict[str, bytes]) -> bytes:
+        return steps[words[0]] if len(words) == 1 else b"".join([steps[w] for w in words])
+
+    def _spaced(self, words: list[str], run: str, known: dict[str, bytes]) -> bytes:
+        """Counted as if the text ended inside the run; what follows makes up for it."""
+        steps = np.frombuffer(self._unit(words, known), np.int8).astype(np.int64)
+        alone = np.frombuffer(known[run], np.int8)
+        k = len(run)
+        gap = int(steps[:k].sum() - alone.sum())
+        steps[:k] = alone
+        if k < len(steps):
+            steps[k] += gap
+        return steps.astype(np.int8).tobytes()
+
+    def steps_all(self, texts: Sequence[str]) -> list[bytes]:
+        """``steps`` of many texts, whose distinct units are worked out together."""
+        found = [
+            None if self.split is not None and self.split.search(t) else self.unit.findall(t)
+            for t in texts
+        ]
+        units = list(dict.fromkeys(u for row in found if row is not None for u in row))
+        known = dict(zip(units, self.unit_steps(units))).__getitem__
+        return [
+            self.steps(t) if row is None else b"".join(map(known, row)) for t, row in zip(texts, found)
+        ]
+
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self.units.__getitem__, self.unit.findall(text)))
+        units = self.unit.findall(text)
+        distinct = list(dict.fromkeys(units))
+        known = dict(zip(distinct, self.unit_steps(distinct)))
+        return b"".join([known[u] for u in units])
 
     def steps(self, text: str) -> bytes:
         """The change of the token count at every character of the text."""
@@ -222,8 +309,8 @@ def token_prefixes(
         for batch in batches:
             n_bytes, n_tokens, cut, tables = [], [], [], []
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for text in texts:
-                steps = counter.steps(text)
+            counted = (s for a, b in slices(texts, TOGETHER) for s in counter.steps_all(texts[a:b]))
+            for text, steps in zip(texts, counted):
                 n_bytes.append(len(text.encode()))
                 total = count_at(steps, len(steps))
                 n_tokens.append(total)
