@@ -44,12 +44,14 @@ def sha256(text: Column) -> Column:
 
 def _rows(source: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]):
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    # Where the row lies, even where a column is called like Spark's own.
+    place = source.metadataColumn("_metadata")
     return source.select(
         F.col(f"`{id_col}`").alias("id"),
         text.alias("text"),
         digest(text.cast("binary")).alias("digest"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
+        place["file_path"].alias("file"),
+        place["row_index"].alias("row"),
     )
 
 

@@ -43,11 +43,13 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmark.llm.bitmaps import bitmap, held
 from tillmark.llm.caches import forget
+from tillmark.llm.names import free
 from tillmark.session import new_dir
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -218,56 +220,79 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Overlapping removals of a document as runs of lines that do not, one for each keeper in turn."""
+    """Overlapping removals of a document as runs of lines that do not, one for each keeper in turn,
+    and the lines between and around them as runs that stay."""
     for batch in batches:
-        out = []
+        out, left = [], []
         for found in batch.column(1).to_pylist():
-            runs, end = [], 0
+            runs, stays, end = [], [], 0
             for r in sorted(found, key=lambda r: (r["first"], -r["lines"])):
                 first, after = max(r["first"], end), r["first"] + r["lines"]
                 if after <= end:
                     continue
+                if first > end:
+                    stays.append((end, first - end))
                 if runs and first == end and r["kept_by"] == runs[-1]["kept_by"]:
                     runs[-1]["lines"] += after - first
                 else:
                     runs.append({"first": first, "lines": after - first, "kept_by": r["kept_by"]})
                 end = after
             out.append(runs)
+            left.append([*stays, (end, REST)])
+        kept = pa.array(
+            [[{"first": a, "lines": n} for a, n in runs] for runs in left],
+            pa.list_(pa.struct([("first", pa.int32()), ("lines", pa.int32())])),
+        )
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(out, batch.column(1).type)], names=["_line_key", "_line_removed"]
+            [batch.column(0), pa.array(out, batch.column(1).type), kept], names=["row", "removed", "stays"]
         )
 
 
+# More lines than a text can have: the run behind the last one removed.
+REST = 2**30
+
+
+def added_names(docs: DataFrame) -> tuple[str, str]:
+    """What the added columns are called, numbers of lines and removals: underscores are added to
+    names that the table has itself."""
+    return free("_line_count", docs.columns), free("_line_removed", docs.columns)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with repeated passages taken out of their texts.
 
-    Added columns: ``_line_count`` (lines before) and ``_line_removed``, an array of first line,
-    number of lines and the id of the document that keeps them.
+    Added columns (see ``added_names``): ``_line_count`` (lines before) and ``_line_removed``, an
+    array of first line, number of lines and the id of the document that keeps them.
     """
+    counted, taken = added_names(docs)
+    joint, runs = free("_line_key", docs.columns), free("_line_stays", docs.columns)
     ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
     key = F.md5(F.concat_ws("|", F.coalesce(ident.cast("string"), F.lit("")), ident.isNull().cast("string"), text))
     rows = docs.select(ident.alias("id"), text.alias("text"), key.alias("row_key"))
     found = new_dir(docs.sparkSession, "line-repeats")
     repeats = (
         repeated_chunks(rows)
-        .groupBy(F.col("row_key").alias("_line_key"))
-        .agg(F.collect_list(F.struct("first", "lines", "kept_by")).alias("_line_removed"))
+        .groupBy(F.col("row_key").alias("row"))
+        .agg(F.collect_list(F.struct("first", "lines", "kept_by")).alias("removed"))
     )
-    repeats.mapInArrow(_apart, repeats.schema).write.parquet(found)
-    removed = docs.sparkSession.read.parquet(found)
-    lines = F.split(text, "\n", -1)
-
-    def stays(_, i):
-        return ~F.exists(
-            "_line_removed", lambda r: (i >= r["first"]) & (i < r["first"] + r["lines"])
-        )
-
-    joined = docs.withColumn("_line_key", key).join(removed, "_line_key", "left").drop("_line_key")
-    count = F.coalesce(F.size(lines), F.lit(0))
-    left = F.when(F.col("_line_removed").isNull(), text).otherwise(
-        F.array_join(F.filter(lines, stays), "\n")
+    stays = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("lines", T.IntegerType())]))
+    schema = T.StructType([*repeats.schema.fields, T.StructField("stays", stays)])
+    repeats.mapInArrow(_apart, schema).write.parquet(found)
+    removed = docs.sparkSession.read.parquet(found).select(
+        F.col("row").alias(joint), F.col("removed").alias(taken), F.col("stays").alias(runs)
     )
-    added = {"_line_count": count, text_col: left}
-    return joined.withColumns(added).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "_line_count", "_line_removed"
+    lines = F.split(text, "\n", -1)
+    joined = docs.withColumn(joint, key).join(removed, joint, "left")
+
+    def rest(split: Column) -> Column:
+        return F.array_join(F.flatten(F.transform(runs, lambda r: F.slice(split, r["first"] + 1, r["lines"]))), "\n")
+
+    # The lines are split once for all runs.
+    left = F.get(F.transform(F.array(lines), rest), F.lit(0))
+    return joined.select(
+        *[
+            F.when(F.col(taken).isNull(), text).otherwise(left).alias(c) if c == text_col else F.col(f"`{c}`")
+            for c in docs.columns
+        ],
+        F.coalesce(F.size(lines), F.lit(0)).alias(counted), F.col(taken),
     )

@@ -34,6 +34,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmark.llm.names import free
 from tillmark.session import new_dir
 
 NONE = "(none)"
@@ -155,7 +156,8 @@ def mix(
     """The rows of ``docs`` selected, one per epoch that reads them.
 
     ``keys`` names the levels of the tree, from the top. Added columns: ``_mix_epoch``,
-    ``_mix_tokens`` and ``_mix_take``, the tokens of the document and those taken.
+    ``_mix_tokens`` and ``_mix_take``, the tokens of the document and those taken (with underscores
+    added to a name that the table has itself).
     """
     spark = docs.sparkSession
     names = [f"_mix_{k}" for k in keys]
@@ -165,9 +167,18 @@ def mix(
         ident = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(NONE))
         return F.md5(F.concat_ws("|", F.lit(seed).cast("string"), epoch.cast("string"), ident))
 
-    keyed = docs.withColumns(
-        {n: F.coalesce(c.cast("string"), F.lit(NONE)) for n, c in zip(names, keys.values())}
-    ).withColumn("_mix_tokens", F.coalesce(count.cast("long"), F.lit(0).cast("long")))
+    # Columns of the table that are called like working ones stand aside for the time.
+    aside = {
+        c: free(f"aside_{i}", docs.columns)
+        for i, c in enumerate(docs.columns)
+        if c.lower().startswith("_mix_")
+    }
+    keyed = docs.select(
+        *[F.col(f"`{c}`").alias(aside.get(c, c)) for c in docs.columns],
+        *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(n) for n, c in zip(names, keys.values())],
+        F.coalesce(count.cast("long"), F.lit(0).cast("long")).alias("_mix_tokens"),
+    )
+    id_col, text_col = aside.get(id_col, id_col), aside.get(text_col, text_col)
 
     sizes = new_dir(spark, "mix-sizes")
     keyed.select(*names, F.col(f"`{id_col}`"), "_mix_tokens").write.parquet(sizes)
@@ -230,5 +241,6 @@ def mix(
         )
     )
     added = ["_mix_epoch", "_mix_tokens", "_mix_take"]
-    columns = [F.col(f"`{c}`") for c in docs.columns] + [F.col(c) for c in added]
+    columns = [F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns]
+    columns += [F.col(c).alias(free(c, docs.columns)) for c in added]
     return whole.select(*columns).unionByName(ends.select(*columns))
