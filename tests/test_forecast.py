@@ -250,3 +250,35 @@ def test_model_size_does_not_follow_the_number_of_series(frame):
     x = np.random.default_rng(0).normal(size=(50, 13)) * 5
     want = [model.predict(Vectors.dense(r)) for r in x]
     assert np.allclose(forecast._predicted(tables, x), want)
+
+
+@pytest.mark.parametrize("name, query, column", [
+    ("forest_forecast", "sales_prediction_curve", "gap"), ("forest_forecast", "sales_prediction_by_channel", "gap"),
+    ("linear_forecast", "linear_forecast", "change"),
+])
+def test_one_wrong_step_turns_its_check_red(spark, monkeypatch, name, query, column):
+    from conftest import SMALL
+
+    from checks.registry import REGISTRY
+
+    right = getattr(forecast, name)
+    amount = F.col("predicted_amount")
+
+    def wrong(*args, **more):
+        shifted = F.when(F.col("step") == 9, amount * 1.05 + 1).otherwise(amount)
+        return right(*args, **more).withColumn("predicted_amount", shifted)
+
+    monkeypatch.setattr(forecast, name, wrong)
+    assert REGISTRY[query](spark, SMALL).where(F.col(column) > 0).count() > 0
+
+
+def test_a_shifted_forest_turns_its_check_red(spark, monkeypatch):
+    from conftest import SMALL
+
+    from checks.registry import REGISTRY
+
+    right = forecast.forest_fit
+    monkeypatch.setattr(
+        forecast, "forest_fit", lambda *a: right(*a).withColumn("predicted", F.col("predicted") * 1.05)
+    )
+    assert REGISTRY["sales_prediction"](spark, SMALL).where("mse_gap > 0").count() == 1

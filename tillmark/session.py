@@ -73,9 +73,27 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def new_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody else uses."""
-    return f"{shared_dir(spark)}/tillmark/{label}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_dir(spark)}/tillmark/{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def dirs_made() -> list[str]:
+    """The paths that ``new_dir`` has given out in this process, the latest last."""
+    return list(_MADE)
+
+
+def drop_dirs(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of intermediate results that no DataFrame still in use reads."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _MADE:
+            _MADE.remove(path)
 
 
 def use_checkpoints(spark: SparkSession) -> None:
