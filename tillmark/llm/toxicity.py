@@ -33,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.caches import forget
+from tillmark.llm.caches import forget, trim
 from tillmark.llm.words import mix, slices, word_hashes, word_spans
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,7 +42,8 @@ TOXIC_SAMPLE, CLEAN_SAMPLE = 1200, 2400
 WINDOW, STRIDE = 32, 16
 WORDS, TRIPLES = 1 << 17, 1 << 13
 WIDTH, HIDDEN = 8, 8
-BLOCK = 2048
+# Windows, and words, worked on at once.
+BLOCK, SOME = 2048, 20_000
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -55,23 +56,40 @@ class Windows:
     """The windows of a run of texts, by the distinct words in it."""
 
     def __init__(self, texts: list[str | None]):
-        raws = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
-        raw = b" " + b"\n".join(raws) + b" "
-        starts, hashes = word_hashes(raw)
-        data, _, ends = word_spans(raw)
-        begin = 1 + np.concatenate(([0], np.cumsum([len(r) + 1 for r in raws])))
-        offsets = np.searchsorted(starts, begin)
-        distinct, at, self.word = np.unique(hashes, return_index=True, return_inverse=True)
-        self.word_row = (mix(distinct) % np.uint64(WORDS)).astype(np.int64)
-        lengths = ends[at] - starts[at]
-        self.first = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
-        place = np.arange(int(lengths.sum())) + np.repeat(starts[at] - self.first, lengths)
-        d = data.astype(np.uint64)
-        triple = d[place - 1] << np.uint64(16) | d[place] << np.uint64(8) | d[place + 1]
-        self.triple = (mix(triple) % np.uint64(TRIPLES)).astype(np.int64)
-        self.lengths = lengths
-        self.offsets = offsets
-        counts = np.diff(offsets)
+        # Texts are read some at a time: a byte takes many more while its words are sought. Of the
+        # words only the distinct ones and their triples stay.
+        hashes, known, counts = [], np.empty(0, np.uint64), []
+        lengths, triples = [], []
+        for a, b in slices(texts, 1_000_000):
+            raws = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts[a:b]]
+            begin = 1 + np.concatenate(([0], np.cumsum([len(r) + 1 for r in raws])))
+            raw = b" " + b"\n".join(raws) + b" "
+            starts, found = word_hashes(raw)
+            data, _, ends = word_spans(raw)
+            counts.append(np.diff(np.searchsorted(starts, begin)))
+            hashes.append(found)
+            new, at = np.unique(found, return_index=True)
+            fresh = ~np.isin(new, known)
+            new, at = new[fresh], at[fresh]
+            size = ends[at] - starts[at]
+            first = np.cumsum(size) - size
+            place = np.arange(int(size.sum())) + np.repeat(starts[at] - first, size)
+            x, y, z = (data[place + k].astype(np.uint64) for k in (-1, 0, 1))
+            # Every white space beside a word is a space, wherever the word was met first.
+            x[first], z[first + size - 1] = 32, 32
+            triple = mix(x << np.uint64(16) | y << np.uint64(8) | z) % np.uint64(TRIPLES)
+            known = np.append(known, new)
+            lengths.append(size)
+            triples.append(triple.astype(np.int16))
+        order = np.argsort(known)
+        self.word = np.searchsorted(known, np.concatenate(hashes), sorter=order) if hashes else known
+        self.word = order[self.word].astype(np.int32)
+        self.word_row = (mix(known) % np.uint64(WORDS)).astype(np.int64)
+        self.lengths = np.concatenate(lengths) if lengths else np.empty(0, np.int64)
+        self.triple = np.concatenate(triples) if triples else np.empty(0, np.int16)
+        self.first = np.cumsum(self.lengths) - self.lengths
+        counts = np.concatenate(counts) if counts else np.empty(0, np.int64)
+        self.offsets = offsets = np.concatenate(([0], np.cumsum(counts)))
         per = np.maximum(1, -(-(counts - WINDOW) // STRIDE) + 1)
         self.doc = np.repeat(np.arange(len(texts)), per)
         nth = np.arange(len(self.doc)) - np.repeat(np.cumsum(per) - per, per)
@@ -82,7 +100,8 @@ class Windows:
         """The triples of some distinct words one after another, and where each word's begin."""
         n = self.lengths[words]
         first = np.cumsum(n) - n
-        return self.triple[np.arange(int(n.sum())) + np.repeat(self.first[words] - first, n)], first
+        at = np.arange(int(n.sum())) + np.repeat(self.first[words] - first, n)
+        return self.triple[at].astype(np.int64), first
 
     def rows(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct-word numbers and mask of some windows, time first; no word is number -1."""
@@ -124,9 +143,11 @@ class Network:
         out = np.zeros((n + 1, 2 * WIDTH), np.float32)
         if n:
             out[:n, :WIDTH] = self.p["words"][w.word_row[words]]
-            triples, first = w.triples_of(words)
-            sums = np.add.reduceat(self.p["triples"][triples], first, axis=0)
-            out[:n, WIDTH:] = sums / w.lengths[words, None]
+            for a in range(0, n, SOME):
+                some = words[a : a + SOME]
+                triples, first = w.triples_of(some)
+                sums = np.add.reduceat(self.p["triples"][triples], first, axis=0)
+                out[a : a + len(some), WIDTH:] = sums / w.lengths[some, None]
         return out
 
     def forward(self, projected: np.ndarray, rows: np.ndarray, mask: np.ndarray, keep: bool = False):
@@ -160,7 +181,11 @@ class Network:
         return (logit, (trace, both, look, weight, pooled)) if keep else logit
 
     def project(self, vectors: np.ndarray) -> np.ndarray:
-        return vectors[None] @ self.p["input"] + self.p["bias"]
+        out = np.empty((2, len(vectors), 3 * HIDDEN), np.float32)
+        for k in range(2):
+            np.matmul(vectors, self.p["input"][k], out=out[k])
+        out += self.p["bias"]
+        return out
 
     def logits(self, w: Windows) -> np.ndarray:
         projected = self.project(self.embed(w))
@@ -228,8 +253,10 @@ class Network:
 
     def _begin(self, w: Windows, y: np.ndarray) -> None:
         """Start the word vectors from how much more often toxic documents hold the word."""
-        doc = np.searchsorted(w.offsets, np.arange(len(w.word)), side="right") - 1
-        seen = np.unique(doc * np.int64(WORDS) + w.word_row[w.word])
+        seen = np.concatenate([
+            np.unique(w.word_row[w.word[a:b]]) + np.int64(WORDS) * doc
+            for doc, (a, b) in enumerate(zip(w.offsets[:-1], w.offsets[1:]))
+        ])
         rows, toxic = seen % WORDS, y[seen // WORDS] > 0
         odds = [
             np.log((np.bincount(rows[kind], minlength=WORDS) + 1.0) / (kind_y.sum() + 2.0))
@@ -318,7 +345,12 @@ def train(
         .agg(F.min("text").alias("text"))
     )
     rows = sorted(texts.collect(), key=lambda r: str(r["id"]))
-    return Network().fit([r["text"] or "" for r in rows], [r["label"] for r in rows], rounds)
+    sample, kinds = [r["text"] or "" for r in rows], [r["label"] for r in rows]
+    del rows
+    network = Network().fit(sample, kinds, rounds)
+    del sample
+    trim()
+    return network
 
 
 def scorer(spark, network: Network):
@@ -332,5 +364,6 @@ def scorer(spark, network: Network):
         vars(copy).update(sent.value)
         for texts in batches:
             yield pd.Series(copy.score([t if isinstance(t, str) else None for t in texts]))
+        trim()
 
     return score
