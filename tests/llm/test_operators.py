@@ -30,7 +30,7 @@ from tillmark.llm import (
 )
 from tillmark.llm import words as kernels
 from tillmark.llm.caches import Memo
-from tillmark.llm.queries import prepare
+from tillmark.llm.queries import QUERIES, prepare
 from tillmark.session import new_dir
 
 WORDS = ["the", "on", "tion", "er", "hea", "ing", "wh", "ré", "ße", "ñe", "and", "of"]
@@ -300,6 +300,34 @@ def test_encode_table(documents, nothing, vocabulary):
     assert pieces.encode_nbest(nothing, MODEL).count() == 0
 
 
+def test_nbest_decoded_for_real():
+    """Ids that give back something else are noticed, also in a segmentation after the best."""
+    text = "the ocean and the ring"
+    v = pieces.Pieces(Path(MODEL).read_bytes(), 4)
+    [(paths, given)] = v.encode_all([text])
+    assert given and [v.decode(i) for _, i in paths] == [text] * 4
+    ids = [set(np.frombuffer(i, v.width).tolist()) for _, i in paths]
+    for wrong in (min(ids[0]), min(ids[3] - ids[0])):
+        v = pieces.Pieces(Path(MODEL).read_bytes(), 4)
+        v.back = v.back.copy()
+        v.back[v.back_first[wrong]] ^= 1
+        assert v.encode_all([text, "", "xyz"])[:2] == [(paths, False), ([(0, b"")], True)]
+
+
+def test_nbest_query_gives_every_segmentation(spark, vocabulary, tmp_path):
+    texts = ["the ocean and the ring", "", None, "🙂 日本 é\n\n x", "a", "▁ mark", "the " * 3000]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "the"), (0, texts[0])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows_of(QUERIES["op2_sentencepiece_nbest"](spark, str(tmp_path)))
+    want = []
+    for i, t in rows:
+        paths = vocabulary.encode(t or "")
+        sums = [zlib.crc32(ids) for _, ids in paths]
+        want.append((i, [s for s, _ in paths], sums, sums[0], t != "▁ mark"))
+    seen = [(r["doc_id"], r["scores"], r["nbest_crc32"], r["ids_crc32"], r["round_trip"]) for r in got]
+    assert sorted(seen, key=str) == sorted(want, key=str)
+
+
 # -- 3: mixing -------------------------------------------------------------------------------
 
 

@@ -24,6 +24,7 @@ Defined results:
 * rows are segmented one by one: repeated rows and NULL ids give one row each; an empty table
   gives an empty result; other columns are not read, whatever their names;
 * decoding gives the normalised text. A word mark (U+2581) in the text itself comes back as a space.
+  Every segmentation is decoded from its ids.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 FAR = float("inf")
 # Parts of more characters are searched one by one, and so many characters of texts are worked
-# on together.
-LONG, TOGETHER = 48, 2_000_000
+# on together. So many ids are decoded at once.
+LONG, TOGETHER, SOME = 48, 2_000_000, 1 << 16
 
 
 class Pieces:
@@ -82,8 +83,11 @@ class Pieces:
         self.part = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         back = {i: p.replace(MARK, " ").encode() for p, (i, _) in self.ids.items()}
         back |= {i: bytes([b]) for b, i in self.bytes.items()}
-        self.back = [back.get(i, b"") for i in range(size)]
-        self.back[sp.unk_id()] = " ⁇ ".encode()
+        back[sp.unk_id()] = " ⁇ ".encode()
+        #: What each piece gives back: all bytes end to end, where each piece's begin, how many.
+        self.back = np.frombuffer(b"".join(back.get(i, b"") for i in range(size)), np.uint8)
+        self.back_size = np.array([len(back.get(i, b"")) for i in range(size)], np.int32)
+        self.back_first = np.cumsum(self.back_size, dtype=np.int32) - self.back_size
         self.endings = Memo(self._ending, memo)
         self.parts = Memo(self._part, memo)
         self.lists = Memo(lambda part: self.search(part, self.n), memo // 4)
@@ -162,9 +166,8 @@ class Pieces:
     def _pack(self, path: tuple[int, ...]) -> bytes:
         return struct.pack(f"<{len(path)}{self.code}", *path)
 
-    def _part(self, text: str) -> tuple[bytes, float, float, bool]:
-        """Ids and score of the best path, how far the second best is behind it, and whether its
-        pieces give the part again.
+    def _part(self, text: str) -> tuple[bytes, float, float]:
+        """Ids and score of the best path, and how far the second best is behind it.
 
         The forward pass keeps the two best scores of every position.
         """
@@ -190,14 +193,9 @@ class Pieces:
             length, label = via[at]
             path.append(label)
             at -= length
-        ids = self._pack(self._spell(path[::-1]))
-        return ids, first[-1], first[-1] - second[-1], self._gives(ids, text)
+        return self._pack(self._spell(path[::-1])), first[-1], first[-1] - second[-1]
 
-    def _gives(self, ids: bytes, part: str) -> bool:
-        raw = b"".join(map(self.back.__getitem__, np.frombuffer(ids, self.width).tolist()))
-        return raw == part.replace(MARK, " ").encode()
-
-    def work_out(self, parts: Sequence[str]) -> list[tuple[bytes, float, float, bool]]:
+    def work_out(self, parts: Sequence[str]) -> list[tuple[bytes, float, float]]:
         """What ``parts`` holds of each of many parts: all of ordinary length in one pass."""
         out = [None] * len(parts)
         points = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -214,7 +212,7 @@ class Pieces:
         points = points[np.repeat(~odd, lengths)]
         strings = Strings(self.letter[points], lengths[plain])
         alone = Strings(self.alone[points], lengths[plain]).rows if spells[plain].any() else None
-        unknown = len(self.back)
+        unknown = len(self.sizes)
         found, n = strings.found(self.trie), len(plain)
         first, second, by_length, by_piece = [np.zeros(n)], [np.full(n, -FAR)], [None], [None]
         for end in range(1, strings.longest + 1):
@@ -273,17 +271,16 @@ class Pieces:
         rows = zip(order.tolist(), [0, *edges], edges, score.tolist(), gap.tolist(), spells[order].tolist())
         for i, a, b, s, g, spell in rows:
             if spell:
-                own = self._pack(self._spell(self._named(ids[a // width : b // width].tolist(), parts[i])))
-                out[i] = own, s, g, self._gives(own, parts[i])
-            else:  # pieces of the part, laid end to end
-                out[i] = packed[a:b], s, g, True
+                out[i] = self._pack(self._spell(self._named(ids[a // width : b // width].tolist(), parts[i]))), s, g
+            else:
+                out[i] = packed[a:b], s, g
         return out
 
     def _named(self, path: list[int], part: str) -> list[int]:
         """A path with the code points, negative, of its characters without a piece."""
         at, out = 0, []
         for i in path:
-            if i == len(self.back):
+            if i == len(self.sizes):
                 out.append(-1 - ord(part[at]))
                 at += 1
             else:
@@ -292,25 +289,21 @@ class Pieces:
         return out
 
     def encode_all(self, texts: Sequence[str]) -> list[tuple[list[tuple[float, bytes]], bool]]:
-        """The N best segmentations of every text, and whether decoding the best gives the text."""
-        normal = [self.normal(t) for t in texts]
-        parts = [self.part.findall(t) for t in normal]
+        """The N best segmentations of every text, and whether decoding each gives the text."""
+        parts = [self.part.findall(self.normal(t)) for t in texts]
         numbers = {p: i for i, p in enumerate(dict.fromkeys(p for row in parts for p in row))}
         entries = self.work_out(list(numbers))
         gaps = np.array([e[2] for e in entries])
-        whole = np.array([e[3] for e in entries], bool)
-        out = []
-        for text, spaced, row in zip(texts, normal, parts):
+        found = []
+        for row in parts:
             codes = [numbers[p] for p in row]
-            at = np.array(codes, np.int64)
-            paths = self._best(row, [entries[i] for i in codes], gaps[at])
-            if whole[at].all():
-                given = spaced.replace(MARK, " ")
-                given = given[1:] if self.front and given[:1] == " " else given
-            else:
-                given = self.decode(paths[0][1])
-            out.append((paths, given == text))
-        return out
+            found.append(self._best(row, [entries[i] for i in codes], gaps[np.array(codes, np.int64)]))
+        given = [True] * len(texts)
+        for rank in range(self.n):
+            held = [i for i, paths in enumerate(found) if len(paths) > rank]
+            for i, text in zip(held, self.decode_all([found[i][rank][1] for i in held])):
+                given[i] &= text == texts[i]
+        return list(zip(found, given))
 
     def encode(self, text: str) -> list[tuple[float, bytes]]:
         """Scores and packed ids of the N best segmentations, best first."""
@@ -350,9 +343,23 @@ class Pieces:
 
     def decode(self, ids: bytes) -> str:
         """The normalised text of packed ids, spaces for word marks."""
-        raw = b"".join(map(self.back.__getitem__, np.frombuffer(ids, self.width).tolist()))
-        text = raw.decode("utf-8", "replace")
-        return text[1:] if self.front and text[:1] == " " else text
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, packed: Sequence[bytes]) -> list[str]:
+        ids = np.frombuffer(b"".join(packed), self.width)
+        ends = np.concatenate(([0], np.cumsum(self.back_size[ids], dtype=np.int64)))
+        raw = b"".join(self._raw(ids[a : a + SOME]) for a in range(0, len(ids), SOME))
+        stops = np.cumsum([0, *(len(p) // self.width.itemsize for p in packed)])
+        edges = ends[stops].tolist()
+        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(edges, edges[1:])]
+        return [t[1:] if self.front and t[:1] == " " else t for t in texts]
+
+    def _raw(self, ids: np.ndarray) -> bytes:
+        """The bytes that pieces give back, laid end to end."""
+        size = self.back_size[ids]
+        first = np.cumsum(size, dtype=np.int32) - size
+        at = np.arange(int(size.sum()), dtype=np.int32) + np.repeat(self.back_first[ids] - first, size)
+        return self.back[at].tobytes()
 
 
 def encode_nbest(
@@ -368,7 +375,8 @@ def encode_nbest(
     ``scores`` and ``pieces`` (numbers of pieces) list the N best segmentations, ``ids`` their
     packed ids of the first ``ids_of`` (2 bytes each, 4 for more than 65,536 pieces).
     ``ids_crc32`` is the checksum of the best one's ids. ``round_trip`` says whether decoding
-    gives the text again. ``model`` is a path on the driver; executors receive its content.
+    each of the N best gives the text again. ``model`` is a path on the driver; executors receive
+    its content.
     """
     model = Path(model).read_bytes()
     digest = zlib.crc32(model)
@@ -377,29 +385,26 @@ def encode_nbest(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.set_threshold(200_000)  # the memos hold many tuples and no cycles
         vocabulary = kept(("pieces", digest, n), lambda: Pieces(content.value, n))
+        width = vocabulary.width.itemsize
+        kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.binary()),
+                 pa.int64(), pa.bool_()]
         for batch in batches:
-            rows = []
-            width = vocabulary.width.itemsize
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            encoded = (
-                e for a, b in slices(texts, TOGETHER) for e in vocabulary.encode_all(texts[a:b])
-            )
-            for paths, round_trip in encoded:
-                ids = [p[1] for p in paths]
-                rows.append(
-                    (
-                        len(ids[0]) // width, [p[0] for p in paths], [len(i) // width for i in ids],
-                        ids[:ids_of], zlib.crc32(ids[0]),
-                        round_trip,
+            for a, b in slices(texts, TOGETHER):
+                rows = []
+                for paths, round_trip in vocabulary.encode_all(texts[a:b]):
+                    ids = [p[1] for p in paths]
+                    rows.append(
+                        (
+                            len(ids[0]) // width, [p[0] for p in paths], [len(i) // width for i in ids],
+                            ids[:ids_of], zlib.crc32(ids[0]),
+                            round_trip,
+                        )
                     )
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), *(pa.array(list(c), k) for c, k in zip(zip(*rows), kinds))],
+                    names=["id", "n_pieces", "scores", "pieces", "ids", "ids_crc32", "round_trip"],
                 )
-            kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.binary()),
-                     pa.int64(), pa.bool_()]
-            columns = zip(*rows) if rows else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(list(c), k) for c, k in zip(columns, kinds))],
-                names=["id", "n_pieces", "scores", "pieces", "ids", "ids_crc32", "round_trip"],
-            )
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
