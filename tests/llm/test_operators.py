@@ -775,6 +775,29 @@ def test_toxicity_learns(spark):
     assert (again.score(["a grumblefool"]) == net.score(["a grumblefool"])).all()
 
 
+def test_toxicity_trains_in_a_task(spark, monkeypatch):
+    """The driver collects the network alone and no text; it is the one fitted to the same rows here."""
+    r = random.Random(3)
+    texts = [" ".join(r.choices(["sun", "rain", "wind", "snow"], k=12)) + " nastyword" * (i % 2) for i in range(60)]
+    rows = [(i, t, i % 2) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    taken = sorted((str(i), t, k) for i, t, k in rows if zlib.crc32(str(i).encode()) % 5)
+    want = toxicity.Network().fit([t for _, t, _ in taken], [k for _, _, k in taken]).score(texts)
+    seen = []
+    collect, first = type(df).collect, type(df).first
+
+    def collected(self):
+        seen.append(self.columns)
+        return collect(self)
+
+    monkeypatch.setattr(type(df), "collect", collected)
+    monkeypatch.setattr(type(df), "first", lambda self: (seen.append(self.columns), first(self))[1])
+    net = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    monkeypatch.undo()
+    assert seen and all("text" not in columns for columns in seen)
+    assert np.allclose(net.score(texts), want, atol=1e-6)
+
+
 def test_toxicity_without_labels(spark, documents, nothing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     net = toxicity.train(documents, none)

@@ -11,7 +11,8 @@ passage and a clean one by what looks worst in it. A last fit sets offset and sc
 documents' scores.
 
 The training sample is bounded: at most 1200 toxic and 2400 clean rows (``sample``), those with
-the smallest hash of their id, with their whole texts. The network has a fixed size.
+the smallest hash of their id, with their whole texts. One task trains on it; the driver receives
+the network, which has a fixed size, and no text.
 
 Defined results:
 
@@ -24,16 +25,18 @@ Defined results:
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.caches import forget, trim
+from tillmark.llm.caches import forget, tidy, trim
 from tillmark.llm.words import mix, slices, word_hashes, word_spans
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -344,12 +347,22 @@ def train(
         .groupBy("id", "label")
         .agg(F.min("text").alias("text"))
     )
-    rows = sorted(texts.collect(), key=lambda r: str(r["id"]))
-    sample, kinds = [r["text"] or "" for r in rows], [r["label"] for r in rows]
-    del rows
-    network = Network().fit(sample, kinds, rounds)
-    del sample
-    trim()
+
+    def fit(table: pa.Table) -> pa.Table:
+        forget()
+        rows = sorted(table.to_pylist(), key=lambda r: str(r["id"]))
+        fitted = Network().fit([r["text"] or "" for r in rows], [r["label"] for r in rows], rounds)
+        del rows
+        trim()
+        return pa.table({"network": pa.array([pickle.dumps(vars(fitted))], pa.binary())})
+
+    # The sample goes to one task: the driver receives the parameters and no text.
+    made = texts.groupBy(F.lit(0).alias("sample")).applyInArrow(fit, "network binary").first()
+    network = Network()
+    if made is not None:
+        vars(network).update(pickle.loads(made["network"]))
+    del made
+    tidy(docs.sparkSession)
     return network
 
 
