@@ -5,11 +5,13 @@ import gzip
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -314,6 +316,21 @@ def test_nbest_decoded_for_real():
         assert v.encode_all([text, "", "xyz"])[:2] == [(paths, False), ([(0, b"")], True)]
 
 
+def test_nbest_of_a_full_batch_in_little_memory():
+    """What a task holds beside the vocabulary: under 50 MB for a batch of a million characters and more."""
+    r = random.Random(3)
+    known = ["".join(r.choices("abcdefghijklmnoprstuvw", k=r.randrange(2, 10))) for _ in range(60_000)]
+    texts = [" ".join(r.choices(known, k=250)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], names=["id", "text"])
+    v = pieces.Pieces(Path(MODEL).read_bytes(), 4)
+    tracemalloc.start()
+    got = [(b.num_rows, sum(b.column("round_trip").to_pylist())) for b in pieces.encoded(v, iter([batch]), 1)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [sum(c) for c in zip(*got)] == [1000, 1000]
+    assert most < 50e6
+
+
 def test_nbest_query_gives_every_segmentation(spark, vocabulary, tmp_path):
     texts = ["the ocean and the ring", "", None, "🙂 日本 é\n\n x", "a", "▁ mark", "the " * 3000]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, "the"), (0, texts[0])]

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmark.llm.bitmaps import bitmap, held
-from tillmark.llm.caches import forget
+from tillmark.llm.caches import forget, trim
 from tillmark.llm.names import free
 from tillmark.session import new_dir
 
@@ -159,6 +159,8 @@ def _candidate_rows(rows: DataFrame, exact: bool) -> DataFrame:
         for batch in batches:
             keys = _keys([b for t in batch.column(0).to_pylist() if t for _, _, b in _bodies(t, exact)[2]])
             yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["h", "g"])
+            del keys
+        trim()
 
     counted = rows.select("text").mapInArrow(hashes, "h long, g long").groupBy("h", "g").count()
     sent = spark.sparkContext.broadcast(bitmap(counted.where("count > 1"), "h", BITS))
@@ -193,6 +195,8 @@ def _candidate_rows(rows: DataFrame, exact: bool) -> DataFrame:
                 ],
                 names=["id", "row_key", "first", "lines", "body", "line"],
             )
+            del at, first, lines, body, known
+        trim()
 
     path = new_dir(spark, "line-candidates")
     schema = f"id {kind}, row_key string, first int, lines int, body binary, line binary"

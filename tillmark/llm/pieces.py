@@ -44,7 +44,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.caches import Memo, kept
+from tillmark.llm.caches import Memo, forget, holds, kept, trim
 from tillmark.llm.lattice import Strings, Trie
 from tillmark.llm.words import slices
 
@@ -55,7 +55,7 @@ UNKNOWN_PENALTY = 10.0
 FAR = float("inf")
 # Parts of more characters are searched one by one, and so many characters of texts are worked
 # on together. So many ids are decoded at once.
-LONG, TOGETHER, SOME = 48, 2_000_000, 1 << 16
+LONG, TOGETHER, SOME = 48, 250_000, 1 << 16
 
 
 class Pieces:
@@ -362,6 +362,29 @@ class Pieces:
         return self.back[at].tobytes()
 
 
+def encoded(vocabulary: Pieces, batches: Iterator[pa.RecordBatch], ids_of: int) -> Iterator[pa.RecordBatch]:
+    """Batches of ids and texts as the result's columns, ``TOGETHER`` characters at a time."""
+    width = vocabulary.width.itemsize
+    kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.int64(), pa.bool_()]
+    for batch in batches:
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        for a, b in slices(texts, TOGETHER):
+            rows = []
+            for paths, round_trip in vocabulary.encode_all(texts[a:b]):
+                ids = [p[1] for p in paths]
+                rows.append(
+                    (
+                        len(ids[0]) // width, [p[0] for p in paths], [len(i) // width for i in ids],
+                        ids[:ids_of], zlib.crc32(ids[0]),
+                        round_trip,
+                    )
+                )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, b - a), *(pa.array(list(c), k) for c, k in zip(zip(*rows), kinds))],
+                names=["id", "n_pieces", "scores", "pieces", "ids", "ids_crc32", "round_trip"],
+            )
+
+
 def encode_nbest(
     docs: DataFrame,
     model: str | Path,
@@ -383,28 +406,13 @@ def encode_nbest(
     content = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = "pieces", digest, n
+        if not holds(key):  # what this worker did before leaves gaps
+            forget()
+            trim()
         gc.set_threshold(200_000)  # the memos hold many tuples and no cycles
-        vocabulary = kept(("pieces", digest, n), lambda: Pieces(content.value, n))
-        width = vocabulary.width.itemsize
-        kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.binary()),
-                 pa.int64(), pa.bool_()]
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts, TOGETHER):
-                rows = []
-                for paths, round_trip in vocabulary.encode_all(texts[a:b]):
-                    ids = [p[1] for p in paths]
-                    rows.append(
-                        (
-                            len(ids[0]) // width, [p[0] for p in paths], [len(i) // width for i in ids],
-                            ids[:ids_of], zlib.crc32(ids[0]),
-                            round_trip,
-                        )
-                    )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), *(pa.array(list(c), k) for c, k in zip(zip(*rows), kinds))],
-                    names=["id", "n_pieces", "scores", "pieces", "ids", "ids_crc32", "round_trip"],
-                )
+        yield from encoded(kept(key, lambda: Pieces(content.value, n)), batches, ids_of)
+        trim()
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
