@@ -331,6 +331,24 @@ def test_nbest_of_a_full_batch_in_little_memory():
     assert most < 50e6
 
 
+def test_nbest_parts_worked_out_once_in_bounded_passes():
+    """Each distinct part of a batch of nearly a million characters once, and no pass takes many; with the
+    results of every text alone."""
+    r = random.Random(9)
+    known = ["".join(r.choices("abcdefghijklmnoprstuvw", k=r.randrange(2, 10))) for _ in range(40_000)]
+    texts = [" ".join(r.choices(known, k=140)) for _ in range(1000)] + ["", "🙂 é " + "long" * 30, None]
+    v = pieces.Pieces(Path(MODEL).read_bytes(), 4)
+    passes, work_out = [], v.work_out
+    v.work_out = lambda parts: passes.append(list(parts)) or work_out(parts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1003), pa.int64()), pa.array(texts)], names=["id", "text"])
+    got = pa.Table.from_batches(list(pieces.encoded(v, iter([batch]), 4))).to_pylist()
+    distinct = {p for t in texts for p in v.part.findall(v.normal(t or ""))}
+    assert sorted(p for parts in passes for p in parts) == sorted(distinct)
+    assert max(map(len, passes)) <= 1 << 15 < len(distinct)
+    for row, text in list(zip(got, texts))[::50] + list(zip(got, texts))[-3:]:
+        assert list(zip(row["scores"], row["ids"])) == v.encode(text or "")
+
+
 def test_nbest_query_gives_every_segmentation(spark, vocabulary, tmp_path):
     texts = ["the ocean and the ring", "", None, "🙂 日本 é\n\n x", "a", "▁ mark", "the " * 3000]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, "the"), (0, texts[0])]

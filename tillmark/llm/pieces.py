@@ -36,6 +36,7 @@ import struct
 import sys
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -53,9 +54,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 FAR = float("inf")
-# Parts of more characters are searched one by one, and so many characters of texts are worked
-# on together. So many ids are decoded at once.
-LONG, TOGETHER, SOME = 48, 250_000, 1 << 16
+# Parts of more characters are searched one by one, and the distinct parts of so many characters of
+# texts are worked out once, so many parts in one pass. So many ids are decoded at once.
+LONG, TOGETHER, MANY, SOME = 48, 1_000_000, 1 << 15, 1 << 16
 
 
 class Pieces:
@@ -291,13 +292,14 @@ class Pieces:
     def encode_all(self, texts: Sequence[str]) -> list[tuple[list[tuple[float, bytes]], bool]]:
         """The N best segmentations of every text, and whether decoding each gives the text."""
         parts = [self.part.findall(self.normal(t)) for t in texts]
-        numbers = {p: i for i, p in enumerate(dict.fromkeys(p for row in parts for p in row))}
-        entries = self.work_out(list(numbers))
-        gaps = np.array([e[2] for e in entries])
+        some = list(dict.fromkeys(chain.from_iterable(parts)))
+        known = {}
+        for a in range(0, len(some), MANY):
+            known.update(zip(some[a : a + MANY], self.work_out(some[a : a + MANY])))
         found = []
         for row in parts:
-            codes = [numbers[p] for p in row]
-            found.append(self._best(row, [entries[i] for i in codes], gaps[np.array(codes, np.int64)]))
+            entries = [known[p] for p in row]
+            found.append(self._best(row, entries, np.array([e[2] for e in entries])))
         given = [True] * len(texts)
         for rank in range(self.n):
             held = [i for i, paths in enumerate(found) if len(paths) > rank]
