@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import (
     bitmaps,
+    caches,
     components,
     exact_dedup,
     line_dedup,
@@ -33,7 +34,7 @@ from tillmark.llm import (
 from tillmark.llm import words as kernels
 from tillmark.llm.caches import Memo
 from tillmark.llm.queries import QUERIES, prepare
-from tillmark.session import new_dir
+from tillmark.session import dirs_made, new_dir
 
 WORDS = ["the", "on", "tion", "er", "hea", "ing", "wh", "ré", "ße", "ñe", "and", "of"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, score double"
@@ -349,6 +350,34 @@ def test_nbest_parts_worked_out_once_in_bounded_passes():
         assert list(zip(row["scores"], row["ids"])) == v.encode(text or "")
 
 
+def test_driver_hands_back_what_its_jvm_freed(spark):
+    """Memory of the C library that is free, but lies below some in use: 100 MB and more."""
+    jvm = spark.sparkContext._jvm
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+    made = [jvm.java.util.zip.Deflater() for _ in range(600)]  # about 0.26 MB each
+    for d in made:
+        d.setInput(bytearray(b"text"))
+        d.finish()
+    for d in made[:-1]:
+        d.end()
+    jvm.System.gc()
+    held = [int(Path(f"/proc/{pid}/statm").read_text().split()[1]) * 4096]
+    caches.tidy(spark)
+    held.append(int(Path(f"/proc/{pid}/statm").read_text().split()[1]) * 4096)
+    made[-1].end()
+    assert held[0] - held[1] > 30e6
+
+
+def test_components_tidy_every_round(spark, monkeypatch):
+    """The driver's memory is handed back while the components are made, not only when they are."""
+    done = []
+    monkeypatch.setattr(components, "tidy", lambda s: done.append(len(dirs_made())))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "u long, v long")
+    got = {(r["node"], r["label"]) for r in components.components(edges).collect()}
+    assert got == {(i, 0) for i in range(41)}
+    assert len(done) > 2 and all(b - a == 1 for a, b in zip(done, done[1:]))
+
+
 def test_nbest_query_gives_every_segmentation(spark, vocabulary, tmp_path):
     texts = ["the ocean and the ring", "", None, "🙂 日本 é\n\n x", "a", "▁ mark", "the " * 3000]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, "the"), (0, texts[0])]

@@ -34,6 +34,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmark.llm.caches import tidy
 from tillmark.llm.names import free
 from tillmark.session import new_dir
 
@@ -182,6 +183,7 @@ def mix(
 
     sizes = new_dir(spark, "mix-sizes")
     keyed.select(*names, F.col(f"`{id_col}`"), "_mix_tokens").write.parquet(sizes)
+    tidy(spark)
     sized = spark.read.parquet(sizes)
     leaves = sized.groupBy(*names).agg(F.sum("_mix_tokens").alias("available"))
     shared = (
@@ -214,6 +216,7 @@ def mix(
     )
     plan = new_dir(spark, "mix-plan")
     cuts.write.parquet(plan)
+    tidy(spark)
     cuts = spark.read.parquet(plan).withColumn("_mix_part", shares)
 
     placed = keyed.withColumn("_mix_part", piece).join(cuts, joined).withColumn("_mix_order", order(F.col("_mix_full")))
